@@ -23,6 +23,12 @@ def elapsed_days(later: Column, earlier: Column) -> Column:
     return F.greatest(F.extract(F.lit("DAY"), later - earlier), F.lit(0))
 
 
+def epoch_seconds(ts: Column) -> Column:
+    """Seconds since 1970 of a zone-less timestamp, in no time zone."""
+    origin = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return (ts - origin).cast("interval second").cast("decimal(20,6)").cast("double")
+
+
 def count_if(condition: Column) -> Column:
     """Rows where the condition holds (NULL counts as false)."""
     return F.count_if(F.coalesce(condition, F.lit(False)))

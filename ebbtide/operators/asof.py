@@ -228,9 +228,12 @@ def panel(
     horizon = midnight(days[-1] + timedelta(days=windows.horizon))
     occurred = F.col("occurred_at")
 
-    at = small_table(spark, [{"at": d} for d in days], pa.schema([("at", pa.date32())]))
-    # One row per cutoff from the parameters: safe to broadcast.
-    base = wh.subscribers.join(F.broadcast(at), F.col("signup_date") < F.col("at"))
+    # Each subscriber fans out to the cutoffs after the signup day; no join needed.
+    later = F.slice(
+        F.array(*[F.lit(d) for d in days]),
+        interval_index(F.col("signup_date"), [F.lit(d) for d in days]) + 1, len(days))
+    base = wh.subscribers.filter(F.col("signup_date") < F.lit(days[-1])).withColumn(
+        "at", F.explode(later))
     ids = None
     if max_subscribers:
         # The first n ids per cutoff: ids present at the first cutoff stay, so

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ebbtide.functions.columns import interval_index, reasons
+from ebbtide.functions.columns import epoch_seconds, interval_index, reasons
 from ebbtide.params import DIVERGENCE_BUCKETS, PROBABILITY_BUCKETS
 from ebbtide.session import small_table
 
@@ -183,32 +183,45 @@ def rule_table(spark: SparkSession, rules: Sequence[AlertRule] = RULES) -> DataF
     return small_table(spark, [vars(r) for r in rules], schema)
 
 
+def increase(samples: DataFrame, seconds: int = 900) -> DataFrame:
+    """Add ``increase``: growth against the earliest sample of the last ``seconds``.
+
+    Each sample also visits the next time block as context, so windows run per
+    (metric, block) and a long series is never sorted in one task.
+    """
+    at = epoch_seconds(F.col("ts"))
+    block = F.floor(at / seconds)
+    visits = samples.withColumn("_s", at).withColumn(
+        "_visit", F.explode(F.array(
+            F.struct(block.alias("block"), F.lit(True).alias("own")),
+            F.struct((block + 1).alias("block"), F.lit(False).alias("own")))))
+    recent = Window.partitionBy("metric", "_visit.block").orderBy("_s").rangeBetween(-seconds, 0)
+    grown = F.greatest(F.col("value") - F.first("value").over(recent), F.lit(0.0))
+    return visits.withColumn("increase", grown).filter("_visit.own").select(
+        *samples.columns, "increase")
+
+
 def rule_samples(
     samples: DataFrame, rules: Sequence[AlertRule] = RULES, now: Column | None = None
 ) -> DataFrame:
     """Every rule evaluated at every sample of its metric: ``(alert, ts, value, met)``.
 
-    The rules are a fixed dozen rows.  Guards are joined on equal times.  An
-    increase is the positive change against the earliest sample of the last
-    fifteen minutes; windows run per metric over scrape-grain samples.
+    The rules are a fixed dozen rows.  Guards are joined on equal times.
     """
     spark = samples.sparkSession
-    seconds = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
-    recent = Window.partitionBy("metric").orderBy(F.col("_s")).rangeBetween(-900, 0)
-    timed = samples.withColumn("_s", seconds)
-    increase = F.greatest(F.col("value") - F.first("value").over(recent), F.lit(0.0))
-    at = F.col("_s") if now is None else F.unix_micros(now.cast("timestamp")) / 1e6
+    counters = sorted({r.metric for r in rules if r.transform == "increase_15m"})
+    plain = samples.filter(~F.col("metric").isin(counters)).withColumn(
+        "increase", F.lit(None).cast("double"))
+    timed = plain.unionByName(increase(samples.filter(F.col("metric").isin(counters))))
     guards = samples.filter(F.col("value") == 1).select(
         F.col("metric").alias("guard"), F.col("ts"), F.lit(True).alias("guarded"))
-    rows = (
-        timed.withColumn("_increase", increase)
-        .join(F.broadcast(rule_table(spark, rules)), "metric")
-        .join(guards, ["guard", "ts"], "left")
-    )
+    rows = timed.join(F.broadcast(rule_table(spark, rules)), "metric").join(
+        guards, ["guard", "ts"], "left")
+    at = epoch_seconds(F.col("ts") if now is None else now)
     value = (
         F.when(F.col("transform") == "abs", F.abs("value"))
         .when(F.col("transform") == "age", at - F.col("value"))
-        .when(F.col("transform") == "increase_15m", F.col("_increase"))
+        .when(F.col("transform") == "increase_15m", F.col("increase"))
         .otherwise(F.col("value"))
     )
     limit = F.col("threshold")
@@ -225,18 +238,28 @@ def rule_samples(
 def alert_episodes(evaluated: DataFrame) -> DataFrame:
     """Unbroken runs of a met condition, per alert (gaps and islands).
 
-    Windows run per alert over samples already at scrape grain.
+    Two levels: runs inside each day, then runs that touch across days.  A long
+    series is sorted day by day, and only its runs meet in one window.
     """
-    order = Window.partitionBy("alert").orderBy("ts")
-    changed = F.coalesce(F.lag("met").over(order) != F.col("met"), F.lit(True)).cast("int")
-    islands = evaluated.withColumn("_changed", changed).withColumn(
-        "episode", F.sum("_changed").over(order))
-    runs = islands.filter("met").groupBy("alert", "severity", "for_seconds", "episode").agg(
-        F.min("ts").alias("started"), F.max("ts").alias("ended"), F.count("*").alias("n_samples"))
-    length = (F.unix_micros(F.col("ended").cast("timestamp"))
-              - F.unix_micros(F.col("started").cast("timestamp"))) / 1e6
-    return runs.withColumn("held_seconds", length.cast("bigint")).withColumn(
-        "fired", F.col("held_seconds") >= F.col("for_seconds")).drop("episode")
+    keys = ("alert", "severity", "for_seconds")
+
+    def numbered(rows: DataFrame, window) -> DataFrame:
+        change = F.coalesce(F.lag("met").over(window) != F.col("met"), F.lit(True))
+        return rows.withColumn("_change", change.cast("int")).withColumn(
+            "_run", F.sum("_change").over(window))
+
+    day = F.col("ts").cast("date")
+    in_day = Window.partitionBy("alert", "_day").orderBy("ts")
+    runs = numbered(evaluated.withColumn("_day", day), in_day).groupBy(
+        *keys, "_day", "_run", "met"
+    ).agg(F.min("ts").alias("started"), F.max("ts").alias("ended"), F.count("*").alias("n"))
+    across = Window.partitionBy("alert").orderBy("started")
+    merged = numbered(runs.drop("_run"), across).filter("met").groupBy(*keys, "_run").agg(
+        F.min("started").alias("started"), F.max("ended").alias("ended"),
+        F.sum("n").alias("n_samples"))
+    held = epoch_seconds(F.col("ended")) - epoch_seconds(F.col("started"))
+    return merged.withColumn("held_seconds", held.cast("bigint")).withColumn(
+        "fired", F.col("held_seconds") >= F.col("for_seconds")).drop("_run")
 
 
 def alert_state(evaluated: DataFrame) -> DataFrame:

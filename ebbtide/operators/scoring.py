@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -97,3 +98,24 @@ def what_if(
         .select(*key, "o.*", "old_probability",
                 (F.col("o.new_probability") - F.col("old_probability")).alias("delta"))
     )
+
+
+def score_foreign(
+    df: DataFrame, predict_proba: Callable[[pd.DataFrame], Sequence[float]],
+    key: Sequence[str] = ("subscriber_id",), output: str = "y_proba",
+) -> DataFrame:
+    """Score with a model Spark cannot express, in Arrow batches.
+
+    ``predict_proba`` gets the nine inputs of a batch and must be picklable; it
+    sees one batch at a time, never a whole partition.
+    """
+    rows = df.select(*key, *schemas.MODEL_INPUTS)
+    fields = {f.name: f.dataType.simpleString() for f in rows.schema}
+    kept = ", ".join(f"{k} {fields[k]}" for k in key)
+    inputs = list(schemas.MODEL_INPUTS)
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch[list(key)].assign(**{output: list(predict_proba(batch[inputs]))})
+
+    return rows.mapInPandas(score, f"{kept}, {output} double")

@@ -166,6 +166,29 @@ def replay_schedule(spark, sf):
     return asof.replay_schedule(cutoffs, today, 180)
 
 
+@query
+def snapshot_cache(spark, sf):
+    """Snapshots kept per (cutoff, sample); the second call reads the first's."""
+    path = f"{run_folder(spark)}/cache"
+
+    def build(cutoffs):
+        return panel(spark, sf, cutoffs, max_subscribers=400)
+
+    tables.cached_snapshots(spark, path, 400, build, CUTOFFS[1:3])
+    rows = tables.cached_snapshots(spark, path, 400, build, CUTOFFS[1:])
+    return rows.groupBy("cutoff").agg(
+        F.count("*").alias("n_rows"), F.sum("dropout").alias("dropouts"))
+
+
+@query
+def csv_round_trip(spark, sf):
+    """The held-out split written as CSV and read back under its schema."""
+    path = f"{run_folder(spark)}/test_split"
+    files.write_csv(
+        snapshot(spark, sf).select("subscriber_id", *schemas.MODEL_INPUTS, schemas.TARGET), path)
+    return files.read_training_csv(spark, path)
+
+
 @query
 def stratified_split(spark, sf):
     rows = asof.stratified_split(panel(spark, sf), ["subscriber_id", "cutoff"])
@@ -287,6 +310,22 @@ def what_if(spark, sf):
         *[F.round(c, 6).alias(c) for c in ("old_probability", "new_probability", "delta")])
 
 
+def _logistic(batch):
+    """The champion's formula over a pandas batch, standing in for a foreign model."""
+    import numpy as np
+
+    total = np.full(len(batch), linear.CHAMPION.intercept)
+    for name, weight, centre in linear.CHAMPION.terms:
+        total = total + weight * (batch[name].astype("float64").to_numpy() - centre)
+    return 1.0 / (1.0 + np.exp(-np.clip(total, -30.0, 30.0)))
+
+
+@query
+def foreign_model_scores(spark, sf):
+    return scoring.score_foreign(snapshot(spark, sf), _logistic).withColumn(
+        "y_proba", F.round("y_proba", 6))
+
+
 # --- evaluation --------------------------------------------------------------
 
 @query
@@ -521,6 +560,16 @@ def drift_report(spark, sf):
         c: F.array_join(c, ", ") for c in ("drifted_features", "top_features")})
 
 
+@query
+def drift_asof(spark, sf):
+    """A stored profile against a later cutoff of the warehouse."""
+    path = f"{run_folder(spark)}/profile"
+    files.write_table(drift.reference_profile(cut(panel(spark, sf, CUTOFFS[:-1]))), path)
+    rows = drift.assess(cut(snapshot(spark, sf)), files.read_table(spark, path))
+    return rows.withColumns({
+        c: F.array_join(c, ", ") for c in ("drifted_features", "top_features")})
+
+
 # --- catalogue and demo queries ----------------------------------------------
 
 @query
@@ -916,6 +965,26 @@ def run_report(spark, sf):
         F.array_join("attention_reasons", " | ").alias("attention_reasons"), "needs_attention")
 
 
+@query
+def training_headline(spark, sf):
+    """The few numbers of a run worth carrying into its report, per split."""
+    rows = _as_scored(asof.temporal_split(panel(spark, sf), CUTOFFS))
+    return training.headline(classification.evaluate(rows, THRESHOLD, ["split"]))
+
+
+@query
+def stored_run_report(spark, sf):
+    """A run report written as JSON and read back under its schema."""
+    path = f"{run_folder(spark)}/last_run"
+    report = demo.plan_mix(canonical.warehouse(spark, sf)).agg(
+        F.struct(F.sum("events").alias("events"),
+                 F.sum("with_auto_renew").alias("with_auto_renew")).alias("ingest"),
+        F.lit(False).alias("needs_attention"))
+    files.write_report(report, path)
+    back = files.read_report(spark, path, report.schema)
+    return files.flatten_metrics(back)
+
+
 @query
 def run_history(spark, sf):
     """Each cutoff's evaluation as a model version, newest first."""

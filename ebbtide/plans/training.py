@@ -43,6 +43,12 @@ def train_and_evaluate(
     return classification.evaluate(held_out, tuned["threshold"], ["split"])
 
 
+def headline(quality: DataFrame) -> DataFrame:
+    """The metrics worth carrying into a run report, per split."""
+    return quality.select("split", "n_samples", *[
+        F.round(c, 4).alias(c) for c in ("roc_auc", "pr_auc", "f1", "precision", "recall")])
+
+
 def decision_quality(
     scored: DataFrame, threshold: float, attribute: str, costs: Costs = Costs(),
     capacity: Capacity = Capacity(),

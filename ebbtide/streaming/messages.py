@@ -11,11 +11,38 @@ from pyspark.sql import functions as F
 from ebbtide import schemas
 
 ID = "subscriber_id"
+# Whole numbers may be written as 95 or 95.0, so they are read as doubles first.
 _INPUTS = ", ".join(
-    f"{f.name} {f.dataType.simpleString()}" for f in schemas.MODEL_INPUT_SCHEMA
+    f"{f.name} {'double' if f.dataType.simpleString() == 'int' else f.dataType.simpleString()}"
+    for f in schemas.MODEL_INPUT_SCHEMA
 )
 
 
+def _typed(parsed: str) -> Column:
+    """Model inputs in their types; a fraction where a whole number belongs is NULL."""
+    def field(f) -> Column:
+        value = F.col(f"{parsed}.{f.name}")
+        if f.dataType.simpleString() == "int":
+            value = F.when(value == F.floor(value), value.try_cast("int"))
+        return value.alias(f.name)
+
+    return F.struct(*[field(f) for f in schemas.MODEL_INPUT_SCHEMA])
+
+
+def _whole_json(text: Column) -> Column:
+    """Whether the text is one JSON value and nothing else.
+
+    The parser stops after the first value, so the text is tried inside an
+    object and inside an array: anything left over breaks one of the two.
+    """
+    in_object = F.concat(F.lit('{"v":'), text, F.lit("}"))
+    in_array = F.concat(F.lit("["), text, F.lit("]"))
+    return (
+        F.try_parse_json(in_object).isNotNull() & F.try_parse_json(in_array).isNotNull()
+        & (F.json_array_length(in_array) == 1)
+    )
+
+
 def _json_type(value: Column) -> Column:
     """Short name of a JSON value's type."""
     kind = F.schema_of_variant(value)
@@ -35,10 +62,11 @@ def parse(messages: DataFrame) -> DataFrame:
     required = F.array(*[F.lit(c) for c in schemas.MODEL_INPUTS])
     rows = messages.withColumn("text", F.try_validate_utf8(F.col("value"))).withColumns({
         "_json": F.try_parse_json("text"), "_keys": F.json_object_keys("text"),
+        "_whole": F.coalesce(_whole_json(F.col("text")), F.lit(False)),
     })
     missing = F.array_except(required, F.col("_keys"))
     error = (
-        F.when(F.col("_json").isNull(), F.concat(
+        F.when(~F.col("_whole"), F.concat(
             F.lit("message at offset "), F.col("offset").cast("string"),
             F.lit(" is not valid JSON")))
         .when(F.col("_keys").isNull(),
@@ -48,9 +76,11 @@ def parse(messages: DataFrame) -> DataFrame:
     )
     return rows.withColumns({
         "error": error,
-        "features": F.when(error.isNull(), F.from_json("text", _INPUTS)),
+        "_parsed": F.from_json("text", _INPUTS),
         ID: F.get_json_object("text", f"$.{ID}"),
-    }).drop("_json", "_keys")
+    }).withColumn(
+        "features", F.when(F.col("error").isNull(), _typed("_parsed"))
+    ).drop("_json", "_keys", "_whole", "_parsed")
 
 
 def unusable(features: str = "features") -> Column:

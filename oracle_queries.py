@@ -225,6 +225,11 @@ FROM (SELECT dropout, count(*) AS n,
       FROM panel GROUP BY dropout),
      (VALUES ('train'), ('validation'), ('test')) s(split)""")
 
+Q["snapshot_cache"] = with_(panel("panel", CUTOFFS[1:], cap=400), select="""
+SELECT cutoff, count(*) AS n_rows, CAST(sum(dropout) AS BIGINT) AS dropouts FROM panel
+GROUP BY cutoff""")
+Q["csv_round_trip"] = with_(SNAP, select="SELECT * EXCLUDE (cutoff, acquisition_channel) FROM snap")
+
 # --- features
 Q["model_inputs"] = with_(SNAP, select="""
 SELECT subscriber_id, CAST(tenure_days AS DOUBLE) AS tenure_days, monthly_fee,
@@ -431,6 +436,9 @@ SELECT subscriber_id, lever, new_value, round(y_proba, 6) AS old_probability,
     f"(SELECT {proba('champion')} FROM (SELECT s.* REPLACE ({value} AS {c}))) AS p "
     f"FROM scored s WHERE {cond}" for c, (text, cond, value) in _levers.items()) + ")")
 
+Q["foreign_model_scores"] = with_(SNAP, SCORED, select="""
+SELECT subscriber_id, round(y_proba, 6) AS y_proba FROM scored""")
+
 # --- evaluation
 Q["confusion"] = with_(PANEL, SCORED_PANEL, f"""
 c AS (SELECT cutoff, count(*) AS n, {CELLS} FROM scored GROUP BY cutoff)""", select=f"""
@@ -800,6 +808,15 @@ SELECT true AS available, CAST(NULL AS VARCHAR) AS reason, n_samples,
        n_samples >= 100 AS sufficient_sample, overall_verdict, verdict_code, drifted_features,
        top_features FROM verdict""")
 
+# A later cutoff as it is, without scores.
+PLAIN_LIVE = tuple(part.replace("monthly_fee * CAST(1.5 AS DOUBLE)", "monthly_fee") for part in LIVE)
+Q["drift_asof"] = with_(*REF, *PLAIN_LIVE,
+                        PSI.replace("FROM num_psi\n", "FROM num_psi WHERE feature <> "
+                                    "'dropout_probability'\n"), DRIFT, select="""
+SELECT true AS available, CAST(NULL AS VARCHAR) AS reason, n_samples,
+       n_samples >= 100 AS sufficient_sample, overall_verdict, verdict_code, drifted_features,
+       top_features FROM verdict""")
+
 # --- catalogue and demo queries
 Q["plan_mix"] = with_(select="""
 SELECT plan_type, count(*) AS events, round(avg(monthly_fee), 2) AS avg_monthly_fee,
@@ -1159,6 +1176,16 @@ a AS (SELECT *, list_filter([
   ], lambda x: x IS NOT NULL) AS why FROM r)""", select="""
 SELECT promoted, promotion_reason, fairness_passes, overall_verdict,
        array_to_string(why, ' | ') AS attention_reasons, len(why) > 0 AS needs_attention FROM a""")
+Q["training_headline"] = with_(PANEL, SPLIT, scored("scored", "split"), f"""
+c AS (SELECT split, count(*) AS n_samples, {CELLS} FROM scored GROUP BY split)""", select=f"""
+SELECT split, n_samples, round(roc_auc, 4) AS roc_auc, round(pr_auc, 4) AS pr_auc,
+       round({F1}, 4) AS f1, round(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0), 4) AS precision,
+       round(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0), 4) AS recall
+FROM c JOIN {auc("scored", "split")} a USING (split) JOIN {ap("scored", "split")} b USING (split)""")
+Q["stored_run_report"] = with_(select="""
+SELECT 'ingest_events' AS metric, CAST(count(*) AS DOUBLE) AS value FROM subscription_events
+UNION ALL SELECT 'ingest_with_auto_renew', CAST(count(*) AS DOUBLE) FROM subscription_events
+WHERE is_auto_renew_enabled""")
 Q["run_history"] = with_(PANEL, SCORED_PANEL, f"""
 per AS (SELECT cutoff, {CELLS} FROM scored GROUP BY cutoff),
 v AS (SELECT cutoff AS created, CAST(row_number() OVER (ORDER BY cutoff) AS INTEGER) AS version,
