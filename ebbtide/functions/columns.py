@@ -18,9 +18,19 @@ def midnight(value: date | str) -> Column:
     return F.lit(f"{as_date(value).isoformat()} 00:00:00").cast("timestamp_ntz")
 
 
+def clip(value: Column, low: float | None = None, high: float | None = None) -> Column:
+    """The value kept inside bounds; NULL stays NULL, unlike with greatest and least."""
+    out = value
+    if low is not None:
+        out = F.when(value < low, F.lit(low)).otherwise(out)
+    if high is not None:
+        out = F.when(value > high, F.lit(high)).otherwise(out)
+    return out
+
+
 def elapsed_days(later: Column, earlier: Column) -> Column:
     """Whole 24-hour periods between two zone-less timestamps, floored at zero."""
-    return F.greatest(F.extract(F.lit("DAY"), later - earlier), F.lit(0))
+    return clip(F.extract(F.lit("DAY"), later - earlier), low=0)
 
 
 def epoch_seconds(ts: Column) -> Column:

@@ -11,9 +11,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ebbtide.functions.columns import clip
+
 LOGIT_LIMIT = 30.0
 
 
+def logistic(logit: Column) -> Column:
+    return 1.0 / (1.0 + F.exp(-logit))
+
+
 @dataclass(frozen=True)
 class LinearModel:
     """``terms`` are (column, weight, centre), summed in the given order."""
@@ -30,10 +36,10 @@ class LinearModel:
         total = F.lit(self.intercept)
         for term in self.terms:
             total = total + self.contribution(*term)
-        return F.greatest(F.lit(-LOGIT_LIMIT), F.least(F.lit(LOGIT_LIMIT), total))
+        return clip(total, -LOGIT_LIMIT, LOGIT_LIMIT)
 
     def probability(self) -> Column:
-        return 1.0 / (1.0 + F.exp(-self.logit()))
+        return logistic(self.logit())
 
     def score(self, df: DataFrame, output: str = "y_proba") -> DataFrame:
         return df.withColumn(output, self.probability())

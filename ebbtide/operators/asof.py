@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide import schemas
-from ebbtide.functions.columns import as_date, count_if, elapsed_days, interval_index, midnight
+from ebbtide.functions.columns import (
+    as_date, clip, count_if, elapsed_days, interval_index, midnight,
+)
 from ebbtide.params import CUTOFF_STEP_DAYS, MIN_HISTORY_SUBSCRIBERS, Windows
 from ebbtide.session import small_table
 from ebbtide.sources.canonical import Warehouse
@@ -82,10 +84,10 @@ def _activity(wh: Warehouse, sessions: Column, payments: Column, tickets: Column
 
 def _finalise(rows: DataFrame, cutoff: Column, extra: Sequence[str]) -> DataFrame:
     """Tenure, recency, defaults and the fixed column order."""
-    tenure = F.greatest(F.date_diff(cutoff, F.col("signup_date")), F.lit(0))
-    recency = F.least(
-        F.coalesce(elapsed_days(cutoff.cast("timestamp_ntz"), F.col("last_seen")), tenure), tenure
-    )
+    tenure = clip(F.date_diff(cutoff, F.col("signup_date")), low=0)
+    since = elapsed_days(cutoff.cast("timestamp_ntz"), F.col("last_seen"))
+    # Never seen means absent since signup; activity before signup is capped.
+    recency = F.least(F.coalesce(since, tenure), tenure)
     count = {
         "support_tickets_last_90d": "tickets",
         "payment_failures_last_6m": "failures",

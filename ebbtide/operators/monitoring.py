@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ebbtide.functions.columns import epoch_seconds, interval_index, reasons
+from ebbtide.functions.columns import clip, epoch_seconds, interval_index, reasons
 from ebbtide.params import DIVERGENCE_BUCKETS, PROBABILITY_BUCKETS
 from ebbtide.session import small_table
 
@@ -196,7 +196,7 @@ def increase(samples: DataFrame, seconds: int = 900) -> DataFrame:
             F.struct(block.alias("block"), F.lit(True).alias("own")),
             F.struct((block + 1).alias("block"), F.lit(False).alias("own")))))
     recent = Window.partitionBy("metric", "_visit.block").orderBy("_s").rangeBetween(-seconds, 0)
-    grown = F.greatest(F.col("value") - F.first("value").over(recent), F.lit(0.0))
+    grown = clip(F.col("value") - F.first("value").over(recent), low=0.0)
     return visits.withColumn("increase", grown).filter("_visit.own").select(
         *samples.columns, "increase")
 

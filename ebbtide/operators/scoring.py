@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from ebbtide import schemas
 from ebbtide.functions import risk
+from ebbtide.functions.columns import clip
 from ebbtide.functions.explain import with_attributions
-from ebbtide.functions.linear import LinearModel
+from ebbtide.functions.linear import LOGIT_LIMIT, LinearModel, logistic
 from ebbtide.params import DECISION_THRESHOLD
 
 
@@ -78,7 +79,7 @@ def what_if(
                 total = total + F.lit(weight) * (x - F.lit(centre) if centre else x)
             else:
                 total = total + model.contribution(name, weight, centre)
-        return 1.0 / (1.0 + F.exp(-F.greatest(F.lit(-30.0), F.least(F.lit(30.0), total))))
+        return logistic(clip(total, -LOGIT_LIMIT, LOGIT_LIMIT))
 
     types = {f.name: f.dataType for f in schemas.MODEL_INPUT_SCHEMA}
     options = F.array(*[

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide import schemas
-from ebbtide.functions.columns import as_date, ratio
+from ebbtide.functions.columns import as_date, clip, ratio
 from ebbtide.operators import contract
 from ebbtide.params import DAYS_PER_MONTH
 from ebbtide.sources.canonical import Warehouse
@@ -119,7 +119,7 @@ def logs_to_sessions(logs: DataFrame, since: date | str | None = None) -> DataFr
         (F.monotonically_increasing_id() + 1).alias("session_id"),
         F.col("msno").alias("subscriber_id"),
         raw_date(F.col("date")).cast("timestamp_ntz").alias("occurred_at"),
-        (F.greatest(F.col("total_secs"), F.lit(0.0)) / 60.0).alias("duration_minutes"),
+        (clip(F.col("total_secs"), low=0.0) / 60.0).alias("duration_minutes"),
     )
 
 

@@ -84,7 +84,7 @@ def snap(name: str, cutoff: str, observation: int = 180, horizon: int = 180,
   SELECT subscriber_id, '{cutoff}' AS cutoff, CAST(greatest(tenure, 0) AS INTEGER) AS tenure_days,
          plan_type, monthly_fee, CAST(coalesce(n_sessions, 0) AS DOUBLE)
            AS avg_session_count_last_30d,
-         CAST(least(coalesce(greatest(since, 0), tenure), tenure) AS INTEGER)
+         CAST(least(coalesce(CASE WHEN since < 0 THEN 0 ELSE since END, tenure), tenure) AS INTEGER)
            AS last_activity_days_ago,
          CAST(coalesce(n_tickets, 0) AS INTEGER) AS support_tickets_last_90d,
          CAST(coalesce(failures, 0) AS INTEGER) AS payment_failures_last_6m,
