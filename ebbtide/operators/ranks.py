@@ -33,16 +33,12 @@ def _bucket_bounds(counts: DataFrame, value: str, rows_per_bucket: int) -> list[
     the buckets even.  They are fetched once, as plain numbers, so a re-run task
     sees the same buckets.
     """
-    steps = [i / MAX_BUCKETS for i in range(1, MAX_BUCKETS)]
-    found = counts.agg(
-        F.count("*").alias("n"),
-        F.percentile_approx(F.col(value).cast("double"), steps, 10_000).alias("bounds"),
-    ).first()
-    wanted = min(-(-found["n"] // rows_per_bucket), MAX_BUCKETS)
+    wanted = min(-(-counts.count() // rows_per_bucket), MAX_BUCKETS)
     if wanted <= 1:
         return []
-    every = MAX_BUCKETS // wanted
-    return sorted(set(found["bounds"][every - 1 :: every]))
+    steps = [i / wanted for i in range(1, wanted)]
+    quantiles = F.percentile_approx(F.col(value).cast("double"), steps, 10_000)
+    return sorted(set(counts.agg(quantiles.alias("bounds")).first()["bounds"]))
 
 
 def prefix_sums(

@@ -64,6 +64,11 @@ def scored_panel(spark, sf) -> DataFrame:
     return _as_scored(panel(spark, sf))
 
 
+def kept(rows: DataFrame, *columns: str) -> DataFrame:
+    """Only the scored columns, stored: for queries that pass over them several times."""
+    return cut(rows.select(*columns, "y_true", "y_proba"))
+
+
 def with_ties(rows: DataFrame) -> DataFrame:
     """The scores as they are, and rounded to two decimals so that they tie."""
     both = F.array(
@@ -139,7 +144,7 @@ def usable_cutoffs(spark, sf):
 @query
 def expanding_backfill(spark, sf):
     """Metrics of the test cutoff of every expanding window."""
-    rows = asof.expanding_windows(scored_panel(spark, sf), CUTOFFS)
+    rows = asof.expanding_windows(kept(scored_panel(spark, sf), "cutoff"), CUTOFFS)
     sizes = rows.groupBy("window_id", "test_cutoff").agg(
         *[count_if(F.col("split") == s).alias(f"n_{s}") for s in ("train", "validation", "test")])
     quality = classification.evaluate(
@@ -428,12 +433,13 @@ def cost_optimal(spark, sf):
 
 
 def _tied(spark, sf) -> DataFrame:
-    return scored_panel(spark, sf).select("y_true", F.round("y_proba", 2).alias("y_proba"))
+    return kept(scored_panel(spark, sf).withColumn("y_proba", F.round("y_proba", 2)))
 
 
 @query
 def capacity_threshold(spark, sf):
-    return decisions.capacity_threshold(_tied(spark, sf), 250).withColumn(
+    rows = scored_panel(spark, sf).withColumn("y_proba", F.round("y_proba", 2))
+    return decisions.capacity_threshold(rows, 250).withColumn(
         "capacity_threshold", F.round("capacity_threshold", 6))
 
 
@@ -464,19 +470,20 @@ ATTRIBUTES = ("plan_type", "acquisition_channel")
 
 @query
 def group_metrics(spark, sf):
-    grouped = fairness.by_attribute(scored(spark, sf), ATTRIBUTES)
+    grouped = fairness.by_attribute(kept(scored(spark, sf), *ATTRIBUTES), ATTRIBUTES)
     return fairness.group_metrics(grouped, THRESHOLD)
 
 
 @query
 def disparity(spark, sf):
-    rows = fairness.audit(scored(spark, sf), ATTRIBUTES, THRESHOLD)
+    rows = fairness.audit(kept(scored(spark, sf), *ATTRIBUTES), ATTRIBUTES, THRESHOLD)
     return rows.withColumn("concerns", F.array_join("concerns", "; "))
 
 
 @query
 def audit(spark, sf):
-    verdict = fairness.audit_verdict(fairness.audit(scored(spark, sf), ATTRIBUTES, THRESHOLD))
+    verdict = fairness.audit_verdict(
+        fairness.audit(kept(scored(spark, sf), *ATTRIBUTES), ATTRIBUTES, THRESHOLD))
     return verdict.withColumn(
         "attributes_with_concerns", F.array_join("attributes_with_concerns", ", "))
 
@@ -507,7 +514,7 @@ def _profile(spark, sf) -> DataFrame:
 
 
 def _live(spark, sf) -> DataFrame:
-    """The test cutoff, with sessions halved for one plan so that something moves."""
+    """The test cutoff, with a higher premium fee so that something moves."""
     rows = snapshot(spark, sf)
     return linear.CHAMPION.score(rows.withColumn(
         "monthly_fee", F.when(F.col("plan_type") == "premium", F.col("monthly_fee") * 1.5)
@@ -549,7 +556,7 @@ def psi_prediction(spark, sf):
 
 @query
 def drift_features(spark, sf):
-    rows = drift.drift_features(_live(spark, sf), _profile(spark, sf), "p")
+    rows = drift.drift_features(cut(_live(spark, sf)), _profile(spark, sf), "p")
     return rows.withColumn("unseen_categories", F.array_join("unseen_categories", ", "))
 
 
@@ -937,7 +944,7 @@ def alert_persistence(spark, sf):
 @query
 def decision_gauges(spark, sf):
     """Numbers of the decision reports as metric rows."""
-    rows = scored(spark, sf)
+    rows = kept(scored(spark, sf))
     report = decisions.threshold_report(rows, THRESHOLD)
     ece = calibration.calibration_metrics(rows)
     nested = report.select(F.struct(
@@ -968,7 +975,7 @@ def run_report(spark, sf):
 @query
 def training_headline(spark, sf):
     """The few numbers of a run worth carrying into its report, per split."""
-    rows = _as_scored(asof.temporal_split(panel(spark, sf), CUTOFFS))
+    rows = kept(_as_scored(asof.temporal_split(panel(spark, sf), CUTOFFS)), "split")
     return training.headline(classification.evaluate(rows, THRESHOLD, ["split"]))
 
 
@@ -988,7 +995,8 @@ def stored_run_report(spark, sf):
 @query
 def run_history(spark, sf):
     """Each cutoff's evaluation as a model version, newest first."""
-    quality = cut(classification.evaluate(scored_panel(spark, sf), THRESHOLD, ["cutoff"]))
+    quality = cut(classification.evaluate(
+        kept(scored_panel(spark, sf), "cutoff"), THRESHOLD, ["cutoff"]))
     # One row per cutoff.
     version = F.row_number().over(Window.orderBy("cutoff")).alias("version")
     versions = cut(quality.select(version, F.col("cutoff").alias("created"), "*"))
@@ -1012,7 +1020,7 @@ def run_history(spark, sf):
 def overview(spark, sf):
     """Warehouse, model and drift on one row."""
     counts = tables.table_counts(canonical.warehouse(spark, sf).tables())
-    quality = classification.evaluate(scored(spark, sf), THRESHOLD)
+    quality = classification.evaluate(kept(scored(spark, sf)), THRESHOLD)
     moved = drift.assess(cut(_live(spark, sf)), _profile(spark, sf), "p")
     return training.overview(counts, quality, moved)
 
@@ -1020,7 +1028,8 @@ def overview(spark, sf):
 @query
 def decision_quality(spark, sf):
     """Calibration, cost and fairness of one scored table as one row."""
-    return training.decision_quality(cut(scored(spark, sf)), THRESHOLD, "plan_type")
+    return training.decision_quality(
+        kept(scored(spark, sf), "plan_type"), THRESHOLD, "plan_type")
 
 
 # --- models ------------------------------------------------------------------
@@ -1048,7 +1057,7 @@ def feature_importances(spark, sf):
 def _stream_run(spark, sf) -> tuple[str, scorer.ScorerStats]:
     """Write the topic rows, then drain them through the streaming scorer."""
     folder = run_folder(spark)
-    requests.messages(spark, sf, snapshot(spark, sf)).repartition(4, "partition").write.parquet(
+    requests.messages(spark, sf, snapshot(spark, sf)).repartition(8, "offset").write.parquet(
         f"{folder}/topic")
     job = scorer.StreamScorer(
         lambda: linear.CHAMPION, scorer.file_sink(f"{folder}/out"), f"{folder}/checkpoint",

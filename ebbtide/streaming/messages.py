@@ -32,15 +32,12 @@ def _typed(parsed: str) -> Column:
 def _whole_json(text: Column) -> Column:
     """Whether the text is one JSON value and nothing else.
 
-    The parser stops after the first value, so the text is tried inside an
-    object and inside an array: anything left over breaks one of the two.
+    The parser stops after the first value, so the text is tried inside an array
+    and inside an object: anything left over breaks one of the two.
     """
-    in_object = F.concat(F.lit('{"v":'), text, F.lit("}"))
     in_array = F.concat(F.lit("["), text, F.lit("]"))
-    return (
-        F.try_parse_json(in_object).isNotNull() & F.try_parse_json(in_array).isNotNull()
-        & (F.json_array_length(in_array) == 1)
-    )
+    in_object = F.concat(F.lit('{"v":'), text, F.lit("}"))
+    return (F.json_array_length(in_array) == 1) & F.try_parse_json(in_object).isNotNull()
 
 
 def _json_type(value: Column) -> Column:
@@ -60,27 +57,31 @@ def parse(messages: DataFrame) -> DataFrame:
     than a lenient parser: duplicate keys and NaN are not valid JSON here.
     """
     required = F.array(*[F.lit(c) for c in schemas.MODEL_INPUTS])
-    rows = messages.withColumn("text", F.try_validate_utf8(F.col("value"))).withColumns({
-        "_json": F.try_parse_json("text"), "_keys": F.json_object_keys("text"),
-        "_whole": F.coalesce(_whole_json(F.col("text")), F.lit(False)),
-    })
-    missing = F.array_except(required, F.col("_keys"))
+    # Each step only runs where the one before succeeded: a failed parse is dear.
+    rows = (
+        messages.withColumn("text", F.try_validate_utf8(F.col("value")))
+        .withColumn("_whole", F.coalesce(_whole_json(F.col("text")), F.lit(False)))
+        .withColumn("_keys", F.when(F.col("_whole"), F.json_object_keys("text")))
+        .withColumn("_missing", F.array_except(required, F.col("_keys")))
+    )
     error = (
         F.when(~F.col("_whole"), F.concat(
             F.lit("message at offset "), F.col("offset").cast("string"),
             F.lit(" is not valid JSON")))
-        .when(F.col("_keys").isNull(),
-              F.concat(F.lit("expected a JSON object, got "), _json_type(F.col("_json"))))
-        .when(F.size(missing) > 0,
-              F.concat(F.lit("missing required fields: "), F.array_join(missing, ", ")))
+        .when(F.col("_keys").isNull(), F.concat(
+            F.lit("expected a JSON object, got "), _json_type(F.try_parse_json("text"))))
+        .when(F.size("_missing") > 0, F.concat(
+            F.lit("missing required fields: "), F.array_join("_missing", ", ")))
+    )
+    return (
+        rows.withColumn("error", error)
+        .withColumns({
+            "_parsed": F.when(F.col("error").isNull(), F.from_json("text", _INPUTS)),
+            ID: F.when(F.col("_keys").isNotNull(), F.get_json_object("text", f"$.{ID}")),
+        })
+        .withColumn("features", F.when(F.col("_parsed").isNotNull(), _typed("_parsed")))
+        .drop("_whole", "_keys", "_missing", "_parsed")
     )
-    return rows.withColumns({
-        "error": error,
-        "_parsed": F.from_json("text", _INPUTS),
-        ID: F.get_json_object("text", f"$.{ID}"),
-    }).withColumn(
-        "features", F.when(F.col("error").isNull(), _typed("_parsed"))
-    ).drop("_json", "_keys", "_whole", "_parsed")
 
 
 def unusable(features: str = "features") -> Column:
