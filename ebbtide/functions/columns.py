@@ -85,6 +85,27 @@ def percent_text(share: Column) -> Column:
     return F.concat(F.bround(share * 100.0, 0).cast("bigint").cast("string"), F.lit("%"))
 
 
+def two_decimals(value: Column) -> Column:
+    """Two decimals of the exact binary value, ties to even, as C and Python print it.
+
+    ``value * 100`` is split into its rounded product and the exact remainder
+    (Dekker), which decides on which side of a half the value really lies.
+    """
+    size = F.abs(value)
+    spread = size * 134217729.0
+    high = spread - (spread - size)
+    low = size - high
+    product = size * 100.0
+    rest = (high * 100.0 - product) + low * 100.0
+    whole = F.floor(product)
+    half = product - whole.cast("double") - 0.5
+    up = (half > 0) | ((half == 0) & ((rest > 0) | ((rest == 0) & (whole % 2 == 1))))
+    cents = whole + up.cast("bigint")
+    return F.concat(
+        F.when(value < 0, "-").otherwise(""), F.floor(cents / 100).cast("string"), F.lit("."),
+        F.lpad((cents % 100).cast("string"), 2, "0"))
+
+
 def plain_number(value: Column) -> Column:
     """Up to four decimals without trailing zeros."""
     return F.regexp_replace(F.format_string("%.4f", value), r"\.?0+$", "")

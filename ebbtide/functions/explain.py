@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ebbtide.functions.columns import two_decimals
 from ebbtide.functions.linear import LinearModel
 from ebbtide.params import ExplanationRules
 
@@ -61,8 +62,8 @@ def phrase(dominant: Column, raises: Column, rules: ExplanationRules = Explanati
     days, tenure = _n("last_activity_days_ago"), _n("tenure_days")
     sessions = F.col("avg_session_count_last_30d")
     friction = (F.col("support_tickets_last_90d") + F.col("payment_failures_last_6m"))
-    per_session = F.format_string("%.2f", F.col("monthly_fee") / (sessions + 1.0))
-    fee = F.format_string("%.2f", F.col("monthly_fee"))
+    per_session = two_decimals(F.col("monthly_fee") / (sessions + 1.0))
+    fee = two_decimals(F.col("monthly_fee"))
     low = F.format_string("low recent activity (%.1f sessions/30d)", sessions)
     steady = F.format_string("steady recent activity (%.1f sessions/30d)", sessions)
     new = F.concat(F.lit("only "), tenure, F.lit(" days since signup"))

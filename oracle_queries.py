@@ -113,6 +113,11 @@ def d(x: float) -> str:
     return f"CAST({x!r} AS DOUBLE)"
 
 
+def money(x: str, places: int = 2) -> str:
+    """Round the decimal value of a double, half away from zero, as a numeric type does."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(30, 15)), {places}) AS DOUBLE)"
+
+
 def proba(model: str, fee: str = "monthly_fee", **swap: str) -> str:
     weights = {
         "champion": (-1.8, (0.01, -0.18, -0.6, 0.4, 0.3, 0.1, 0.002)),
@@ -363,7 +368,7 @@ SELECT subscriber_id, concept, round(total, 6) AS total, dominant FROM concepts"
 
 
 def fmt2(x: str) -> str:
-    return f"printf('%.2f', round({x}, 2))"
+    return f"printf('%.2f', {x})"
 
 
 PHRASE = f"""CASE
@@ -781,9 +786,9 @@ SELECT feature, CASE WHEN feature = 'dropout_probability' THEN 'prediction' ELSE
        round(share, 6) AS share, round(mean, 4) AS mean FROM ref_shares
 UNION ALL SELECT feature, 'discrete', NULL, category, n_rows, NULL, NULL, round(share, 6), NULL
 FROM ref_cats""")
-Q["profile_stats"] = with_(TRAIN, unpivot("v", "train"), select="""
+Q["profile_stats"] = with_(TRAIN, unpivot("v", "train"), select=f"""
 SELECT feature, count(*) AS n, round(avg(value), 4) AS mean, round(stddev_pop(value), 4) AS std,
-       round(min(value), 4) AS min, round(max(value), 4) AS max FROM v GROUP BY feature""")
+       {money("min(value)", 4)} AS min, {money("max(value)", 4)} AS max FROM v GROUP BY feature""")
 Q["psi_numeric"] = with_(*REF, *LIVE, PSI, select="""
 SELECT feature, round(psi, 4) AS psi, reference_mean, live_mean FROM num_psi
 WHERE feature <> 'dropout_probability'""")
@@ -833,11 +838,6 @@ FROM subscription_events WHERE event_type = 'cancellation' AND occurred_at >= '1
 GROUP BY 1""")
 
 
-def money(x: str, places: int = 2) -> str:
-    """Round the decimal value of a double, half away from zero, as a numeric type does."""
-    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(30, 15)), {places}) AS DOUBLE)"
-
-
 HISTORY = f"""
 history AS (SELECT subscriber_id, 'event' AS record_type, occurred_at, event_type AS detail,
                    {money("monthly_fee")} AS amount FROM subscription_events

@@ -102,6 +102,17 @@ def test_percent_rounds_half_to_even(spark, p, text):
     assert spark.range(1).select(percent_text(F.lit(p))).first()[0] == text
 
 
+def test_two_decimals_print_the_exact_binary_value(spark):
+    from ebbtide.functions.columns import two_decimals
+
+    texts = [2.675, 77.195, 0.125, 0.375, 1.005, 19.99, 0.0, 100.0, 0.1 + 0.2, 999.995, 12.345,
+             -3.455, 1e9 + 0.005, *[i / 1000 for i in range(1, 4000, 7)],
+             *[i * 1.1 / 3 for i in range(500)]]
+    df = spark.createDataFrame([(float(x),) for x in texts], "x double")
+    for r in df.select("x", two_decimals(F.col("x")).alias("t")).collect():
+        assert r.t == f"{r.x:.2f}", r.x
+
+
 def test_explanation_falls_back_to_signals_then_default(spark):
     middle = (200, 10.0, 8.0, 10, 0, 0, 0, "basic", True)
     out = scoring.predict(frame(spark, LOW, middle), linear.CHAMPION).collect()
