@@ -228,6 +228,8 @@ def aligned_categories(df: DataFrame, profile: DataFrame) -> DataFrame:
 
 
 def discrete_psi(df: DataFrame, profile: DataFrame) -> DataFrame:
+    """PSI per discrete feature.  Unseen categories are listed, as plans are few;
+    :func:`aligned_categories` has them as rows."""
     return aligned_categories(df, profile).groupBy("feature").agg(
         F.sum(psi_term(F.col("reference_share"), F.col("live_share"))).alias("psi"),
         F.array_sort(F.collect_list(F.when(F.col("unseen"), F.col("category"))))

@@ -18,8 +18,12 @@ MAX_BUCKETS = 1024
 def value_counts(
     df: DataFrame, keys: Sequence[str], value: str, measures: dict[str, Column]
 ) -> DataFrame:
-    """Collapse to one row per distinct (keys, value), summed map-side first."""
-    return (
+    """One stored row per distinct (keys, value), summed map-side first.
+
+    Stored, since ranking passes over it several times: for its size, for even
+    buckets and for the running sums.
+    """
+    return cut(
         df.filter(F.col(value).isNotNull())
         .groupBy(*keys, value)
         .agg(*[F.sum(expr.cast("bigint")).alias(name) for name, expr in measures.items()])
@@ -51,11 +55,13 @@ def prefix_sums(
 ) -> DataFrame:
     """Running totals ``cum_<measure>`` along ``value`` (own row included).
 
-    Two levels: running totals inside value buckets, plus the totals of the
-    buckets before.  Buckets hold an even share of the distinct values whatever
-    their distribution, and a hot value is already a single row.
+    Two levels: each value bucket gets one opening row carrying the totals of
+    the buckets before it, then one window per bucket sums up.  Buckets hold an
+    even share of the distinct values whatever their distribution, and a hot
+    value is already a single row; so one shuffle, no join and no large task.
+
+    ``counts`` comes from :func:`value_counts`.
     """
-    counts = cut(counts)
     bounds = _bucket_bounds(counts, value, rows_per_bucket)
     order = F.col(value).desc() if descending else F.col(value).asc()
     if not bounds:
@@ -66,27 +72,21 @@ def prefix_sums(
     bucketed = counts.withColumn("_bucket", interval_index(F.col(value), bounds))
     step = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
     before = Window.partitionBy(*keys).orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
+    opening = (
         bucketed.groupBy(*keys, "_bucket")
-        .agg(*[F.sum(m).alias(f"_sum_{m}") for m in measures])
-        .select(
-            *[F.col(k).alias(f"_key_{k}") for k in keys], F.col("_bucket").alias("_of"),
-            *[F.coalesce(F.sum(f"_sum_{m}").over(before), F.lit(0)).alias(f"_off_{m}")
-              for m in measures],
-        )
+        .agg(*[F.sum(m).alias(m) for m in measures])
+        .select(*keys, "_bucket",
+                *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(m) for m in measures])
     )
-    match = F.col("_bucket") == F.col("_of")
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(order)
-    return (
-        bucketed.select("*", *[F.sum(m).over(inside).alias(f"_in_{m}") for m in measures])
-        .join(offsets, match)
-        .select(
-            *counts.columns,
-            *[(F.col(f"_in_{m}") + F.col(f"_off_{m}")).alias(f"cum_{m}") for m in measures],
-        )
+    rows = bucketed.withColumn("_own", F.lit(True)).unionByName(
+        opening.withColumn("_own", F.lit(False)), allowMissingColumns=True)
+    running = (
+        Window.partitionBy(*keys, "_bucket").orderBy("_own", order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    return rows.select(
+        "*", *[F.sum(m).over(running).alias(f"cum_{m}") for m in measures]
+    ).filter("_own").select(*counts.columns, *[f"cum_{m}" for m in measures])
 
 
 def exact_quantiles(
@@ -104,7 +104,7 @@ def exact_quantiles(
     """
     counts = value_counts(df, keys, value, {"n": F.lit(1)})
     ranked = prefix_sums(counts, keys, value, ["n"], rows_per_bucket=rows_per_bucket)
-    totals = ranked.groupBy(*keys).agg(F.sum("n").alias("_total"))
+    totals = counts.groupBy(*keys).agg(F.sum("n").alias("_total"))
     # One row per key: the caller's few features, classes or groups.
     joined = ranked.join(F.broadcast(totals), list(keys)) if keys else ranked.withColumn(
         "_total", F.lit(totals.first()["_total"]).cast("bigint")

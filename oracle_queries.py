@@ -902,7 +902,7 @@ GROUP BY plan_type""")
 EVENT_TABLES = ("subscription_events", "sessions", "payments", "support_tickets")
 
 
-def _checks(t: str) -> list[str]:
+def _checks(t: str, numbered: bool = False) -> list[str]:
     when = "signup_date" if t == "subscribers" else "occurred_at"
     rules = [
         ("empty subscriber_id", "error", "subscriber_id IS NULL OR trim(subscriber_id) = ''"),
@@ -924,6 +924,8 @@ def _checks(t: str) -> list[str]:
     rows.append(f"SELECT '{t}', 'empty table: its features are constant', 'warning', "
                 f"CAST(count(*) = 0 AS BIGINT), NULL FROM {t}")
     key = {"subscribers": "subscriber_id", "subscription_events": "event_id"}.get(t)
+    if numbered and not key:
+        key = {"sessions": "session_id", "payments": "payment_id"}.get(t, "ticket_id")
     if key:
         rows.append(f"SELECT '{t}', 'duplicate {key}', 'error', "
                     f"CAST(coalesce(sum(n), 0) AS BIGINT), count(*) FROM "
@@ -1032,6 +1034,23 @@ Q["ingest_load"] = with_(COUNTS, select="""
 SELECT table_name, CASE table_name WHEN 'support_tickets' THEN 0
          WHEN 'payments' THEN (SELECT count(*) FROM orders) ELSE row_count END AS row_count
 FROM counts""")
+# The mapped export under the table names, its rows numbered.
+MAPPED = f"""
+firsts AS (SELECT o_custkey, min(o_orderdate) AS first_order FROM orders GROUP BY 1),
+subscribers AS (SELECT CAST(c_custkey AS VARCHAR) AS subscriber_id,
+    CASE WHEN day(first_order) = 1 THEN NULL ELSE CAST(first_order AS DATE) END AS signup_date
+  FROM customer JOIN firsts ON o_custkey = c_custkey),{RAW},
+subscription_events AS (SELECT o_orderkey AS event_id, subscriber_id, o_orderdate AS occurred_at,
+    'renewal' AS event_type, paid / days AS monthly_fee FROM raw),
+payments AS (SELECT o_orderkey AS payment_id, subscriber_id, o_orderdate AS occurred_at,
+    'succeeded' AS status, paid AS amount FROM raw),
+sessions AS (SELECT row_number() OVER () AS session_id, CAST(o_custkey AS VARCHAR) AS subscriber_id,
+    l_shipdate AS occurred_at, CASE WHEN l_returnflag = 'R' THEN 0 ELSE l_quantity END
+      AS duration_minutes FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
+support_tickets AS (SELECT payment_id AS ticket_id, subscriber_id, occurred_at FROM payments
+                    WHERE false)"""
+Q["ingest_dry_run"] = f"WITH {MAPPED}, checks AS (" + " UNION ALL ".join(
+    c for t in ("subscribers", *EVENT_TABLES) for c in _checks(t, True)) + ")" + SUMMARY
 Q["dead_features"] = with_(SNAP, """
 z AS (SELECT * REPLACE (0 AS support_tickets_last_90d, 0 AS payment_failures_last_6m) FROM snap)""",
     wide("w", "z"), select=" UNION ALL ".join(
