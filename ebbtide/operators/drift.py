@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide import schemas
@@ -102,15 +102,17 @@ def bin_counts(values: DataFrame, edges: DataFrame, bins: int = DRIFT_BINS) -> D
 
 
 def _shares(spine: DataFrame, counts: DataFrame) -> DataFrame:
-    """Share per bin; empty bins count 0, an empty feature is all zeros."""
-    totals = counts.groupBy("feature").agg(
-        F.sum("n").alias("n_values"), F.sum("total").alias("_sum"))
-    return (
-        spine.join(counts, ["feature", "bin_no"], "left")
-        .join(F.broadcast(totals), "feature", "left")  # one row per feature
-        .withColumn("share", F.coalesce(ratio(F.col("n"), F.col("n_values")), F.lit(0.0)))
-        .withColumn("mean", ratio(F.col("_sum"), F.col("n_values")))
-    )
+    """Share per bin; empty bins count 0, an empty feature is all zeros.
+
+    The window covers the few bins of a feature.
+    """
+    feature = Window.partitionBy("feature")
+    return spine.join(counts, ["feature", "bin_no"], "left").withColumns({
+        "n_values": F.sum("n").over(feature), "_sum": F.sum("total").over(feature),
+    }).withColumns({
+        "share": F.coalesce(ratio(F.col("n"), F.col("n_values")), F.lit(0.0)),
+        "mean": ratio(F.col("_sum"), F.col("n_values")),
+    })
 
 
 def prediction_edges(df: DataFrame, bins: int = DRIFT_BINS) -> DataFrame:
@@ -129,11 +131,9 @@ def scores_as_values(df: DataFrame, column: str) -> DataFrame:
 def category_shares(df: DataFrame) -> DataFrame:
     """Relative frequency per category of every discrete feature."""
     counts = unpivot_discrete(df).groupBy("feature", "category").agg(F.count("*").alias("n"))
-    totals = counts.groupBy("feature").agg(F.sum("n").alias("n_values"))
-    return counts.join(F.broadcast(totals), "feature").select(
-        "feature", "category", ratio(F.col("n"), F.col("n_values")).alias("share"),
-        F.col("n_values"),
-    )
+    total = F.sum("n").over(Window.partitionBy("feature"))
+    return counts.withColumn("n_values", total).select(
+        "feature", "category", ratio(F.col("n"), F.col("n_values")).alias("share"), "n_values")
 
 
 def reference_profile(
@@ -192,12 +192,10 @@ def _binned_psi(profile: DataFrame, kind: str, values: DataFrame, bins: int) ->
     reference = profile.filter(F.col("kind") == kind)
     edges = reference.groupBy("feature").agg(
         F.array_sort(F.array_union(F.collect_set("lo"), F.collect_set("hi"))).alias("edges"))
-    live = _shares(reference.select("feature", "bin_no"), bin_counts(values, edges, bins))
-    aligned = reference.select(
+    spine = reference.select(
         "feature", "bin_no", F.col("share").alias("reference_share"),
-        F.col("mean").alias("reference_mean"),
-    ).join(live.select("feature", "bin_no", "share", "mean"), ["feature", "bin_no"])
-    return aligned.groupBy("feature").agg(
+        F.col("mean").alias("reference_mean"))
+    return _shares(spine, bin_counts(values, edges, bins)).groupBy("feature").agg(
         F.sum(psi_term(F.col("reference_share"), F.col("share"))).alias("psi"),
         F.first("reference_mean").alias("reference_mean"),
         F.round(F.first("mean"), 4).alias("live_mean"),

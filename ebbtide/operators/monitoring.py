@@ -131,6 +131,50 @@ def serving_samples(
     }))
 
 
+def _flag(name: str) -> Column:
+    return F.col(name).cast("int")
+
+
+def decision_samples(quality: DataFrame, ts: Column) -> DataFrame:
+    """Gauges of a decision-quality row; an undefined one has no sample."""
+    return unpivot_samples(quality, ts, {
+        "subscriber_model_calibration_ece": F.col("expected_calibration_error"),
+        "subscriber_model_cost_savings_available": F.col("savings"),
+        "subscriber_model_offers_required": F.col("offers_required"),
+        "subscriber_model_capacity_binding": _flag("binding"),
+        "subscriber_model_capacity_shortfall": F.col("shortfall"),
+        "subscriber_model_capacity_cost": F.col("cost_of_constraint"),
+        "subscriber_model_fairness_passes": _flag("fairness_passes"),
+        "subscriber_model_fairness_ratio_selection": F.col("selection_rate_ratio"),
+        "subscriber_model_fairness_ratio_recall": F.col("recall_ratio"),
+        "subscriber_model_fairness_ratio_roc_auc": F.col("roc_auc_ratio"),
+    })
+
+
+def pipeline_samples(report: DataFrame, ts: Column) -> DataFrame:
+    """Gauges of a run report (:func:`run_report` with ``n_samples`` if known).
+
+    A run that trained nothing has no ``promoted`` sample, an unavailable drift
+    check no verdict.
+    """
+    n = F.col("n_samples") if "n_samples" in report.columns else F.lit(None)
+    return unpivot_samples(report, ts, {
+        "subscriber_pipeline_last_run_timestamp_seconds": epoch_seconds(ts),
+        "subscriber_pipeline_needs_attention": _flag("needs_attention"),
+        "subscriber_pipeline_promoted": _flag("promoted"),
+        "subscriber_drift_verdict": F.when(
+            F.col("available"), verdict_gauge(F.col("overall_verdict"))),
+        "subscriber_drift_sample_size": F.when(F.col("available"), n),
+    })
+
+
+def psi_samples(features: DataFrame, ts: Column) -> DataFrame:
+    """One gauge per drift feature."""
+    return features.select(
+        ts.alias("ts"), F.concat(F.lit("subscriber_drift_psi_"), F.col("feature")).alias("metric"),
+        F.col("psi").alias("value"))
+
+
 @dataclass(frozen=True)
 class AlertRule:
     """``transform(metric) op threshold``, continuously for ``for_seconds``.

@@ -956,6 +956,27 @@ def decision_gauges(spark, sf):
                               "test_calibration_"))
 
 
+@query
+def report_gauges(spark, sf):
+    """Decision quality and drift of the test cutoff as gauges, stamped with its day."""
+    at = F.lit(f"{TEST} 00:00:00").cast("timestamp_ntz")
+    quality = training.decision_quality(
+        kept(scored(spark, sf), "plan_type"), THRESHOLD, "plan_type")
+    moved = drift.drift_features(cut(_live(spark, sf)), _profile(spark, sf), "p")
+    out = monitoring.decision_samples(quality, at).unionByName(monitoring.psi_samples(moved, at))
+    return out.withColumn("value", F.round("value", 6))
+
+
+@query
+def report_alerts(spark, sf):
+    """The alert rules over the gauges of the decision report."""
+    at = F.lit(f"{TEST} 00:00:00").cast("timestamp_ntz")
+    quality = training.decision_quality(
+        kept(scored(spark, sf), "plan_type"), THRESHOLD, "plan_type")
+    samples = cut(monitoring.decision_samples(quality, at))
+    return monitoring.alert_state(monitoring.rule_samples(samples))
+
+
 @query
 def run_report(spark, sf):
     """Gate, drift and fairness of one run, with the reasons to look at it."""

@@ -51,9 +51,14 @@ def headline(quality: DataFrame) -> DataFrame:
 
 def decision_quality(
     scored: DataFrame, threshold: float, attribute: str, costs: Costs = Costs(),
-    capacity: Capacity = Capacity(),
+    capacity: Capacity = Capacity(), held_out: DataFrame | None = None,
+    method: str = "isotonic",
 ) -> DataFrame:
-    """Calibration, costs, capacity and fairness of one scored table, one row."""
+    """Calibration, costs, capacity and fairness of one scored table, one row.
+
+    With scores of a ``held_out`` split, a calibration map is fitted on them and
+    its effect on this table measured; it is never applied.
+    """
     fair = fairness.audit(scored, [attribute], threshold).select(
         "selection_rate_ratio", "recall_ratio", "roc_auc_ratio",
         F.col("passes").alias("fairness_passes"))
@@ -61,7 +66,14 @@ def decision_quality(
         "offers_required", "binding", "shortfall", "cost_of_constraint")
     cost = decisions.threshold_report(scored, threshold, costs).select(
         "savings", "optimal_threshold", "extra_offers_required")
-    return merge_rows(calibration.calibration_metrics(scored), cost, cap, fair)
+    parts = [calibration.calibration_metrics(scored), cost, cap, fair]
+    if held_out is not None:
+        tried = calibration.fit_calibration(held_out, method)(scored)
+        parts.append(calibration.compare_calibration(tried, "y_proba", "calibrated").select(
+            F.lit(method).alias("calibration_method"),
+            F.col("improved").alias("calibration_improved"), "ece_improvement",
+            F.lit(False).alias("calibration_applied")))
+    return merge_rows(*parts)
 
 
 def training_summary(gate: DataFrame, fair: DataFrame) -> DataFrame:

@@ -1228,9 +1228,9 @@ SELECT (SELECT CAST(sum(row_count) AS BIGINT) FROM counts) AS total_rows,
        round(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fp, 0), 0), 4) AS precision,
        round(coalesce(CAST(tp AS DOUBLE) / nullif(tp + fn, 0), 0), 4) AS recall,
        true AS drift_available, overall_verdict AS drift_verdict FROM c, verdict""")
-Q["decision_quality"] = with_(SNAP, SCORED, threshold_ctes("scored"), ECE1, PLAN_GROUPS, GROUPS,
-                              AUDIT, """
-m AS (SELECT count(*) AS n_samples, avg(y_proba) AS mp, avg(y_true) AS my FROM scored)""", select="""
+QUALITY = (SNAP, SCORED, threshold_ctes("scored"), ECE1, PLAN_GROUPS, GROUPS, AUDIT, """
+m AS (SELECT count(*) AS n_samples, avg(y_proba) AS mp, avg(y_true) AS my FROM scored)""", """
+quality AS (
 SELECT brier_score, expected_calibration_error, round(mp, 4) AS mean_predicted,
        round(my, 4) AS observed_rate, round(mp - my, 4) AS mean_bias, n_samples,
        round(cur.total_cost - opt.total_cost, 2) AS savings,
@@ -1238,7 +1238,30 @@ SELECT brier_score, expected_calibration_error, round(mp, 4) AS mean_predicted,
        opt.flagged - cur.flagged AS extra_offers_required, opt.flagged AS offers_required,
        false AS binding, CAST(0 AS BIGINT) AS shortfall, CAST(0 AS DOUBLE) AS cost_of_constraint,
        selection_rate_ratio, recall_ratio, roc_auc_ratio, len(concerns) = 0 AS fairness_passes
-FROM e, cur, opt, audit, m""")
+FROM e, cur, opt, audit, m)""")
+Q["decision_quality"] = with_(*QUALITY, select="SELECT * FROM quality")
+_gauges = {
+    "calibration_ece": "expected_calibration_error", "cost_savings_available": "savings",
+    "offers_required": "offers_required", "capacity_binding": "binding",
+    "capacity_shortfall": "shortfall", "capacity_cost": "cost_of_constraint",
+    "fairness_passes": "fairness_passes", "fairness_ratio_selection": "selection_rate_ratio",
+    "fairness_ratio_recall": "recall_ratio", "fairness_ratio_roc_auc": "roc_auc_ratio",
+}
+_gauge_rows = " UNION ALL ".join(
+    f"SELECT 'subscriber_model_{name}' AS metric, CAST({c} AS DOUBLE) AS value FROM quality"
+    for name, c in _gauges.items())
+Q["report_gauges"] = with_(*QUALITY, *REF, *LIVE[1:], PSI, select=f"""
+SELECT TIMESTAMP '2000-01-01 00:00:00' AS ts, metric, round(value, 6) AS value FROM (
+  {_gauge_rows} UNION ALL SELECT 'subscriber_drift_psi_' || feature, round(psi, 4) FROM codes)
+WHERE value IS NOT NULL""")
+Q["report_alerts"] = with_(*QUALITY, select="""
+SELECT alert, TIMESTAMP '2000-01-01 00:00:00' AS last_ts,
+       CASE WHEN met THEN 'pending' ELSE 'inactive' END AS state,
+       CASE WHEN met THEN TIMESTAMP '2000-01-01 00:00:00' END AS started,
+       CAST(0 AS BIGINT) AS held_seconds
+FROM (SELECT 'FairnessDisparity' AS alert, NOT fairness_passes AS met FROM quality
+      UNION ALL SELECT 'RetentionCapacityBinding', binding FROM quality
+      UNION ALL SELECT 'OutreachVolumeUnaffordable', offers_required > 5000 FROM quality)""")
 
 # --- streaming: the same results in batch
 MESSAGES = """

@@ -297,6 +297,24 @@ def test_run_report_reasons(spark):
     assert not report(spark, None, "significant", None, False).needs_attention
 
 
+def test_pipeline_gauges_leave_out_what_is_undefined(spark):
+    def gauges(*args):
+        training = spark.createDataFrame(
+            [args[:2]], "promoted boolean, needs_attention boolean")
+        df = training.withColumns({
+            "available": F.lit(args[2]), "overall_verdict": F.lit(args[3]),
+            "n_samples": F.lit(500)})
+        out = monitoring.pipeline_samples(df, F.lit(str(T0)).cast("timestamp_ntz"))
+        return {r.metric.removeprefix("subscriber_"): r.value for r in out.collect()}
+
+    ran = (T0 - datetime(1970, 1, 1)).total_seconds()
+    assert gauges(False, True, True, "significant") == {
+        "pipeline_last_run_timestamp_seconds": ran, "pipeline_needs_attention": 1.0,
+        "pipeline_promoted": 0.0, "drift_verdict": 2.0, "drift_sample_size": 500.0}
+    assert gauges(None, False, False, None) == {
+        "pipeline_last_run_timestamp_seconds": ran, "pipeline_needs_attention": 0.0}
+
+
 def test_verdict_codes(spark):
     out = spark.createDataFrame([("stable",), ("significant",), (None,)], "v string")
     assert [r[0] for r in out.select(monitoring.verdict_gauge(F.col("v"))).collect()] == [0, 2, None]

@@ -260,3 +260,15 @@ def test_promotion_reasons(spark):
 def test_an_undefined_score_raises(spark, new, old):
     with pytest.raises(Exception, match="undefined"):
         gate(spark, new, old)
+
+
+def test_decision_quality_measures_but_never_applies_calibration(spark):
+    from ebbtide.plans.training import decision_quality
+
+    rows = scored(spark, [((i * 13) % 100 < i / 2, i / 100) for i in range(100)]).withColumn(
+        "plan_type", F.lit("basic"))
+    r = decision_quality(rows, 0.5, "plan_type", held_out=rows).first()
+    assert r.calibration_improved and r.calibration_applied is False
+    before = calibration.calibration_metrics(rows).first()
+    assert r.expected_calibration_error == before.expected_calibration_error
+    assert r.fairness_passes and r.offers_required > 0
