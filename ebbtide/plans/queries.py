@@ -315,20 +315,28 @@ def what_if(spark, sf):
         *[F.round(c, 6).alias(c) for c in ("old_probability", "new_probability", "delta")])
 
 
-def _logistic(batch):
-    """The champion's formula over a pandas batch, standing in for a foreign model."""
-    import numpy as np
+def _logistic(model: linear.LinearModel):
+    """The formula over a pandas batch, standing in for a foreign model.
 
-    total = np.full(len(batch), linear.CHAMPION.intercept)
-    for name, weight, centre in linear.CHAMPION.terms:
-        total = total + weight * (batch[name].astype("float64").to_numpy() - centre)
-    return 1.0 / (1.0 + np.exp(-np.clip(total, -30.0, 30.0)))
+    It closes over plain numbers, so Python workers need no package of ours.
+    """
+    intercept, terms = model.intercept, model.terms
+
+    def predict_proba(batch):
+        import numpy as np
+
+        total = np.full(len(batch), intercept)
+        for name, weight, centre in terms:
+            total = total + weight * (batch[name].astype("float64").to_numpy() - centre)
+        return 1.0 / (1.0 + np.exp(-np.clip(total, -30.0, 30.0)))
+
+    return predict_proba
 
 
 @query
 def foreign_model_scores(spark, sf):
-    return scoring.score_foreign(snapshot(spark, sf), _logistic).withColumn(
-        "y_proba", F.round("y_proba", 6))
+    rows = scoring.score_foreign(snapshot(spark, sf), _logistic(linear.CHAMPION))
+    return rows.withColumn("y_proba", F.round("y_proba", 6))
 
 
 # --- evaluation --------------------------------------------------------------

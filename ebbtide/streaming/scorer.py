@@ -11,6 +11,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -27,17 +28,33 @@ class ModelUnavailable(RuntimeError):
     """No model to score with: the batch must be read again later."""
 
 
+Score = Callable[[DataFrame, LinearModel, float], DataFrame]
+
+
+def _inputs(messages: DataFrame) -> DataFrame:
+    """Parsed rows with their model inputs as columns."""
+    rows = parse(messages)
+    rows = rows.withColumn("error", F.coalesce("error", unusable()))
+    return rows.select(*[c for c in rows.columns if c != "features"], "features.*")
+
+
 def route(
-    messages: DataFrame, model: LinearModel, threshold: float = DECISION_THRESHOLD
+    messages: DataFrame, model: LinearModel, threshold: float = DECISION_THRESHOLD,
+    score: Score = predict,
 ) -> DataFrame:
     """One row per message with its ``route``; a bad row never costs a good one."""
-    rows = parse(messages)
-    rows = rows.withColumn("error", F.coalesce("error", unusable()))
-    flat = rows.select(*[c for c in rows.columns if c != "features"], "features.*")
-    scored = predict(flat, model, threshold)
+    scored = score(_inputs(messages), model, threshold)
     return scored.withColumn("route", F.when(F.col("error").isNull(), SCORED).otherwise(DEAD))
 
 
+def route_failed(messages: DataFrame, failure: Exception) -> DataFrame:
+    """Every message dead-lettered: scoring itself failed on this batch."""
+    first = str(failure).strip().splitlines()[:1]
+    reason = F.lit(f"scoring error: {(first or [type(failure).__name__])[0]}")
+    return _inputs(messages).withColumns({
+        "error": F.coalesce("error", reason), "route": F.lit(DEAD)})
+
+
 def scored_records(routed: DataFrame) -> DataFrame:
     """The output record; the subscriber id is carried beside the model inputs."""
     return routed.filter(F.col("route") == SCORED).select(
@@ -108,30 +125,48 @@ class StreamScorer:
     """Binds a model source, a sink and a checkpoint.
 
     ``load_model`` is asked once per batch; it returns ``None`` while there is
-    no model, which fails the batch without writing anything.
+    no model, which fails the batch without writing anything.  When scoring
+    raises although the messages can be read, its rows are dead-lettered; when
+    they cannot be read either, the batch fails and is read again.
     """
 
     load_model: Callable[[], LinearModel | None]
     sink: Sink
     checkpoint: str
     threshold: float = DECISION_THRESHOLD
+    score: Score = predict
     stats: ScorerStats = field(default_factory=ScorerStats)
 
+    def _routed(self, batch: DataFrame, model: LinearModel) -> tuple[DataFrame, dict[str, int]]:
+        """The stored routed batch and its rows per route."""
+        def stored(rows: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+            kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                found = kept.groupBy("route").count().collect()
+            except Exception:
+                kept.unpersist()
+                raise
+            return kept, {r["route"]: r["count"] for r in found}
+
+        try:
+            return stored(route(batch, model, self.threshold, self.score))
+        except Exception as failure:  # noqa: BLE001 - any scoring failure is the rows' reason
+            return stored(route_failed(batch, failure))
+
     def process(self, batch: DataFrame, batch_id: int) -> None:
         self.stats.batches += 1
         model = self.load_model()
         if model is None:
             self.stats.retries += 1
             raise ModelUnavailable("no model is available; the batch stays uncommitted")
-        routed = route(batch, model, self.threshold).persist(StorageLevel.MEMORY_AND_DISK)
+        routed, counts = self._routed(batch, model)
         try:
-            counts = {r["route"]: r["count"] for r in routed.groupBy("route").count().collect()}
-            try:
+            if counts.get(SCORED):
                 self.sink(scored_records(routed), SCORED, batch_id)
-                self.sink(dead_records(routed), DEAD, batch_id)
-            except Exception:
-                self.stats.produce_failures += 1
-                raise
+            self.sink(dead_records(routed), DEAD, batch_id)
+        except Exception:
+            self.stats.produce_failures += 1
+            raise
         finally:
             routed.unpersist()
         self.stats.commits += 1
@@ -158,5 +193,12 @@ class StreamScorer:
 
 
 def read_output(spark, path: str, output: str, schema=None) -> DataFrame:
+    """All batches of one output; with a schema, nothing written yet reads as empty."""
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.option("basePath", f"{path}/{output}").parquet(f"{path}/{output}/batch_id=*")
+    try:
+        return reader.option("basePath", f"{path}/{output}").parquet(
+            f"{path}/{output}/batch_id=*")
+    except AnalysisException:
+        if schema is None:
+            raise
+        return spark.createDataFrame([], schema)

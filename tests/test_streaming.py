@@ -158,6 +158,25 @@ def test_a_failed_output_is_replayed_without_duplicates(spark, feed):
     assert outputs(spark, out) == (["S1", "S2", "S3"], 2)
 
 
+def test_a_scoring_failure_dead_letters_the_batch_and_goes_on(spark, feed):
+    source, out, checkpoint = feed
+
+    def broken(df, model, threshold):
+        failing = F.when(F.col("subscriber_id") == "S2", F.raise_error(F.lit("model exploded")))
+        return scorer.predict(df, model, threshold).withColumn(
+            "risk_level", F.coalesce(failing.cast("string"), F.col("risk_level")))
+
+    job = scorer.StreamScorer(
+        lambda: linear.CHAMPION, scorer.file_sink(out), checkpoint, score=broken)
+    stats = job.drain(source())
+    found = scorer.read_output(spark, out, scorer.DEAD).collect()
+    failed = [r.reason for r in found if r.reason.startswith("scoring error")]
+    assert len(failed) == 2 and "model exploded" in failed[0]
+    # The other batch is whole: S3 scored, its neighbour dead-lettered.
+    assert outputs(spark, out) == (["S3"], 4)
+    assert (stats.scored, stats.dead_lettered, stats.commits) == (1, 4, 2)
+
+
 def test_an_empty_topic_is_no_error(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     job = scorer.StreamScorer(
