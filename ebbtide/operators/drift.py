@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide import schemas
-from ebbtide.functions.columns import finite, ratio
+from ebbtide.functions.columns import finite, interval_index, ratio
 from ebbtide.operators.ranks import ROWS_PER_BUCKET, exact_quantiles
 from ebbtide.params import (
     DRIFT_BINS, DRIFT_MIN_SAMPLES, PSI_FLOOR, PSI_MODERATE, PSI_SIGNIFICANT,
@@ -101,6 +101,13 @@ def bin_counts(values: DataFrame, edges: DataFrame, bins: int = DRIFT_BINS) -> D
     )
 
 
+def score_bin_counts(values: DataFrame, bins: int = DRIFT_BINS) -> DataFrame:
+    """Scores per fixed bin: the edges are parameters, so nothing is joined."""
+    index = interval_index(F.col("value"), _score_edges(bins)[1:-1])
+    return values.groupBy("feature", index.alias("bin_no")).agg(
+        F.count("*").alias("n"), F.sum("value").alias("total"))
+
+
 def _shares(spine: DataFrame, counts: DataFrame) -> DataFrame:
     """Share per bin; empty bins count 0, an empty feature is all zeros.
 
@@ -115,11 +122,15 @@ def _shares(spine: DataFrame, counts: DataFrame) -> DataFrame:
     })
 
 
-def prediction_edges(df: DataFrame, bins: int = DRIFT_BINS) -> DataFrame:
+def _score_edges(bins: int) -> list[float]:
     """Fixed edges over [0, 1], so score bins never move between runs."""
-    edges = [round(i * (1.0 / bins), 4) for i in range(bins + 1)]
+    return [round(i * (1.0 / bins), 4) for i in range(bins + 1)]
+
+
+def prediction_edges(df: DataFrame, bins: int = DRIFT_BINS) -> DataFrame:
+    edges = F.array(*[F.lit(e) for e in _score_edges(bins)])
     return df.sparkSession.range(1).select(
-        F.lit(PREDICTION).alias("feature"), F.array(*[F.lit(e) for e in edges]).alias("edges"))
+        F.lit(PREDICTION).alias("feature"), edges.alias("edges"))
 
 
 def scores_as_values(df: DataFrame, column: str) -> DataFrame:
@@ -145,14 +156,14 @@ def reference_profile(
     edges = bin_edges(values, bins, rows_per_bucket)
     none = F.lit(None)
 
-    def binned(kind: str, v: DataFrame, e: DataFrame) -> DataFrame:
-        return _shares(_spine(e), bin_counts(v, e, bins)).select(
+    def binned(kind: str, e: DataFrame, counts: DataFrame) -> DataFrame:
+        return _shares(_spine(e), counts).select(
             "feature", F.lit(kind).alias("kind"), "bin_no", "lo", "hi",
             none.cast("string").alias("category"), "share",
             F.round("mean", 4).alias("mean"), F.col("n_values").alias("n_rows"),
         )
 
-    out = binned("numeric", values, edges).unionByName(
+    out = binned("numeric", edges, bin_counts(values, edges, bins)).unionByName(
         category_shares(df).select(
             "feature", F.lit("discrete").alias("kind"), none.cast("int").alias("bin_no"),
             none.cast("double").alias("lo"), none.cast("double").alias("hi"), "category",
@@ -160,8 +171,9 @@ def reference_profile(
         )
     )
     if score:
-        out = out.unionByName(
-            binned("prediction", scores_as_values(df, score), prediction_edges(df, bins)))
+        out = out.unionByName(binned(
+            "prediction", prediction_edges(df, bins),
+            score_bin_counts(scores_as_values(df, score), bins)))
     return out
 
 
@@ -187,15 +199,12 @@ def psi_arrays(reference: Column, live: Column) -> Column:
     return F.when(F.size(reference) == F.size(live), total).otherwise(0.0)
 
 
-def _binned_psi(profile: DataFrame, kind: str, values: DataFrame, bins: int) -> DataFrame:
-    """PSI per feature on the profile's own bins; the profile is parameter-sized."""
-    reference = profile.filter(F.col("kind") == kind)
-    edges = reference.groupBy("feature").agg(
-        F.array_sort(F.array_union(F.collect_set("lo"), F.collect_set("hi"))).alias("edges"))
-    spine = reference.select(
+def _binned_psi(profile: DataFrame, kind: str, counts: DataFrame) -> DataFrame:
+    """PSI per feature over the profile's bins; the profile is parameter-sized."""
+    spine = profile.filter(F.col("kind") == kind).select(
         "feature", "bin_no", F.col("share").alias("reference_share"),
         F.col("mean").alias("reference_mean"))
-    return _shares(spine, bin_counts(values, edges, bins)).groupBy("feature").agg(
+    return _shares(spine, counts).groupBy("feature").agg(
         F.sum(psi_term(F.col("reference_share"), F.col("share"))).alias("psi"),
         F.first("reference_mean").alias("reference_mean"),
         F.round(F.first("mean"), 4).alias("live_mean"),
@@ -203,13 +212,16 @@ def _binned_psi(profile: DataFrame, kind: str, values: DataFrame, bins: int) ->
 
 
 def numeric_psi(df: DataFrame, profile: DataFrame, bins: int = DRIFT_BINS) -> DataFrame:
-    return _binned_psi(profile, "numeric", unpivot_numeric(df), bins)
+    edges = profile.filter(F.col("kind") == "numeric").groupBy("feature").agg(
+        F.array_sort(F.array_union(F.collect_set("lo"), F.collect_set("hi"))).alias("edges"))
+    return _binned_psi(profile, "numeric", bin_counts(unpivot_numeric(df), edges, bins))
 
 
 def prediction_psi(
     df: DataFrame, profile: DataFrame, score: str, bins: int = DRIFT_BINS
 ) -> DataFrame:
-    return _binned_psi(profile, "prediction", scores_as_values(df, score), bins)
+    counts = score_bin_counts(scores_as_values(df, score), bins)
+    return _binned_psi(profile, "prediction", counts)
 
 
 def aligned_categories(df: DataFrame, profile: DataFrame) -> DataFrame:
