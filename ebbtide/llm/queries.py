@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import packing, token_store
+from ebbtide.llm import bpe, packing, simhash, token_store
 from ebbtide.llm.common import table
 
 QUERIES = {}
@@ -25,9 +25,22 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read(store, docs, digests=True)
 
 
+@query
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded by the multilingual ranks and decoded again."""
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, digests=True)
+
+
 @query
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 1024 tokens."""
     return packing.packed_documents(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2, capacity=1024
     )
+
+
+@query
+def op9_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
