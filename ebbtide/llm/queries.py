@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import bpe, outliers, packing, simhash, token_store
+from ebbtide.llm import bpe, outliers, packing, pii, simhash, token_store
 from ebbtide.llm.common import table
 
 QUERIES = {}
@@ -32,6 +32,12 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, digests=True)
 
 
+@query
+def op6_semi_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.found(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, plain rules and the outlier verdict for every document."""
