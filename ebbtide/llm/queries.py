@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import bpe, outliers, packing, pii, simhash, token_store
+from ebbtide.llm import bpe, chat, lines, outliers, packing, pii, simhash, token_store
 from ebbtide.llm.common import table
 
 QUERIES = {}
@@ -25,6 +25,25 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read(store, docs, digests=True)
 
 
+@query
+def op2_chat_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations that are not snapshots of longer ones, rendered."""
+    return chat.rendered(table(spark, sf_dir, "conversations"))
+
+
+ORACLE_SQL["op2_chat_snapshots"] = chat.SQL
+
+
+@query
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without lines that an earlier line equals or nearly equals."""
+    out = lines.cleaned(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", "text")
+
+
+ORACLE_SQL["op3_line_dedup"] = lines.SQL
+
+
 @query
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded by the multilingual ranks and decoded again."""
