@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ebbtide.llm import bpe, chat, lines, outliers, packing, pii, simhash, token_store
+from ebbtide.llm import bpe, chat, lines, neighbours, outliers, packing, pii, simhash, token_store
 from ebbtide.llm.common import table
 
 QUERIES = {}
@@ -75,3 +76,9 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five nearest neighbours of every fiftieth vector."""
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
