@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import bpe, chat, lines, neighbours, outliers, packing, pii, simhash, token_store
+from ebbtide.llm import bpe, chat, lines, neighbours, outliers, packing, pii, simhash, suffixes, token_store
 from ebbtide.llm.common import table
 
 QUERIES = {}
@@ -45,6 +45,12 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE_SQL["op3_line_dedup"] = lines.SQL
 
 
+@query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without bytes that a repeated string of 100 bytes covers."""
+    return suffixes.deduplicated(table(spark, sf_dir, "documents"), width=100, digests=True)
+
+
 @query
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded by the multilingual ranks and decoded again."""
