@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from array import array
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -47,28 +48,36 @@ def dropped(*frames: DataFrame) -> None:
             where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
 
 
+#: Letters, and the ASCII marks that can end the word before white space: neither family of
+#: tokenizers joins such a mark to a letter before it (İ is left out: its lower case ends in one).
+_WORD, _MARKS = "[A-Za-zÀ-ÖØ-öø-įı-ɏ]++", r"(?=[!-/:-@\[-`{-~]+(?:\s|\Z))"
 #: Where a text may be cut without changing its ids, by tokenizer family.
 #: "words": white space is dropped and never joins two words.
 #: "spaced": a word carries at most the one space before it (the byte-level pattern).
-CHUNKS = {"words": re.compile(r"\S+"), "spaced": re.compile(r" ?\S+|\s+(?!\S)|\s")}
+CUTS = {
+    "words": re.compile(rf"{_WORD}{_MARKS}|\S+"),
+    "spaced": re.compile(rf" ?{_WORD}{_MARKS}| ?\S+|\s+(?!\S)|\s"),
+}
 #: Python's white space minus the Unicode property White_Space: texts with these are encoded whole.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
-#: Chunks remembered by one Python worker; the memory is emptied when full, results never change.
-MEMO = 400_000
-#: Longer chunks are encoded each time.
-LONG_CHUNK = 64
+#: Parts of words remembered by one Python worker; a full memory is emptied. Results never change.
+MEMO = 1_000_000
+#: Longer parts are encoded each time.
+LONG_PART = 64
 #: Characters of text handled at once.
 SLICE = 1_000_000
+#: Parts that are a single word for the tokenizer, so that its model can take them as they are.
+LETTERS = re.compile(" ?[A-Za-z]+")
 
 _encoders: dict = {}
 
 
 class ChunkEncoder:
-    """Ids of whole texts by the ``tokenizers`` library, one call per distinct chunk.
+    """Ids of whole texts by the ``tokenizers`` library, one call per distinct part of a word.
 
-    The cuts of :data:`CHUNKS` are places that no match of the tokenizer's own pattern
-    crosses, so the ids of a text are those of its chunks one after another. A corpus
-    repeats its chunks, so most are found in the memory.
+    The cuts of :data:`CUTS` are places that no match of the tokenizer's own pattern crosses,
+    so the ids of a text are those of its parts one after another. A corpus repeats its
+    words, so most parts are found in the memory.
     """
 
     def __init__(self, spec: str, chunks: str):
@@ -77,12 +86,30 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.split = CHUNKS[chunks].findall
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.cut = CUTS[chunks].findall
         self.memo: dict[str, bytes] = {}
-
-    def _encode(self, pieces: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(pieces, add_special_tokens=False)
-        return [np.asarray(e.ids, dtype=self.dtype).tobytes() for e in found]
+        probe = self.tokenizer.encode("Word", add_special_tokens=False).ids
+        self.lower = probe == self.tokenizer.encode("word", add_special_tokens=False).ids
+        self.direct = all(
+            self._whole([w])[0] == self._word(w) for w in ("the", "Abc", "zqxj") + (" the", " Qrs") * (chunks == "spaced")
+        )
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
+        return [array(self.code, e.ids).tobytes() for e in found]
+
+    def _word(self, part: str) -> bytes:
+        """Ids of letters, perhaps after a space, which byte-level models write as Ġ."""
+        word = part.lower() if self.lower else part.replace(" ", "Ġ")
+        return array(self.code, [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
+
+    def _parts(self, parts: list[str]) -> dict[str, bytes]:
+        plain = [p for p in parts if self.direct and LETTERS.fullmatch(p)]
+        other = list(set(parts).difference(plain)) if plain else parts
+        out = dict(zip(other, self._whole(other), strict=True))
+        out.update((p, self._word(p)) for p in plain)
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes of ``dtype``."""
@@ -98,28 +125,29 @@ class ChunkEncoder:
         return out
 
     def _slice(self, texts: list[str]) -> list[bytes]:
-        split = [None if ODD_SPACE.search(x) else self.split(x) for x in texts]
         if len(self.memo) > MEMO:
             self.memo.clear()
-        memo = self.memo
-        new = set().union(*(x for x in split if x is not None)) - memo.keys()
-        known = memo
-        if long := [x for x in new if len(x) > LONG_CHUNK]:
-            new.difference_update(long)
-            known = dict(zip(long, self._encode(long), strict=True))
-        if new := list(new):
-            memo.update(zip(new, self._encode(new), strict=True))
-        if known is not memo:
-            once = known
-            return [
-                self._encode([x])[0] if c is None
-                else b"".join([memo[k] if k in memo else once[k] for k in c])
-                for x, c in zip(texts, split, strict=True)
-            ]
-        return [
-            self._encode([x])[0] if c is None else b"".join(map(memo.__getitem__, c))
-            for x, c in zip(texts, split, strict=True)
+        known = self.memo.get
+        odd = {i: self._whole([x])[0] for i, x in enumerate(texts) if ODD_SPACE.search(x)}
+        split = [
+            [] if i in odd else self.cut(x.lower() if self.lower and x.isascii() else x) for i, x in enumerate(texts)
         ]
+        found = [list(map(known, parts)) for parts in split]
+        missing: set[str] = set()
+        for parts, ids in zip(split, found, strict=True):
+            if None in ids:
+                missing.update([p for p, v in zip(parts, ids, strict=True) if v is None])
+        new = self._parts(list(missing))
+        self.memo.update((k, v) for k, v in new.items() if len(k) <= LONG_PART)
+        out = []
+        for i, (parts, ids) in enumerate(zip(split, found, strict=True)):
+            if i in odd:
+                out.append(odd[i])
+            elif None in ids:
+                out.append(b"".join([new[p] if v is None else v for p, v in zip(parts, ids, strict=True)]))
+            else:
+                out.append(b"".join(ids))
+        return out
 
 
 def encoder(spec: str, chunks: str) -> ChunkEncoder:
