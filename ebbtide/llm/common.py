@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import pathlib
 import re
+import shutil
+import tempfile
 import uuid
 from array import array
 
@@ -12,8 +16,25 @@ from pyspark.sql import DataFrame, SparkSession
 from ebbtide.session import shared_dir
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to Python workers that would not find it by themselves.
+
+    A cluster gets it with ``--py-files`` or an installed package; a driver that has only
+    put the source folder on its own path does not share that with its workers.
+    """
+    root = pathlib.Path(__file__).resolve().parents[2]
+    known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    context = spark.sparkContext
+    if not root.is_dir() or str(root) in known or getattr(context, "_ebbtide_shipped", False):
+        return
+    made = shutil.make_archive(f"{tempfile.mkdtemp()}/ebbtide", "zip", root, "ebbtide")
+    context.addPyFile(made)
+    context._ebbtide_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -152,8 +173,6 @@ class ChunkEncoder:
 
 def encoder(spec: str, chunks: str) -> ChunkEncoder:
     """The worker's encoder for a tokenizer file's content, kept between tasks."""
-    import os
-
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     key = (hash(spec), len(spec), chunks)
     if key not in _encoders:

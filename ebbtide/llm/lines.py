@@ -151,8 +151,8 @@ def removed_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> D
     return every.join(verdict, ["a", "b"]).where(F.col("stays").isNull() | (F.col("place") != F.col("stays"))).select("key", "number")
 
 
-def cleaned(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``docs`` without removed lines in ``text``, with ``n_lines`` and ``n_removed``."""
+def cleaned(docs: DataFrame, text: str = "text", key: str = "doc_id", counts: bool = False) -> DataFrame:
+    """``docs`` without removed lines in ``text``; with ``counts`` also ``n_lines`` and ``n_removed``."""
     gone = removed_lines(docs, text, key).groupBy(F.coalesce("key", F.lit(NO_KEY)).alias("__key")).agg(
         F.collect_set("number").alias("__gone"))
     lines = F.split(F.col(text), "\n")
@@ -160,9 +160,11 @@ def cleaned(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFra
     stay = F.array_except(every, F.coalesce("__gone", F.array().cast("array<int>")))
     own = docs.withColumn("__own", F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)))
     joined = own.join(gone, F.col("__own") == F.col("__key"), "left")
-    return joined.withColumns({
+    numbers = {
         "n_lines": F.coalesce(F.size(every), F.lit(0)).cast("long"),
         "n_removed": F.coalesce(F.size(every) - F.size(stay), F.lit(0)).cast("long"),
+    } if counts else {}
+    return joined.withColumns(numbers | {
         text: F.when(F.col("__gone").isNull(), F.col(text)).otherwise(
             F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")),
     }).drop("__own", "__key", "__gone")

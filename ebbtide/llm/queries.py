@@ -38,7 +38,7 @@ ORACLE_SQL["op2_chat_snapshots"] = chat.SQL
 @query
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without lines that an earlier line equals or nearly equals."""
-    out = lines.cleaned(table(spark, sf_dir, "documents"))
+    out = lines.cleaned(table(spark, sf_dir, "documents"), counts=True)
     return out.select("doc_id", "n_lines", "n_removed", "text")
 
 
