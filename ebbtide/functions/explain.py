@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.functions.columns import two_decimals
 from ebbtide.functions.linear import LinearModel
-from ebbtide.params import ExplanationRules
+from ebbtide.params import RISK_AT
 
 # Which model column belongs to which business concept.
 CONCEPTS: dict[str, tuple[str, ...]] = {
@@ -56,7 +56,9 @@ def _n(column: str) -> Column:
     return F.col(column).cast("string")
 
 
-def phrase(dominant: Column, raises: Column, rules: ExplanationRules = ExplanationRules()) -> Column:
+def phrase(
+    dominant: Column, raises: Column, dormant_after: int = RISK_AT["last_activity_days_ago"]
+) -> Column:
     """Describe the dominant column in the subscriber's own numbers."""
     # The two wordings per column (raises risk, lowers risk).
     days, tenure = _n("last_activity_days_ago"), _n("tenure_days")
@@ -111,7 +113,7 @@ def phrase(dominant: Column, raises: Column, rules: ExplanationRules = Explanati
     }
     # Flags state the input's value whatever the direction.
     dormant = F.when(
-        F.col("last_activity_days_ago") > rules.dormant_days,
+        F.col("last_activity_days_ago") > dormant_after,
         F.concat(F.lit("dormant - no session in "), days, F.lit(" days")),
     ).otherwise(F.concat(F.lit("active within the last "), days, F.lit(" days")))
     renewing = F.when(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ebbtide import schemas
 from ebbtide.functions.columns import finite
-from ebbtide.params import DAYS_PER_MONTH, ExplanationRules
+from ebbtide.params import DAYS_PER_MONTH, RISK_AT
 
 
 def require(df: DataFrame, columns: tuple[str, ...]) -> None:
@@ -35,7 +35,7 @@ def finite_inputs(df: DataFrame) -> DataFrame:
     return df.withColumns({c: finite(F.col(c)) for c in schemas.RAW_NUMERIC})
 
 
-def derived_columns(rules: ExplanationRules = ExplanationRules()) -> dict[str, Column]:
+def derived_columns(dormant_after: int = RISK_AT["last_activity_days_ago"]) -> dict[str, Column]:
     """Derived features by name.  Denominators are offset, so none can be zero."""
     tenure = F.col("tenure_days").cast("double")
     sessions = F.col("avg_session_count_last_30d")
@@ -52,7 +52,7 @@ def derived_columns(rules: ExplanationRules = ExplanationRules()) -> dict[str, C
         "payment_failures_per_month": failures / 6.0,
         "discount_dependency": F.col("discounts_used_last_6m") / 6.0,
         "friction_score": (tickets + failures).cast("double"),
-        "is_dormant": (recency > rules.dormant_days).cast("int"),
+        "is_dormant": (recency > dormant_after).cast("int"),
     }
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ebbtide.functions.columns import percent_text, reasons
-from ebbtide.params import DECISION_THRESHOLD, HIGH_RISK_SPAN, ExplanationRules
+from ebbtide.params import DECISION_THRESHOLD, HEALTHY_AT, HIGH_RISK_SPAN, RISK_AT
 
 
 def label(probability: Column, threshold: float = DECISION_THRESHOLD) -> Column:
@@ -26,37 +28,37 @@ def _text(column: str) -> Column:
 
 
 # The wording of reasons, signals and openings.
-def risk_factors(rules: ExplanationRules = ExplanationRules()) -> Column:
-    """Risk reasons that fired, in order of importance."""
+def risk_factors(at: Mapping[str, float] = RISK_AT) -> Column:
+    """Risk reasons that fired, in order of importance; ``at`` has the limits by input."""
     sessions = F.col("avg_session_count_last_30d")
     return reasons(
-        (F.col("last_activity_days_ago") > rules.dormant_days,
+        (F.col("last_activity_days_ago") > at["last_activity_days_ago"],
          F.concat(F.lit("inactive for "), _text("last_activity_days_ago"), F.lit(" days"))),
-        (sessions < rules.low_sessions,
+        (sessions < at["avg_session_count_last_30d"],
          F.format_string("low recent activity (%.1f sessions/30d)", sessions)),
-        (F.col("payment_failures_last_6m") >= rules.high_failures,
+        (F.col("payment_failures_last_6m") >= at["payment_failures_last_6m"],
          F.concat(_text("payment_failures_last_6m"),
                   F.lit(" payment failures in the last 6 months"))),
-        (F.col("support_tickets_last_90d") >= rules.high_tickets,
+        (F.col("support_tickets_last_90d") >= at["support_tickets_last_90d"],
          F.concat(_text("support_tickets_last_90d"),
                   F.lit(" support tickets in the last 90 days"))),
         (~F.col("is_auto_renew_enabled"), "auto-renew disabled"),
-        (F.col("discounts_used_last_6m") >= rules.heavy_discounts,
+        (F.col("discounts_used_last_6m") >= at["discounts_used_last_6m"],
          F.concat(F.lit("relies on discounts ("), _text("discounts_used_last_6m"),
                   F.lit(" in the last 6 months)"))),
-        (F.col("tenure_days") < rules.new_days,
+        (F.col("tenure_days") < at["tenure_days"],
          F.concat(F.lit("still new ("), _text("tenure_days"), F.lit(" days since signup)"))),
     )
 
 
-def retention_signals(rules: ExplanationRules = ExplanationRules()) -> Column:
+def retention_signals(at: Mapping[str, float] = HEALTHY_AT) -> Column:
     """Signals that argue against dropout."""
     return reasons(
         (F.col("is_auto_renew_enabled"), "auto-renew enabled"),
-        (F.col("avg_session_count_last_30d") >= rules.healthy_sessions,
+        (F.col("avg_session_count_last_30d") >= at["avg_session_count_last_30d"],
          "strong recent engagement"),
-        (F.col("last_activity_days_ago") <= rules.recent_days, "active in the last few days"),
-        (F.col("tenure_days") >= rules.loyal_days, "long-tenured subscriber"),
+        (F.col("last_activity_days_ago") <= at["last_activity_days_ago"], "active in the last few days"),
+        (F.col("tenure_days") >= at["tenure_days"], "long-tenured subscriber"),
     )
 
 

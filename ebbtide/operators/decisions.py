@@ -2,24 +2,40 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.functions.columns import ratio0
 from ebbtide.operators.classification import COUNTS, curve, threshold_counts
-from ebbtide.params import BUDGET_FRACTIONS, COST_GRID, Capacity, Costs
+from ebbtide.params import BOTHER, BUDGET_FRACTIONS, COST_GRID, KEEPS, LOSS, OFFER
 
 
-def with_costs(counts: DataFrame, costs: Costs = Costs()) -> DataFrame:
+Prices = Mapping[str, float]
+
+
+def prices(
+    loss: float = LOSS, bother: float = BOTHER, offer: float = OFFER, keeps: float = KEEPS
+) -> dict[str, float]:
+    """What one person of each count costs; a kept subscriber still costs the offers that failed."""
+    return {"tp": offer + (1.0 - keeps) * loss, "fp": bother, "fn": loss, "tn": 0.0}
+
+
+def break_even(price: Prices) -> float:
+    """The score from which acting costs less than waiting; 1.0 if it never does.
+
+    With chance ``p`` of leaving, acting costs ``p tp + (1 - p) fp`` and waiting ``p fn``.
+    """
+    saved = price["fn"] - price["tp"]
+    return price["fp"] / (price["fp"] + saved) if saved > 0 else 1.0
+
+
+def with_costs(counts: DataFrame, price: Prices = prices()) -> DataFrame:
     """Price the four counts.  Totals are money: rounded to cents."""
     tp, fp, fn, tn = (F.col(c) for c in COUNTS)
     n = tp + fp + fn + tn
-    total = (
-        fn * F.lit(costs.false_negative) + fp * F.lit(costs.false_positive)
-        + tp * F.lit(costs.true_positive)
-    )
+    total = fn * F.lit(price["fn"]) + fp * F.lit(price["fp"]) + tp * F.lit(price["tp"])
     return counts.withColumns({
         "total_cost": F.round(total, 2),
         "cost_per_subscriber": F.round(ratio0(total, n), 4),
@@ -28,11 +44,16 @@ def with_costs(counts: DataFrame, costs: Costs = Costs()) -> DataFrame:
     })
 
 
+def ratio_of(price: Prices) -> float:
+    """How many needless offers one unnoticed loss is worth; infinite if they are free."""
+    return price["fn"] / price["fp"] if price["fp"] else float("inf")
+
+
 def cost_sweep(
-    scored: DataFrame, costs: Costs = Costs(), grid: Sequence[float] = COST_GRID
+    scored: DataFrame, price: Prices = prices(), grid: Sequence[float] = COST_GRID
 ) -> DataFrame:
     """Cost at every grid threshold, from one scan."""
-    return with_costs(threshold_counts(scored, grid), costs)
+    return with_costs(threshold_counts(scored, grid), price)
 
 
 def _cheapest() -> Column:
@@ -49,12 +70,12 @@ def cost_optimal(sweep: DataFrame) -> DataFrame:
 
 
 def threshold_report(
-    scored: DataFrame, current: float, costs: Costs = Costs(),
+    scored: DataFrame, current: float, price: Prices = prices(),
     grid: Sequence[float] = COST_GRID,
 ) -> DataFrame:
     """Current against analytic and cost-optimal threshold; one scan for all three."""
-    analytic = costs.analytic_threshold
-    table = with_costs(threshold_counts(scored, [*grid, current, analytic]), costs)
+    analytic = break_even(price)
+    table = with_costs(threshold_counts(scored, [*grid, current, analytic]), price)
     detail = F.struct("threshold", "total_cost", "flagged", "flagged_rate",
                       "cost_per_subscriber")
     on_grid = F.col("threshold").isin([float(t) for t in grid])
@@ -74,8 +95,8 @@ def threshold_report(
     ]
     return report.select(
         "population", *flat,
-        F.lit(round(costs.true_positive, 2)).alias("cost_true_positive"),
-        F.lit(round(costs.ratio, 2)).alias("cost_ratio"),
+        F.lit(round(price["tp"], 2)).alias("cost_true_positive"),
+        F.round(F.lit(ratio_of(price)), 2).alias("cost_ratio"),
         F.round(F.abs(F.lit(analytic) - F.col("optimal.threshold")), 4)
         .alias("analytic_vs_empirical_gap"),
         F.round(savings, 2).alias("savings"),
@@ -133,35 +154,46 @@ def capacity_threshold(scored: DataFrame, max_offers: int) -> DataFrame:
 
 
 def constrained(
-    scored: DataFrame, max_offers: int, costs: Costs = Costs()
+    scored: DataFrame, max_offers: int, price: Prices = prices()
 ) -> DataFrame:
     """Cost at the cheapest threshold that also fits the budget."""
-    best = cost_optimal(cost_sweep(scored, costs)).first()
-    return with_costs(_capped(curve(scored), best["threshold"], [max_offers]), costs)
+    best = cost_optimal(cost_sweep(scored, price)).first()
+    return with_costs(_capped(curve(scored), best["threshold"], [max_offers]), price)
+
+
+def offers(population: Column, budget: float | None) -> Column:
+    """Offers that a budget allows: a number of them, or (below 1, a float) a share; NULL without one."""
+    if budget is None:
+        return F.lit(None).cast("bigint")
+    if budget < 0 or (isinstance(budget, float) and budget > 1):
+        raise ValueError("a budget is a number of offers or a share of the population")
+    if isinstance(budget, float):
+        return F.floor(F.lit(budget) * population).cast("bigint")
+    return F.least(F.lit(budget).cast("bigint"), population)
 
 
-def budget_ladder(
-    wanted: int, population: int, fractions: Sequence[float] = BUDGET_FRACTIONS
-) -> list[int]:
-    """Distinct budgets around the wanted number; halves round to even."""
-    return sorted({k for f in fractions if 0 < (k := round(wanted * f)) <= population})
+def budget_steps(
+    wanted: Column, population: Column, fractions: Sequence[float] = BUDGET_FRACTIONS
+) -> Column:
+    """Distinct budgets around the wanted number, rising; halves round to even."""
+    steps = F.array(*[F.bround(wanted * F.lit(f), 0).cast("bigint") for f in fractions])
+    return F.array_sort(F.array_distinct(F.filter(steps, lambda k: (k > 0) & (k <= population))))
 
 
 def capacity_ladder(
-    scored: DataFrame, costs: Costs = Costs(), points: DataFrame | None = None
+    scored: DataFrame, price: Prices = prices(), points: DataFrame | None = None
 ) -> DataFrame:
     """What each budget costs and what one more slot is worth.
 
     The optimum is one row of the sweep; the whole ladder is then one pass over
     the score curve, not one sweep per step.
     """
-    best = cost_optimal(cost_sweep(scored, costs)).first()
-    population = sum(best[c] for c in COUNTS)
-    budgets = budget_ladder(best["flagged"], population)
-    if not budgets:
-        budgets = [0]
+    everyone = sum((F.col(c) for c in COUNTS[1:]), F.col(COUNTS[0]))
+    best = cost_optimal(cost_sweep(scored, price)).select(
+        "threshold", budget_steps(F.col("flagged"), everyone).alias("budgets")).first()
+    budgets = best["budgets"] or [0]
     table = with_costs(_capped(points if points is not None else curve(scored),
-                               best["threshold"], budgets), costs)
+                               best["threshold"], budgets), price)
     # At most six rows.
     order = Window.orderBy("max_offers")
     gained = F.col("max_offers") - F.lag("max_offers").over(order)
@@ -174,20 +206,21 @@ def capacity_ladder(
 
 
 def capacity_report(
-    scored: DataFrame, capacity: Capacity = Capacity(), costs: Costs = Costs(),
+    scored: DataFrame, budget: float | None = None, price: Prices = prices(),
     points: DataFrame | None = None,
 ) -> DataFrame:
     """Whether the budget binds, the shortfall and what the cap costs."""
-    best = cost_optimal(cost_sweep(scored, costs)).first()
-    population = sum(best[c] for c in COUNTS)
-    wanted, allowed = best["flagged"], capacity.offers_for(population)
+    everyone = sum((F.col(c) for c in COUNTS[1:]), F.col(COUNTS[0]))
+    best = cost_optimal(cost_sweep(scored, price)).withColumns(
+        {"population": everyone, "allowed": offers(everyone, budget)}).first()
+    population, wanted, allowed = best["population"], best["flagged"], best["allowed"]
     k = population if allowed is None else allowed
     table = with_costs(_capped(points if points is not None else curve(scored),
-                               best["threshold"], [k]), costs)
+                               best["threshold"], [k]), price)
     capped = F.lit(allowed is not None)
     return table.select(
         F.lit(population).cast("bigint").alias("population"),
-        F.lit(capacity.configured).alias("configured"),
+        F.lit(budget is not None).alias("configured"),
         F.lit(allowed).cast("bigint").alias("max_offers"),
         F.lit(best["threshold"]).alias("unconstrained_threshold"),
         F.lit(wanted).cast("bigint").alias("offers_required"),

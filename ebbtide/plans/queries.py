@@ -19,7 +19,7 @@ from ebbtide.operators import (
     asof, calibration, classification, contract, decisions, drift, fairness, monitoring, prep,
     scoring, shadow,
 )
-from ebbtide.params import Capacity, Windows
+from ebbtide.params import Windows
 from ebbtide.plans import demo, training
 from ebbtide.session import cut, shared_dir
 from ebbtide.sources import canonical, files, raw_export, requests, tables
@@ -463,7 +463,7 @@ def capacity_ladder(spark, sf):
 
 @query
 def capacity_report(spark, sf):
-    return decisions.capacity_report(_tied(spark, sf), Capacity(max_rate=0.01))
+    return decisions.capacity_report(_tied(spark, sf), budget=0.01)
 
 
 @query

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from ebbtide import schemas
 from ebbtide.operators import calibration, classification, decisions, drift, fairness, prep
-from ebbtide.params import Capacity, Costs
 from ebbtide.session import cut
 from ebbtide.sources import files
 
@@ -50,8 +49,8 @@ def headline(quality: DataFrame) -> DataFrame:
 
 
 def decision_quality(
-    scored: DataFrame, threshold: float, attribute: str, costs: Costs = Costs(),
-    capacity: Capacity = Capacity(), held_out: DataFrame | None = None,
+    scored: DataFrame, threshold: float, attribute: str, price: decisions.Prices = decisions.prices(),
+    budget: float | None = None, held_out: DataFrame | None = None,
     method: str = "isotonic",
 ) -> DataFrame:
     """Calibration, costs, capacity and fairness of one scored table, one row.
@@ -62,9 +61,9 @@ def decision_quality(
     fair = fairness.audit(scored, [attribute], threshold).select(
         "selection_rate_ratio", "recall_ratio", "roc_auc_ratio",
         F.col("passes").alias("fairness_passes"))
-    cap = decisions.capacity_report(scored, capacity, costs).select(
+    cap = decisions.capacity_report(scored, budget, price).select(
         "offers_required", "binding", "shortfall", "cost_of_constraint")
-    cost = decisions.threshold_report(scored, threshold, costs).select(
+    cost = decisions.threshold_report(scored, threshold, price).select(
         "savings", "optimal_threshold", "extra_offers_required")
     parts = [calibration.calibration_metrics(scored), cost, cap, fair]
     if held_out is not None:

@@ -4,7 +4,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from ebbtide.operators import calibration, classification, decisions, fairness
-from ebbtide.params import Capacity, Costs
 
 
 def scored(spark, pairs):
@@ -107,12 +106,13 @@ def test_calibration_is_monotone_and_in_range(spark, method):
 
 # --- costs and capacity
 
-def test_cost_model():
-    assert Costs().true_positive == 188.0 and Costs().ratio == 12.0
-    assert round(Costs().analytic_threshold, 3) == 0.278
-    assert round(Costs(efficacy=1.0).analytic_threshold, 3) == 0.083
-    assert Costs(efficacy=0.0).analytic_threshold == 1.0
-    assert Costs(false_positive=0).ratio == float("inf")
+def test_prices():
+    price = decisions.prices()
+    assert price["tp"] == 188.0 and decisions.ratio_of(price) == 12.0
+    assert round(decisions.break_even(price), 3) == 0.278
+    assert round(decisions.break_even(decisions.prices(keeps=1.0)), 3) == 0.083
+    assert decisions.break_even(decisions.prices(keeps=0.0)) == 1.0
+    assert decisions.ratio_of(decisions.prices(bother=0)) == float("inf")
 
 
 def test_equal_costs_prefer_the_higher_threshold(spark):
@@ -123,7 +123,7 @@ def test_equal_costs_prefer_the_higher_threshold(spark):
 
 def test_a_useless_offer_flags_nobody(spark):
     rows = scored(spark, [(1, 0.5), (0, 0.4), (1, 0.3)])
-    best = decisions.cost_optimal(decisions.cost_sweep(rows, Costs(efficacy=0.0))).first()
+    best = decisions.cost_optimal(decisions.cost_sweep(rows, decisions.prices(keeps=0.0))).first()
     assert best.flagged == 0
 
 
@@ -147,10 +147,14 @@ def test_no_score_fits_when_the_top_group_is_too_big(spark):
     assert (r.capacity_threshold, r.offers_used) == (None, 0)
 
 
-def test_ladder_rounds_half_to_even_and_drops_repeats():
-    assert decisions.budget_ladder(10, 100) == [2, 5, 8, 10, 12, 15]
-    assert decisions.budget_ladder(2, 2) == [1, 2]
-    assert decisions.budget_ladder(0, 10) == []
+def test_ladder_rounds_half_to_even_and_drops_repeats(spark):
+    def steps(wanted, population):
+        row = spark.range(1).select(decisions.budget_steps(F.lit(wanted), F.lit(population)).alias("b"))
+        return row.first().b
+
+    assert steps(10, 100) == [2, 5, 8, 10, 12, 15]
+    assert steps(2, 2) == [1, 2]
+    assert steps(0, 10) == []
 
 
 @pytest.fixture(scope="module")
@@ -175,21 +179,19 @@ def test_unset_capacity_does_not_bind(ranked):
 
 
 def test_zero_capacity_is_a_real_cap(ranked):
-    r = decisions.capacity_report(ranked, Capacity(max_offers=0)).first()
+    r = decisions.capacity_report(ranked, 0).first()
     assert r.configured and r.binding and r.constrained_flagged == 0
     assert r.shortfall == r.offers_required
 
 
-def test_capacity_parameters():
-    with pytest.raises(ValueError, match="not both"):
-        Capacity(1, 0.5)
-    with pytest.raises(ValueError, match="negative"):
-        Capacity(-1)
-    with pytest.raises(ValueError, match="share"):
-        Capacity(max_rate=1.5)
-    assert Capacity(max_rate=0.05).offers_for(39) == 1
-    assert Capacity(50).offers_for(10) == 10
-    assert Capacity().offers_for(10) is None
+def test_budgets(spark):
+    def allowed(budget, population):
+        return spark.range(1).select(decisions.offers(F.lit(population), budget).alias("n")).first().n
+
+    for wrong in (-1, 1.5):
+        with pytest.raises(ValueError, match="share"):
+            allowed(wrong, 10)
+    assert (allowed(0.05, 39), allowed(50, 10), allowed(0, 10), allowed(None, 10)) == (1, 10, 0, None)
 
 
 # --- fairness
