@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.functions.columns import count_if, interval_index, ratio, ratio0
-from ebbtide.operators.ranks import ROWS_PER_BUCKET, prefix_sums, value_counts
+from ebbtide.operators.ranks import prefix_sums, value_counts
 from ebbtide.params import DECISION_THRESHOLD, F1_GRID
 
 COUNTS = ("tp", "fp", "fn", "tn")
@@ -99,15 +99,11 @@ def tune_threshold(sweep: DataFrame) -> DataFrame:
     return sweep.agg(best.alias("best")).select("best.threshold", "best.f1")
 
 
-def curve(
-    scored: DataFrame, keys: Sequence[str] = (), rows_per_bucket: int = ROWS_PER_BUCKET
-) -> DataFrame:
+def curve(scored: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """One row per distinct score, with positives and negatives at or above it."""
     y = F.col("y_true")
     counts = value_counts(scored, keys, "y_proba", {"pos": y, "neg": 1 - y})
-    return prefix_sums(
-        counts, keys, "y_proba", ["pos", "neg"], descending=True, rows_per_bucket=rows_per_bucket
-    )
+    return prefix_sums(counts, keys, "y_proba", ["pos", "neg"], descending=True)
 
 
 def ranking_metrics(points: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

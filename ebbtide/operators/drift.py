@@ -9,15 +9,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide import schemas
 from ebbtide.functions.columns import finite, interval_index, ratio
-from ebbtide.operators.ranks import ROWS_PER_BUCKET, exact_quantiles
+from ebbtide.operators.ranks import exact_quantiles
 from ebbtide.params import (
     DRIFT_BINS, DRIFT_MIN_SAMPLES, PSI_FLOOR, PSI_MODERATE, PSI_SIGNIFICANT,
 )
+from ebbtide.session import small_table
 
 PREDICTION = "dropout_probability"
 VERDICTS = ("stable", "moderate", "significant")
@@ -54,22 +56,29 @@ def numeric_stats(values: DataFrame) -> DataFrame:
 
 
 def bin_edges(
-    values: DataFrame, bins: int = DRIFT_BINS, rows_per_bucket: int = ROWS_PER_BUCKET
+    values: DataFrame, bins: int = DRIFT_BINS, features: Sequence[str] = ()
 ) -> DataFrame:
     """Distinct quantile edges per feature; a constant feature gets one unit-wide bin.
 
+    A feature of ``features`` without any value gets the single bin from 0 to 1.
+
     Quantiles are exact and found by distributed ranks: a continuous feature
     never has to fit one task, however many distinct values it has.
     """
     steps = [i * (1.0 / bins) for i in range(bins)] + [1.0]
-    q = exact_quantiles(values, ["feature"], "value", steps, rows_per_bucket=rows_per_bucket)
+    q = exact_quantiles(values, ["feature"], "value", steps)
     distinct = F.array_distinct(F.array_sort("q"))
     centre = F.get("q", F.lit(0))
-    return q.select(
+    edges = q.select(
         "feature",
         F.when(F.size(distinct) < 2, F.array(centre - 0.5, centre + 0.5))
         .otherwise(distinct).alias("edges"),
     )
+    if not features:
+        return edges
+    named = small_table(values.sparkSession, [{"feature": f} for f in features], pa.schema([("feature", pa.string())]))
+    return named.join(edges, "feature", "left").select(
+        "feature", F.coalesce("edges", F.array(F.lit(0.0), F.lit(1.0))).alias("edges"))
 
 
 def _spine(edges: DataFrame) -> DataFrame:
@@ -149,11 +158,13 @@ def category_shares(df: DataFrame) -> DataFrame:
 
 def reference_profile(
     df: DataFrame, score: str | None = None, bins: int = DRIFT_BINS,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """The profile of a training frame, optionally with its score distribution."""
+    """The profile of a training frame, optionally with its score distribution.
+
+    A column that holds nothing stays in the profile: one bin, share 0.
+    """
     values = unpivot_numeric(df)
-    edges = bin_edges(values, bins, rows_per_bucket)
+    edges = bin_edges(values, bins, [c for c in schemas.RAW_NUMERIC if c in df.columns])
     none = F.lit(None)
 
     def binned(kind: str, e: DataFrame, counts: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ def group_metrics(
 ) -> DataFrame:
     """Rates per group, rounded to the four decimals later steps work on.
 
-    Undefined rates are NULL; small groups stay, marked insufficient.  A hot
+    Largest groups first.  Undefined rates are NULL; small groups stay, marked insufficient.  A hot
     group only costs partial sums; its AUC uses the bucketed score curve.
     """
     cells = [expr.alias(name) for name, expr in confusion_counts(threshold).items()]
@@ -49,7 +49,7 @@ def group_metrics(
         r(fn, positives).alias("false_negative_rate"),
         F.round("roc_auc", 4).alias("roc_auc"),
         (n >= min_size).alias("sufficient_sample"),
-    )
+    ).orderBy("attribute", F.desc("n"), "group")
 
 
 def _worst_to_best(metric: str) -> Column:

@@ -7,12 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.functions.columns import interval_index
 from ebbtide.session import cut
 
-# One bucket is one sorted task; more distinct values than this are split up.
-ROWS_PER_BUCKET = 200_000
-MAX_BUCKETS = 1024
+# The range of values that a stored row belongs to, counted from the smallest.
+BUCKET = "_bucket"
 
 
 def value_counts(
@@ -20,73 +18,54 @@ def value_counts(
 ) -> DataFrame:
     """One stored row per distinct (keys, value), summed map-side first.
 
-    Stored, since ranking passes over it several times: for its size, for even
-    buckets and for the running sums.
+    Stored in ranges of the value, since ranking passes over it several times: a range is
+    what one task of the session's shuffle partitions holds, and adaptive execution merges
+    small ones.  A re-run task reads the ranges as they were stored.
     """
     return cut(
         df.filter(F.col(value).isNotNull())
         .groupBy(*keys, value)
         .agg(*[F.sum(expr.cast("bigint")).alias(name) for name, expr in measures.items()])
+        .repartitionByRange(F.col(value))
+        .withColumn(BUCKET, F.spark_partition_id())
     )
 
 
-def _bucket_bounds(counts: DataFrame, value: str, rows_per_bucket: int) -> list[float]:
-    """Values that cut the distinct rows into even buckets; empty when one is enough.
-
-    Any increasing bounds give exact results; approximate quantiles only make
-    the buckets even.  They are fetched once, as plain numbers, so a re-run task
-    sees the same buckets.
-    """
-    wanted = min(-(-counts.count() // rows_per_bucket), MAX_BUCKETS)
-    if wanted <= 1:
-        return []
-    steps = [i / wanted for i in range(1, wanted)]
-    quantiles = F.percentile_approx(F.col(value).cast("double"), steps, 10_000)
-    return sorted(set(counts.agg(quantiles.alias("bounds")).first()["bounds"]))
-
-
 def prefix_sums(
     counts: DataFrame,
     keys: Sequence[str],
     value: str,
     measures: Sequence[str],
     descending: bool = False,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Running totals ``cum_<measure>`` along ``value`` (own row included).
 
-    Two levels: each value bucket gets one opening row carrying the totals of
-    the buckets before it, then one window per bucket sums up.  Buckets hold an
+    Two levels: each value range gets one opening row carrying the totals of
+    the ranges before it, then one window per range sums up.  Ranges hold an
     even share of the distinct values whatever their distribution, and a hot
     value is already a single row; so one shuffle, no join and no large task.
 
     ``counts`` comes from :func:`value_counts`.
     """
-    bounds = _bucket_bounds(counts, value, rows_per_bucket)
     order = F.col(value).desc() if descending else F.col(value).asc()
-    if not bounds:
-        running = Window.partitionBy(*keys).orderBy(order)
-        return counts.select(
-            "*", *[F.sum(m).over(running).alias(f"cum_{m}") for m in measures]
-        )
-    bucketed = counts.withColumn("_bucket", interval_index(F.col(value), bounds))
-    step = F.col("_bucket").desc() if descending else F.col("_bucket").asc()
+    step = F.col(BUCKET).desc() if descending else F.col(BUCKET).asc()
     before = Window.partitionBy(*keys).orderBy(step).rowsBetween(Window.unboundedPreceding, -1)
     opening = (
-        bucketed.groupBy(*keys, "_bucket")
+        counts.groupBy(*keys, BUCKET)
         .agg(*[F.sum(m).alias(m) for m in measures])
-        .select(*keys, "_bucket",
+        .select(*keys, BUCKET,
                 *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(m) for m in measures])
     )
-    rows = bucketed.withColumn("_own", F.lit(True)).unionByName(
+    rows = counts.withColumn("_own", F.lit(True)).unionByName(
         opening.withColumn("_own", F.lit(False)), allowMissingColumns=True)
     running = (
-        Window.partitionBy(*keys, "_bucket").orderBy("_own", order)
+        Window.partitionBy(*keys, BUCKET).orderBy("_own", order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return rows.select(
         "*", *[F.sum(m).over(running).alias(f"cum_{m}") for m in measures]
-    ).filter("_own").select(*counts.columns, *[f"cum_{m}" for m in measures])
+    ).filter("_own").select(
+        *[c for c in counts.columns if c != BUCKET], *[f"cum_{m}" for m in measures])
 
 
 def exact_quantiles(
@@ -95,7 +74,6 @@ def exact_quantiles(
     value: str,
     probabilities: Sequence[float],
     interpolate: bool = True,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """Exact quantiles per key: array ``q`` in the order of ``probabilities``.
 
@@ -103,7 +81,7 @@ def exact_quantiles(
     has one row per key, so keys must be few (features, classes, groups).
     """
     counts = value_counts(df, keys, value, {"n": F.lit(1)})
-    ranked = prefix_sums(counts, keys, value, ["n"], rows_per_bucket=rows_per_bucket)
+    ranked = prefix_sums(counts, keys, value, ["n"])
     totals = counts.groupBy(*keys).agg(F.sum("n").alias("_total"))
     # One row per key: the caller's few features, classes or groups.
     joined = ranked.join(F.broadcast(totals), list(keys)) if keys else ranked.withColumn(

@@ -1067,7 +1067,7 @@ def decision_quality(spark, sf):
 def gbt_train_eval(spark, sf):
     """Boosted trees on the training cutoffs, evaluated on the later ones."""
     rows = cut(asof.temporal_split(panel(spark, sf), CUTOFFS))
-    return training.train_and_evaluate(rows, maxIter=20).select(
+    return training.train_and_evaluate(rows).select(
         "split", "threshold", "n_samples",
         *[F.round(c, 4).alias(c) for c in ("accuracy", "precision", "recall", "f1", "roc_auc",
                                            "pr_auc")])
@@ -1076,8 +1076,7 @@ def gbt_train_eval(spark, sf):
 @query
 def feature_importances(spark, sf):
     train = cut(panel(spark, sf, CUTOFFS[:-1]))
-    model = prep.tree_pipeline(prep.fit_preprocessor(train), maxIter=5).fit(
-        prep.with_label(train))
+    model = prep.tree_pipeline(prep.fit_preprocessor(train)).fit(prep.with_label(train))
     return prep.top_importances(model, train)
 
 
@@ -1086,7 +1085,7 @@ def feature_importances(spark, sf):
 def _stream_run(spark, sf) -> tuple[str, scorer.ScorerStats]:
     """Write the topic rows, then drain them through the streaming scorer."""
     folder = run_folder(spark)
-    requests.messages(spark, sf, snapshot(spark, sf)).repartition(8, "offset").write.parquet(
+    requests.messages(spark, sf, snapshot(spark, sf)).repartition("offset").write.parquet(
         f"{folder}/topic")
     job = scorer.StreamScorer(
         lambda: linear.CHAMPION, scorer.file_sink(f"{folder}/out"), f"{folder}/checkpoint",

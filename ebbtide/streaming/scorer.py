@@ -1,8 +1,10 @@
 """The streaming scorer: parse, route, score, write both outputs, then commit.
 
 Offsets are committed by the checkpoint only after ``foreachBatch`` returned, so
-any failure re-reads the batch.  Outputs are replaced per batch id, which makes
-a re-run batch land once.
+any failure re-reads the batch.  The file sink replaces both outputs per batch id,
+also with nothing, so a re-run batch lands once and in one output only.  A topic
+can only be appended to: there a re-run batch is written again, and readers tell
+repeats by ``source_offset``.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PythonException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -28,6 +30,16 @@ class ModelUnavailable(RuntimeError):
     """No model to score with: the batch must be read again later."""
 
 
+def caused_by_rows(failure: Exception) -> bool:
+    """Whether the rows' values raised it, so that another attempt would fail alike.
+
+    Expressions raise data exceptions (SQL state class 22) or are told to raise (P0001),
+    Python functions a Python exception. Anything else may pass.
+    """
+    state = getattr(failure, "getSqlState", lambda: None)() or ""
+    return isinstance(failure, PythonException) or state.startswith("22") or state == "P0001"
+
+
 Score = Callable[[DataFrame, LinearModel, float], DataFrame]
 
 
@@ -47,12 +59,19 @@ def route(
     return scored.withColumn("route", F.when(F.col("error").isNull(), SCORED).otherwise(DEAD))
 
 
+SCORES = {
+    "dropout_probability": "double", "predicted_label": "int", "risk_level": "string",
+    "explanation": "string", "top_risk_factors": "array<string>", "explanation_method": "string",
+}
+
+
 def route_failed(messages: DataFrame, failure: Exception) -> DataFrame:
     """Every message dead-lettered: scoring itself failed on this batch."""
-    first = str(failure).strip().splitlines()[:1]
-    reason = F.lit(f"scoring error: {(first or [type(failure).__name__])[0]}")
+    said = str(failure).strip().partition("\n")[0]
+    reason = F.lit(f"scoring error: {said or type(failure).__name__}")
+    nothing = {c: F.lit(None).cast(kind) for c, kind in SCORES.items()}
     return _inputs(messages).withColumns({
-        "error": F.coalesce("error", reason), "route": F.lit(DEAD)})
+        **nothing, "error": F.coalesce("error", reason), "route": F.lit(DEAD)})
 
 
 def scored_records(routed: DataFrame) -> DataFrame:
@@ -125,9 +144,11 @@ class StreamScorer:
     """Binds a model source, a sink and a checkpoint.
 
     ``load_model`` is asked once per batch; it returns ``None`` while there is
-    no model, which fails the batch without writing anything.  When scoring
-    raises although the messages can be read, its rows are dead-lettered; when
-    they cannot be read either, the batch fails and is read again.
+    no model, which fails the batch without writing anything, as does
+    :class:`ModelUnavailable` raised while scoring.  Errors that the rows'
+    values cause (:func:`caused_by_rows`) dead-letter the batch's rows.  Any other error
+    may pass, as a lost executor or a full disk does: the batch is scored again
+    up to ``attempts`` times, and then fails, to be read again.
     """
 
     load_model: Callable[[], LinearModel | None]
@@ -135,6 +156,7 @@ class StreamScorer:
     checkpoint: str
     threshold: float = DECISION_THRESHOLD
     score: Score = predict
+    attempts: int = 3
     stats: ScorerStats = field(default_factory=ScorerStats)
 
     def _routed(self, batch: DataFrame, model: LinearModel) -> tuple[DataFrame, dict[str, int]]:
@@ -148,10 +170,19 @@ class StreamScorer:
                 raise
             return kept, {r["route"]: r["count"] for r in found}
 
-        try:
-            return stored(route(batch, model, self.threshold, self.score))
-        except Exception as failure:  # noqa: BLE001 - any scoring failure is the rows' reason
-            return stored(route_failed(batch, failure))
+        for left in range(self.attempts - 1, -1, -1):
+            try:
+                return stored(route(batch, model, self.threshold, self.score))
+            except ModelUnavailable:
+                self.stats.retries += 1
+                raise
+            except Exception as failure:  # noqa: BLE001 - told apart below
+                if caused_by_rows(failure):
+                    return stored(route_failed(batch, failure))
+                self.stats.retries += 1
+                if not left:
+                    raise
+        raise AssertionError("attempts must be positive")
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         self.stats.batches += 1
@@ -161,8 +192,7 @@ class StreamScorer:
             raise ModelUnavailable("no model is available; the batch stays uncommitted")
         routed, counts = self._routed(batch, model)
         try:
-            if counts.get(SCORED):
-                self.sink(scored_records(routed), SCORED, batch_id)
+            self.sink(scored_records(routed), SCORED, batch_id)
             self.sink(dead_records(routed), DEAD, batch_id)
         except Exception:
             self.stats.produce_failures += 1

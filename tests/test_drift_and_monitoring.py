@@ -99,9 +99,13 @@ def test_no_profile_or_no_rows_is_unavailable(spark, profile):
     assert drift.assess(live.limit(0), profile).first().available is False
 
 
-def test_bucketed_edges_equal_plain_ones(spark):
-    data = drift.unpivot_numeric(frame(spark, 700, fee=lambda i: (i * 7919) % 1000 / 7))
-    assert rows(drift.bin_edges(data, rows_per_bucket=60)) == rows(drift.bin_edges(data))
+def test_a_column_without_values_stays_in_profile_and_report(spark):
+    empty = frame(spark, 200).withColumn("monthly_fee", F.lit(None).cast("double"))
+    profile = drift.reference_profile(empty)
+    kept = profile.filter("feature = 'monthly_fee'").collect()
+    assert [(r.bin_no, r.lo, r.hi, r.share) for r in kept] == [(0, 0.0, 1.0, 0.0)]
+    features = {r.feature: r for r in drift.drift_features(frame(spark, 90), profile).collect()}
+    assert features["monthly_fee"].verdict == "significant"
 
 
 # --- logs

@@ -23,23 +23,34 @@ def frame(spark, values):
         [(k, float(x)) for k, xs in values.items() for x in xs], "key string, value double")
 
 
-@pytest.mark.parametrize("size", [50, 200_000])
-def test_quantiles_match_linear_interpolation(frame, values, size):
+def test_quantiles_match_linear_interpolation(frame, values):
     steps = [i * 0.1 for i in range(10)] + [1.0]
-    found = ranks.exact_quantiles(frame, ["key"], "value", steps, rows_per_bucket=size)
+    found = ranks.exact_quantiles(frame, ["key"], "value", steps)
     for r in found.collect():
         np.testing.assert_allclose(r.q, np.quantile(values[r.key], steps), atol=1e-12)
 
 
-@pytest.mark.parametrize("descending", [False, True])
-def test_bucketed_prefix_sums_equal_plain_ones(frame, descending):
-    counts = ranks.value_counts(frame, ["key"], "value", {"n": F.lit(1)})
+@pytest.fixture(params=[1, 13])
+def ranges(spark, request):
+    """Value ranges: one, or more than adaptive execution would leave."""
+    spark.conf.set("spark.sql.shuffle.partitions", request.param)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield request.param
+    spark.conf.set("spark.sql.shuffle.partitions", 4)
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
-    def run(size):
-        out = ranks.prefix_sums(counts, ["key"], "value", ["n"], descending, size)
-        return sorted((r.key, r.value, r.n, r.cum_n) for r in out.collect())
 
-    assert run(40) == run(200_000)
+@pytest.mark.parametrize("descending", [False, True])
+def test_prefix_sums_match_brute_force(frame, values, ranges, descending):
+    counts = ranks.value_counts(frame, ["key"], "value", {"n": F.lit(1)})
+    assert counts.select(ranks.BUCKET).distinct().count() == ranges
+    got = sorted((r.key, r.value, r.n, r.cum_n) for r in ranks.prefix_sums(counts, ["key"], "value", ["n"], descending).collect())
+    want = []
+    for key, xs in values.items():
+        for v in set(xs.tolist()):
+            side = (xs >= v) if descending else (xs <= v)
+            want.append((key, v, int((xs == v).sum()), int(side.sum())))
+    assert got == sorted(want)
 
 
 def test_quantiles_without_keys(frame, values):
@@ -64,14 +75,13 @@ def slow_ap(y, p):
 
 
 @pytest.mark.parametrize("decimals", [2, 12])
-@pytest.mark.parametrize("size", [20, 200_000])
-def test_auc_and_average_precision_match_brute_force(spark, decimals, size):
+def test_auc_and_average_precision_match_brute_force(spark, decimals, ranges):
     rng = np.random.default_rng(5)
     y = (rng.random(400) < 0.2).astype(int)
     p = np.round(np.clip(rng.random(400) * 0.6 + y * 0.2, 0, 1), decimals)
     scored = spark.createDataFrame(
         [("g", int(a), float(b)) for a, b in zip(y, p)], "k string, y_true int, y_proba double")
-    r = ranking_metrics(curve(scored, ["k"], size), ["k"]).first()
+    r = ranking_metrics(curve(scored, ["k"]), ["k"]).first()
     assert r.roc_auc == pytest.approx(slow_auc(y, p))
     assert r.pr_auc == pytest.approx(slow_ap(y, p))
 

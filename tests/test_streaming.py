@@ -177,6 +177,72 @@ def test_a_scoring_failure_dead_letters_the_batch_and_goes_on(spark, feed):
     assert (stats.scored, stats.dead_lettered, stats.commits) == (1, 4, 2)
 
 
+def offsets(spark, out):
+    """Offsets per output, with how often each is there."""
+    scored = [r[0] for r in scorer.read_output(spark, out, scorer.SCORED).select("source_offset").collect()]
+    dead = [r[0] for r in scorer.read_output(spark, out, scorer.DEAD).select("offset").collect()]
+    return sorted(scored), sorted(dead)
+
+
+def test_a_passing_failure_is_scored_again_and_not_blamed_on_rows(spark, feed):
+    source, out, checkpoint = feed
+    failures = [OSError("executor lost")]
+
+    def flaky(df, model, threshold):
+        if failures:
+            raise failures.pop()
+        return scorer.predict(df, model, threshold)
+
+    stats = scorer.StreamScorer(lambda: linear.CHAMPION, scorer.file_sink(out), checkpoint, score=flaky).drain(source())
+    assert outputs(spark, out) == (["S1", "S2", "S3"], 2) and stats.retries == 1
+
+
+def test_a_lasting_failure_fails_the_batch_and_writes_nothing(spark, feed):
+    source, out, checkpoint = feed
+
+    def broken(df, model, threshold):
+        raise OSError("no disk")
+
+    job = scorer.StreamScorer(lambda: linear.CHAMPION, scorer.file_sink(out), checkpoint, score=broken)
+    with pytest.raises(Exception, match="no disk"):
+        job.drain(source())
+    assert job.stats.commits == 0 and job.stats.retries == job.attempts
+    scorer.StreamScorer(lambda: linear.CHAMPION, scorer.file_sink(out), checkpoint).drain(source())
+    assert outputs(spark, out) == (["S1", "S2", "S3"], 2)
+
+
+def test_no_model_while_scoring_keeps_the_batch(spark, feed):
+    source, out, checkpoint = feed
+
+    def gone(df, model, threshold):
+        raise scorer.ModelUnavailable("unloaded")
+
+    job = scorer.StreamScorer(lambda: linear.CHAMPION, scorer.file_sink(out), checkpoint, score=gone)
+    with pytest.raises(Exception, match="unloaded"):
+        job.drain(source())
+    assert job.stats.commits == 0 and job.stats.dead_lettered == 0
+
+
+def test_a_replay_that_routes_otherwise_leaves_each_offset_in_one_output(spark, feed):
+    source, out, checkpoint = feed
+    write = scorer.file_sink(out)
+
+    def half(df, output, batch_id):
+        if output == scorer.DEAD:
+            raise OSError("disk full")
+        write(df, output, batch_id)
+
+    with pytest.raises(Exception, match="disk full"):
+        scorer.StreamScorer(lambda: linear.CHAMPION, half, checkpoint).drain(source())
+
+    def failing(df, model, threshold):
+        return scorer.predict(df, model, threshold).withColumn("risk_level", F.raise_error(F.lit("bad")).cast("string"))
+
+    scorer.StreamScorer(lambda: linear.CHAMPION, write, checkpoint, score=failing).drain(source())
+    scored, dead = offsets(spark, out)
+    assert scored == [] and dead == [0, 0, 1, 1, 2]  # the offsets of the two files
+
+
 def test_an_empty_topic_is_no_error(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     job = scorer.StreamScorer(
