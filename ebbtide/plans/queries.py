@@ -1124,12 +1124,18 @@ def stream_stats(spark, sf):
 
 @query
 def stream_rate_windows(spark, sf):
-    """Closed five-minute windows per event type."""
+    """Five-minute windows per event type: those the drained stream closed, then the open rest."""
     folder = run_folder(spark)
-    schema = canonical.read(spark, sf, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    every = canonical.read(spark, sf, "events")
+    events = spark.readStream.schema(every.schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     rows = stream_rates.stream_rates(events, "ts", ["event_type"])
     stream_rates.drain_to(rows, f"{folder}/rates", f"{folder}/checkpoint")
-    return spark.read.parquet(f"{folder}/rates").select(
-        F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "event_type",
-        "n", F.round("rate_per_sec", 6).alias("rate_per_sec"))
+
+    def shown(df, closed):
+        return df.select(
+            F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "event_type",
+            "n", F.round("rate_per_sec", 6).alias("rate_per_sec"), F.lit(closed).alias("closed"))
+
+    closed = shown(spark.read.parquet(f"{folder}/rates"), True)
+    rest = shown(monitoring.rates(every, "ts", ["event_type"]), False)
+    return closed.unionByName(rest.join(closed, ["window_start", "event_type"], "left_anti"))

@@ -17,6 +17,7 @@ from ebbtide import schemas
 from ebbtide.functions.columns import as_date, clip, ratio
 from ebbtide.operators import contract
 from ebbtide.params import DAYS_PER_MONTH
+from ebbtide.session import cut
 from ebbtide.sources.canonical import Warehouse
 
 FILES = {
@@ -54,8 +55,11 @@ def members_to_subscribers(members: DataFrame) -> DataFrame:
 
 
 def transactions_with_ids(transactions: DataFrame) -> DataFrame:
-    """Number the rows in file order (unique, gaps allowed)."""
-    return transactions.withColumn("event_id", F.monotonically_increasing_id() + 1)
+    """Number the rows in file order (unique, gaps allowed).
+
+    Numbered once and stored: events, payments and their joins all read the same ids.
+    """
+    return cut(transactions.withColumn("event_id", F.monotonically_increasing_id() + 1))
 
 
 def flag_first(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:

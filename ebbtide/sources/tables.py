@@ -23,7 +23,7 @@ def run_sql(spark: SparkSession, sql: str, tables: Mapping[str, DataFrame], **ar
 
 
 def create_tables(spark: SparkSession, database: str = "default") -> None:
-    """Create the five Parquet tables; event tables are partitioned by day."""
+    """Create the five Parquet tables as the catalog knows them, unpartitioned."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name, schema in schemas.TABLES.items():
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)

@@ -1288,8 +1288,8 @@ SELECT count(*) AS messages, count(*) FILTER (WHERE {GOOD}) AS scored,
        count(*) FILTER (WHERE NOT ({GOOD})) AS dead_lettered, true AS agrees_with_runner FROM msg""")
 Q["stream_rate_windows"] = """
 SELECT strftime(time_bucket(INTERVAL 5 MINUTE, ts), '%Y-%m-%d %H:%M:%S') AS window_start, event_type,
-       count(*) AS n, round(count(*) / CAST(300 AS DOUBLE), 6) AS rate_per_sec
+       count(*) AS n, round(count(*) / CAST(300 AS DOUBLE), 6) AS rate_per_sec,
+       time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE
+         <= date_trunc('millisecond', (SELECT max(ts) FROM events)) - INTERVAL 10 MINUTE AS closed
 FROM events
-WHERE time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE
-      <= date_trunc('millisecond', (SELECT max(ts) FROM events)) - INTERVAL 10 MINUTE
-GROUP BY 1, 2"""
+GROUP BY time_bucket(INTERVAL 5 MINUTE, ts), event_type"""
