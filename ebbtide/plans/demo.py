@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.functions.columns import count_if, midnight
@@ -87,27 +87,43 @@ def arrivals(wh: Warehouse, start: date | str, end: date | str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def cleaning_log(wh: Warehouse, raw_durations: DataFrame) -> DataFrame:
+def cleaning_log(
+    wh: Warehouse, raw_logs: DataFrame, raw_transactions: DataFrame, since: str
+) -> DataFrame:
     """What cleaning found, as measured counts with a reason each.
 
-    ``raw_durations`` has ``total_secs`` as delivered, before clipping.
+    ``raw_logs`` and ``raw_transactions`` are as delivered; sessions are kept from ``since`` on.
     """
     known = wh.subscribers.select("subscriber_id").distinct()
     lost = wh.subscription_events.groupBy("subscriber_id").agg(F.count("*").alias("n")).join(
         known, "subscriber_id", "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("amount"))
     longest = wh.subscribers.agg(
         F.coalesce(F.max(F.length("subscriber_id")), F.lit(0)).cast("bigint").alias("amount"))
-    clipped = raw_durations.agg(count_if(F.col("total_secs") < 0).alias("amount"))
+    day = F.date_format(F.lit(since).cast("date"), "yyyyMMdd")
+    # Both counts of the logs come from one scan.
+    logs = raw_logs.agg(
+        count_if(F.col("total_secs") < 0).alias("clipped"),
+        count_if(F.col("date").cast("string") < day).alias("early"),
+    )
+    priced = raw_transactions.agg(count_if(~F.col("payment_plan_days").between(28, 31)).alias("amount"))
+    # The steps and why they mattered.
     steps = (
         ("Orphan rows removed", lost, "they would vanish silently from every query"),
         ("Longest subscriber id", longest, "the id column must hold it without truncation"),
-        ("Negative durations clipped", clipped,
+        ("Prices normalised", priced, "a plan of many months is not comparable to one of a month"),
+    )
+    of_logs = (
+        ("Negative durations clipped", "clipped",
          "dropping the rows would understate activity, which reads as churn risk"),
+        ("Session window bounded", "early", "older rows are beyond any feature window"),
     )
-    parts = [
-        df.select(F.lit(step).alias("cleaning_step"), "amount",
-                  F.concat(F.lit(step), F.lit(": "), F.col("amount").cast("string"),
-                           F.lit(" - "), F.lit(why)).alias("why_it_mattered"))
-        for step, df, why in steps
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+    def entry(step: str, amount: Column, why: str) -> Column:
+        text = F.concat(F.lit(step), F.lit(": "), amount.cast("string"), F.lit(" - "), F.lit(why))
+        return F.struct(F.lit(step).alias("cleaning_step"), amount.alias("amount"),
+                        text.alias("why_it_mattered"))
+
+    out = logs.select(F.explode(F.array(*[entry(s, F.col(c), w) for s, c, w in of_logs])).alias("e"))
+    for step, df, why in steps:
+        out = out.unionAll(df.select(entry(step, F.col("amount"), why).alias("e")))
+    return out.select("e.*")

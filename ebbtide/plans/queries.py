@@ -636,7 +636,7 @@ def event_log_head(spark, sf):
 @query
 def cleaning_log(spark, sf):
     wh = canonical.warehouse(spark, sf)
-    return demo.cleaning_log(wh, raw_logs(spark, sf))
+    return demo.cleaning_log(wh, raw_logs(spark, sf), raw_transactions(spark, sf), "1999-01-01")
 
 
 @query

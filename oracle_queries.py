@@ -864,7 +864,13 @@ steps AS (SELECT 'Orphan rows removed' AS cleaning_step,
     'the id column must hold it without truncation'
   UNION ALL SELECT 'Negative durations clipped',
     (SELECT count(*) FROM lines WHERE l_returnflag = 'R' AND l_quantity > 0),
-    'dropping the rows would understate activity, which reads as churn risk')""", select="""
+    'dropping the rows would understate activity, which reads as churn risk'
+  UNION ALL SELECT 'Prices normalised',
+    (SELECT count(*) FROM orders WHERE substr(o_orderpriority, 1, 1) <> '2'),
+    'a plan of many months is not comparable to one of a month'
+  UNION ALL SELECT 'Session window bounded',
+    (SELECT count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate < '1999-01-01'),
+    'older rows are beyond any feature window')""", select="""
 SELECT cleaning_step, amount, cleaning_step || ': ' || amount || ' - ' || why AS why_it_mattered
 FROM steps""")
 WINDOW_MONTH = "occurred_at >= '1999-12-01' AND occurred_at < '2000-01-01'"
