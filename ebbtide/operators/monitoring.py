@@ -192,6 +192,9 @@ class AlertRule:
     guard: str | None = None
 
 
+# Longest silence inside a run of a met condition.
+MAX_GAP_SECONDS = 86_400
+
 # The alert rules, with their thresholds and durations.
 RULES = (
     AlertRule("ModelNotLoaded", "subscriber_model_loaded", "==", 0, 300, "critical"),
@@ -279,26 +282,31 @@ def rule_samples(
         (holds & open_guard).alias("met"))
 
 
-def alert_episodes(evaluated: DataFrame) -> DataFrame:
+def alert_episodes(evaluated: DataFrame, max_gap_seconds: int = MAX_GAP_SECONDS) -> DataFrame:
     """Unbroken runs of a met condition, per alert (gaps and islands).
 
-    Two levels: runs inside each day, then runs that touch across days.  A long
-    series is sorted day by day, and only its runs meet in one window.
+    A stretch without samples longer than ``max_gap_seconds`` ends a run: silence is not
+    a condition that holds.  Two levels: runs inside each day, then runs that touch across
+    days.  A long series is sorted day by day, and only its runs meet in one window.
     """
     keys = ("alert", "severity", "for_seconds")
 
-    def numbered(rows: DataFrame, window) -> DataFrame:
-        change = F.coalesce(F.lag("met").over(window) != F.col("met"), F.lit(True))
+    def numbered(rows: DataFrame, window, first: str, last: str) -> DataFrame:
+        silence = epoch_seconds(F.col(first)) - epoch_seconds(F.lag(last).over(window))
+        change = F.coalesce(
+            (F.lag("met").over(window) != F.col("met")) | (silence > max_gap_seconds), F.lit(True))
         return rows.withColumn("_change", change.cast("int")).withColumn(
             "_run", F.sum("_change").over(window))
 
     day = F.col("ts").cast("date")
     in_day = Window.partitionBy("alert", "_day").orderBy("ts")
-    runs = numbered(evaluated.withColumn("_day", day), in_day).groupBy(
+    runs = numbered(evaluated.withColumn("_day", day), in_day, "ts", "ts").groupBy(
         *keys, "_day", "_run", "met"
     ).agg(F.min("ts").alias("started"), F.max("ts").alias("ended"), F.count("*").alias("n"))
     across = Window.partitionBy("alert").orderBy("started")
-    merged = numbered(runs.drop("_run"), across).filter("met").groupBy(*keys, "_run").agg(
+    merged = numbered(runs.drop("_run"), across, "started", "ended").filter("met").groupBy(
+        *keys, "_run"
+    ).agg(
         F.min("started").alias("started"), F.max("ended").alias("ended"),
         F.sum("n").alias("n_samples"))
     held = epoch_seconds(F.col("ended")) - epoch_seconds(F.col("started"))

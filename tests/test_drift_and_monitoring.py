@@ -239,6 +239,16 @@ def test_runs_cross_midnight_and_days_without_a_gap(spark):
     assert runs[0].held_seconds == 95 * 3600
 
 
+def test_silence_ends_a_run(spark):
+    ten_days = [(0, 0.6), (10 * 1440, 0.6)]
+    evaluated = monitoring.rule_samples(samples(spark, "subscriber_flagged_rate", ten_days))
+    runs = monitoring.alert_episodes(evaluated).collect()
+    assert sorted(r.held_seconds for r in runs) == [0, 0]
+    assert monitoring.alert_state(evaluated).first().state == "pending"
+    one = monitoring.alert_episodes(evaluated, max_gap_seconds=11 * 86_400).collect()
+    assert [r.held_seconds for r in one] == [864_000]
+
+
 def test_absolute_values_and_guards(spark):
     shift = "subscriber_probability_mean_shift"
     assert state(spark, "ScoreDistributionShift", shift, [(0, -0.2), (30, -0.2)]).state == "firing"
