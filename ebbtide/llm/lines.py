@@ -41,9 +41,6 @@ COARSE, FINE = 2, 16
 PLACE = 1 << 31
 NO_KEY = -(2**63)
 
-_space = " \t\r\x0b\x0c"
-
-
 def _place(key: Column, number: Column) -> Column:
     """Places as one number that sorts by key, then line."""
     return (F.coalesce(key, F.lit(NO_KEY)).cast("decimal(20,0)") * F.lit(PLACE) + number).cast("decimal(38,0)")
@@ -77,17 +74,17 @@ def _deletions(line: Column, n: Column, blocks: int) -> Column:
 def _numbered(docs: DataFrame, text: str, key: str) -> DataFrame:
     """One row per line that is not blank."""
     return docs.select(F.col(key).cast("long").alias("key"), F.posexplode(F.split(F.col(text), "\n")).alias("number", "line")).where(
-        F.length(F.translate("line", _space, "")) > 0
+        F.col("line").rlike(r"[^ \t\r\x0B\f]")
     )
 
 
 def places(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Place, hashes, length and coarse deletions of every line that is not blank."""
     lines = _numbered(docs, text, key).withColumn("n", F.length("line"))
-    variants = _deletions(F.col("line"), F.col("n"), COARSE)
+    cases = [(length, F.lit(block)) for length in (F.col("n"), F.col("n") + 1) for block in range(COARSE)]
     return lines.select(
         _place(F.col("key"), F.col("number")).alias("place"), "key", "number", *_id(F.col("line")), "n",
-        *[variants[i]["variant"].alias(f"v{i}") for i in range(2 * COARSE)],
+        *[_without(F.col("line"), F.col("n"), block, COARSE, length).alias(f"v{i}") for i, (length, block) in enumerate(cases)],
     )
 
 
@@ -95,17 +92,20 @@ def near_lines(docs: DataFrame, distinct: DataFrame, text: str, key: str) -> Dat
     """``place`` of the distinct lines that an earlier line is one edit away from."""
     long = distinct.where(F.col("n") >= LEAST_CHARS)
     variants = [F.struct(F.lit(i).alias("i"), F.col(f"v{i}").alias("variant")) for i in range(2 * COARSE)]
-    coarse = long.select("a", "b", "place", F.explode(F.array(*variants)).alias("v")).select("a", "b", "place", "v.variant")
+    coarse = long.select("a", F.explode(F.array(*variants)).alias("v")).select("a", "v.variant")
     shared = coarse.groupBy("variant").agg(F.count("*").alias("m")).where("m > 1").select("variant")
-    some = coarse.join(shared, "variant", "left_semi").select("a", "b", "place").distinct()
+    # One hash names the line here: the few others that it may name as well do no harm.
+    found = coarse.join(shared, "variant", "left_semi").select("a").distinct()
+    some = long.join(found, "a", "left_semi").select("a", "b", "place")
 
     # The text of the lines that go on, from the document of each one's earliest place.
     number = F.pmod(F.col("place"), F.lit(PLACE).cast("decimal(38,0)")).cast("int")
     doc = ((F.col("place") - number) / PLACE).cast("decimal(20,0)").cast("long")
     wanted = some.groupBy(doc.alias("wanted_key")).agg(F.collect_set(number).alias("numbers"))
     source = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("key"), F.col(text).alias("text"))
-    texts = source.join(wanted, F.col("key") == F.col("wanted_key")).select("key", F.explode(F.transform(
-        "numbers", lambda i: F.struct(i.alias("number"), F.get(F.split("text", "\n"), i).alias("line")))).alias("l"))
+    joined = source.join(wanted, F.col("key") == F.col("wanted_key"))
+    texts = joined.select("key", F.explode(F.get(F.transform(F.array(F.split("text", "\n")), lambda every: F.transform(
+        "numbers", lambda i: F.struct(i.alias("number"), F.get(every, i).alias("line")))), F.lit(0))).alias("l"))
     texts = texts.select(_place(F.col("key"), F.col("l.number")).alias("place"), "l.line", *_id(F.col("l.line")))
     lines = stored(
         texts.join(some, ["a", "b", "place"], "left_semi").dropDuplicates(["a", "b"])
@@ -155,19 +155,18 @@ def cleaned(docs: DataFrame, text: str = "text", key: str = "doc_id", counts: bo
     """``docs`` without removed lines in ``text``; with ``counts`` also ``n_lines`` and ``n_removed``."""
     gone = removed_lines(docs, text, key).groupBy(F.coalesce("key", F.lit(NO_KEY)).alias("__key")).agg(
         F.collect_set("number").alias("__gone"))
-    lines = F.split(F.col(text), "\n")
-    every = F.when(F.size(lines) > 0, F.sequence(F.lit(0), F.size(lines) - 1))
-    stay = F.array_except(every, F.coalesce("__gone", F.array().cast("array<int>")))
     own = docs.withColumn("__own", F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)))
-    joined = own.join(gone, F.col("__own") == F.col("__key"), "left")
+    joined = own.join(gone, F.col("__own") == F.col("__key"), "left").withColumn("__lines", F.split(F.col(text), "\n"))
+    every = F.sequence(F.lit(0), F.size("__lines") - 1)
+    joined = joined.withColumn("__stay", F.when(F.col("__gone").isNotNull() & F.col("__lines").isNotNull(), F.array_except(every, "__gone")))
     numbers = {
-        "n_lines": F.coalesce(F.size(every), F.lit(0)).cast("long"),
-        "n_removed": F.coalesce(F.size(every) - F.size(stay), F.lit(0)).cast("long"),
+        "n_lines": F.coalesce(F.size("__lines"), F.lit(0)).cast("long"),
+        "n_removed": F.coalesce(F.size("__lines") - F.size("__stay"), F.lit(0)).cast("long"),
     } if counts else {}
     return joined.withColumns(numbers | {
-        text: F.when(F.col("__gone").isNull(), F.col(text)).otherwise(
-            F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")),
-    }).drop("__own", "__key", "__gone")
+        text: F.when(F.col("__stay").isNull(), F.col(text)).otherwise(
+            F.array_join(F.transform("__stay", lambda i: F.get("__lines", i)), "\n")),
+    }).drop("__own", "__key", "__gone", "__lines", "__stay")
 
 
 SQL = f"""
