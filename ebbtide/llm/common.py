@@ -82,7 +82,7 @@ CUTS = {
 #: Python's white space minus the Unicode property White_Space: texts with these are encoded whole.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 #: Parts of words remembered by one Python worker; a full memory is emptied. Results never change.
-MEMO = 1_000_000
+MEMO = 500_000
 #: Longer parts are encoded each time.
 LONG_PART = 64
 #: Characters of text handled at once.
