@@ -43,7 +43,7 @@ from ebbtide.llm.induced import shared_prefix_at_least, suffix_order
 SLICE = 1 << 20
 #: Runs of a task that are compared before they are sent.
 LOCAL_RUNS = 1 << 20
-SHARD_BYTES = 3 << 20
+SHARD_BYTES = 1 << 20
 #: Most different runs of one anchor string in a shard.
 CROWD = 4096
 #: Offsets of the anchor that are looked at together when runs are left out.
@@ -291,7 +291,8 @@ def _cut_out(documents: DataFrame, wanted: DataFrame) -> DataFrame:
 def _flagged_windows(pieces: DataFrame, width: int, salts: int = 64) -> DataFrame:
     """Repeated windows of crowded anchor strings, by two hashes of each window.
 
-    The earliest per hash and salt is found first, then the earliest of those.
+    The earliest per hash and salt is found first, then the earliest of those. Rows that
+    repeat a document have equal places and so equal ranks.
     """
     schema = "one long, two long, doc long, p long"
 
@@ -317,9 +318,9 @@ def _flagged_windows(pieces: DataFrame, width: int, salts: int = 64) -> DataFram
     rows = pieces.mapInArrow(windows, schema).withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(salts)))
     near = Window.partitionBy("one", "two", "salt").orderBy("doc", "p")
     far = Window.partitionBy("one", "two").orderBy("doc", "p")
-    first = rows.withColumn("nth", F.row_number().over(near))
+    first = rows.withColumn("nth", F.rank().over(near))
     again = first.where("nth > 1").select("doc", "p")
-    return again.unionAll(first.where("nth = 1").withColumn("n", F.row_number().over(far)).where("n > 1").select("doc", "p"))
+    return again.unionAll(first.where("nth = 1").withColumn("n", F.rank().over(far)).where("n > 1").select("doc", "p"))
 
 
 def repeats(documents: DataFrame, width: int) -> DataFrame:
@@ -336,9 +337,10 @@ def repeats(documents: DataFrame, width: int) -> DataFrame:
         run = F.struct("h", "p", start.alias("start"), (F.expr(f"p & {(1 << _COUNT_BITS) - 1}L") + F.lit(width - 1)).alias("size"))
         wanted = runs.join(own.select("h"), "h").groupBy(
             "doc", F.shiftright("p", _START_BITS + _COUNT_BITS).alias("version")).agg(F.collect_list(run).alias("runs"))
-        return _cut_out(documents.dropDuplicates(["doc", "version"]), wanted)
+        return _cut_out(documents, wanted)
 
     def shard(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.drop_duplicates(["h", "doc", "p"])  # of rows that repeat a document
         with tempfile.TemporaryDirectory() as folder:  # of the task alone, and gone with it
             doc, p = repeated_in_shard(
                 rows["h"].to_numpy(), rows["doc"].to_numpy(), rows["p"].to_numpy(), rows["raw"].tolist(), width, folder)
