@@ -9,7 +9,8 @@ How many leaves a query visits is calibrated: for ``CALIBRATION`` queries the tr
 neighbours among all rows are computed in blocks, and the visits are widened until the part
 ``TARGET`` of them lies in the leaves visited.
 
-Leaves are joined with the queries that visit them, in blocks of ``BLOCK_ROWS`` rows and
+The nearest of these leaves are searched first; the others then return only what reaches the
+query's last place so far. Leaves are joined with the queries that visit them, in blocks of ``BLOCK_ROWS`` rows and
 ``BLOCK_QUERIES`` queries, so a leaf that holds a third of the rows is many tasks. What is
 sent to the tasks, the tree and the calibration queries, has a size set by the parameters.
 
@@ -37,6 +38,8 @@ BLOCK_ROWS, BLOCK_QUERIES = 8_192, 2_048
 CALIBRATION, TARGET = 256, 0.95
 #: Scores this near to the last place are computed anew before ranking.
 MARGIN = 1e-9
+#: One in so many of the leaves is visited first.
+EARLY = 16
 ITERATIONS, SEED = 12, 5
 
 
@@ -144,9 +147,12 @@ def cosine(one: np.ndarray, many: np.ndarray) -> np.ndarray:
     return (b * a).sum(axis=1) / (np.sqrt((a * a).sum()) * np.sqrt((b * b).sum(axis=1)))
 
 
-def _top(ids: np.ndarray, m: np.ndarray, units: np.ndarray, query: int, vector: np.ndarray, near: np.ndarray, k: int) -> list[tuple]:
-    """The query's best ``k`` of some rows, exactly scored: (query, vec_id, score)."""
-    near = np.where(ids == query, -np.inf, near)
+def _top(ids: np.ndarray, m: np.ndarray, query: int, vector: np.ndarray, near: np.ndarray, k: int, least: float = -2.0) -> list[tuple]:
+    """The query's best ``k`` of some rows, exactly scored: (query, vec_id, score).
+
+    ``near`` are scores up to rounding; rows below ``least`` are left out.
+    """
+    near = np.where((ids == query) | (near < least - MARGIN), -np.inf, near)
     n = int((near > -np.inf).sum())
     if not n:
         return []
@@ -179,7 +185,7 @@ def calibrated_visits(rows: DataFrame, tree: Tree, sample: pd.DataFrame, k: int)
             u = _units(m)
             leaf = dict(zip(own.tolist(), tree.nearest_leaf(u).tolist(), strict=True))
             near = units @ u.T
-            out = [r for i in range(len(ids)) for r in _top(own, m, u, int(ids[i]), vectors[i], near[i], k)]
+            out = [r for i in range(len(ids)) for r in _top(own, m, int(ids[i]), vectors[i], near[i], k)]
             yield pd.DataFrame([(q, v, s, leaf[v]) for q, v, s in out], columns=["query_id", "vec_id", "score", "leaf"])
 
     found = _best(rows.mapInPandas(blocks, "query_id long, vec_id long, score double, leaf long"), k)
@@ -218,29 +224,39 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     filed = stored(rows.mapInPandas(file_rows, "vec_id long, vector array<double>, leaf long"), "leaves")
     asked = rows.where(is_query).groupBy("vec_id").agg(F.min_by("vector", F.xxhash64("vector")).alias("vector"))
     asked = stored(asked.mapInPandas(visit, "query_id long, query array<double>, leaves array<long>"), "queries")
-    asked = asked.select("query_id", "query", F.explode("leaves").alias("leaf"))
-
-    # Blocks per leaf: numbers of rows and queries by leaf, as many as the tree has leaves.
-    # Both sides' keys need the same types, or they would be dealt out differently.
-    blocks = filed.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("row_blocks"))
-    turns = asked.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("query_blocks"))
-    size = F.broadcast(blocks.join(turns, "leaf"))  # at most FIT_ROWS rows
-    spread = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    left = filed.join(size, "leaf").withColumn("rb", F.pmod(F.xxhash64("vec_id"), "row_blocks").cast("int")).withColumn("qb", spread(F.col("query_blocks")))
-    right = asked.join(size, "leaf").withColumn("qb", F.pmod(F.xxhash64("query_id"), "query_blocks").cast("int")).withColumn("rb", spread(F.col("row_blocks")))
-
     def compare(own: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple] = []
         if len(own) and len(queries):
             ids, m, q = own["vec_id"].to_numpy(), _matrix(own["vector"]), _matrix(queries["query"])
             u, qu = _units(m), _units(q)
+            number, bound = queries["query_id"].to_numpy(), queries["bound"].to_numpy()
             for at in range(0, len(q), 256):
                 near = qu[at:at + 256] @ u.T
                 for i in range(len(near)):
-                    out += _top(ids, m, u, int(queries["query_id"].iloc[at + i]), q[at + i], near[i], k)
+                    out += _top(ids, m, int(number[at + i]), q[at + i], near[i], k, bound[at + i])
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
 
+    rows_by_leaf = filed.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("row_blocks"))
     on = ["leaf", "rb", "qb"]
-    found = left.select(*on, "vec_id", "vector").groupBy(*on).cogroup(
-        right.select(*on, "query_id", "query").groupBy(*on)).applyInPandas(compare, schema)
-    return _best(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+    def visited(queries: DataFrame) -> DataFrame:
+        """The best of each leaf for the queries that visit it, in blocks."""
+        # Numbers of rows and queries by leaf: as many rows as the tree has leaves. Both sides'
+        # keys need the same types, or they would be dealt out differently.
+        per_leaf = queries.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("query_blocks"))
+        size = F.broadcast(rows_by_leaf.join(per_leaf, "leaf"))
+        spread = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+        left = filed.join(size, "leaf").withColumn("rb", F.pmod(F.xxhash64("vec_id"), "row_blocks").cast("int"))
+        left = left.withColumn("qb", spread(F.col("query_blocks"))).select(*on, "vec_id", "vector")
+        right = queries.join(size, "leaf").withColumn("qb", F.pmod(F.xxhash64("query_id"), "query_blocks").cast("int"))
+        right = right.withColumn("rb", spread(F.col("row_blocks"))).select(*on, "query_id", "query", "bound")
+        return left.groupBy(*on).cogroup(right.groupBy(*on)).applyInPandas(compare, schema)
+
+    # The nearest leaves give each query a bound; the others need only return what reaches it.
+    early = max(1, visits // EARLY)
+    first = asked.select("query_id", "query", F.lit(-2.0).alias("bound"), F.explode(F.slice("leaves", 1, early)).alias("leaf"))
+    found = stored(_best(visited(first), k).drop("rank"), "nearest")
+    bound = found.groupBy("query_id").agg(F.when(F.count("*") == k, F.min("score")).otherwise(-2.0).alias("bound"))
+    late = asked.join(bound, "query_id", "left").select(
+        "query_id", "query", F.coalesce("bound", F.lit(-2.0)).alias("bound"), F.explode(F.slice("leaves", early + 1, visits)).alias("leaf"))
+    return _best(found.unionAll(visited(late)), k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
