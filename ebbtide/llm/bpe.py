@@ -1,15 +1,16 @@
 """Byte-level BPE with higher-order functions: ranked merges folded over the bytes of words.
 
 1. A pass over the documents splits each text by the tokenizer's pattern and writes, per
-   block of text, its distinct words and each document as numbers of words.
-2. The corpus's distinct words are encoded once each: an ``aggregate`` over the word's bytes
-   merges, at each step, the leftmost adjacent pair with the lowest rank, found in a literal
-   map. Words of more than ``LONG_WORD`` bytes take a heap instead, since a fold copies its
-   state at each step; both give the same ids.
-3. Words return to their blocks, where documents are put together from them. Decoding puts
+   block of text, its distinct words in buckets and each document as numbers of words.
+2. In each bucket the corpus's distinct words are encoded once each: an ``aggregate`` over
+   the word's bytes merges, at each step, the leftmost adjacent pair with the lowest rank,
+   found in a literal map. A fold copies its state at each step, so words of more than
+   ``LONG_WORD`` bytes are merged with a heap instead; both give the same ids.
+3. Ids return to their blocks, where documents are put together from them. Decoding puts
    the binary pieces of the ids one after another.
 
-A block's words and documents are bounded by ``BLOCK_CHARS`` of text (or one document).
+A block's words and documents are bounded by ``BLOCK_CHARS`` of text (or one document); a
+bucket's words shrink with the number of shuffle partitions.
 
 Results: null text is empty and has no ids; rows that repeat a doc_id give one row each;
 other columns are ignored; an empty table gives no rows.
@@ -26,24 +27,23 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import read_text, stored
+from ebbtide.llm.common import CUTS, ODD_SPACE, read_text, stored
 
 #: Characters of text per block.
 BLOCK_CHARS = 24 << 20
-#: Bytes of a word from which merges are taken from a heap.
-LONG_WORD = 256
+#: Longest word, in bytes, that is folded: beyond it the fold takes many times the heap's time.
+LONG_WORD = 12
 #: Parts of the literal rank map: a piece is looked up in the part that its hash names,
 #: since Spark searches a map from end to end.
 MAP_PARTS = 16_384
 NO_RANK = 2**31 - 1
 
-PARTS = "kind string, block long, doc_id long, codes binary, code int, word string"
-
 
 def load_ranks(path: str) -> dict[bytes, int]:
     """Pieces and ranks of a vocabulary file: a base64 piece and its rank on each line."""
@@ -157,86 +157,209 @@ def fold_merges(word: Column, table: Column) -> Column:
 
 # Whole documents -----------------------------------------------------------------------
 
-def _split(docs: DataFrame, pattern: str, text: str, key: str) -> DataFrame:
-    """Blocks: rows of distinct words, and rows of documents as numbers of words."""
+def _packed(values: np.ndarray) -> bytes:
+    """Integers as compressed bytes: all lowest bytes, then all second ones, and so on."""
+    import zstandard
+
+    planes = values.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    import zstandard
+
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
+
+
+def _packed_words(words: list[str]) -> bytes:
+    """Words as compressed bytes: their number, their lengths, their UTF-8."""
+    import zstandard
+
+    raw = [w.encode() for w in words]
+    lengths = np.array([len(words), *map(len, raw)], "<u4").tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(lengths + b"".join(raw))
+
+
+def _unpacked_words(raw: bytes) -> list[str]:
+    import zstandard
+
+    data = zstandard.ZstdDecompressor().decompress(raw)
+    n = int(np.frombuffer(data, "<u4", 1)[0])
+    ends = (4 * (n + 1) + np.cumsum(np.frombuffer(data, "<u4", n, 4))).tolist()
+    return [data[a:b].decode() for a, b in zip([4 * (n + 1), *ends], ends)]
+
+
+def _split(docs: DataFrame, pattern: str, buckets: int, text: str, key: str) -> DataFrame:
+    """Blocks of text as three kinds of rows.
+
+    ``doc``: a document as numbers of its block's words; ``block``: the bucket of each of the
+    block's words, by number; ``word``: a bucket's words of the block, in that order.
+    """
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
-        find = regex.compile(pattern).findall
-        schema = pa.schema([
-            ("kind", pa.string()), ("block", pa.int64()), ("doc_id", pa.int64()), ("codes", pa.binary()),
-            ("code", pa.int32()), ("word", pa.string()),
-        ])
+        find, cut = regex.compile(pattern).findall, CUTS["spaced"].findall
         block = TaskContext.get().partitionId() << 32
         codes: dict[str, int] = {}
+        parts: dict[str, bytes] = {}
         size = 0
 
+        def rows(kind: str, docs: list, raws: list[bytes], bucket: list) -> pa.RecordBatch:
+            n = len(raws)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([kind] * n, pa.string()), pa.array([block] * n, pa.int64()), pa.array(bucket, pa.int32()),
+                 pa.array(docs, pa.int64()), pa.array(raws, pa.binary())], schema=SPLIT)
+
+        def numbered(part: str) -> bytes:
+            return np.array([codes.setdefault(w, len(codes)) for w in find(part)], "<u4").tobytes()
+
+        def document(x: str) -> np.ndarray:
+            if ODD_SPACE.search(x):
+                return np.frombuffer(numbered(x), "<u4")
+            every = cut(x)
+            found = list(map(parts.get, every))
+            if None in found:
+                for i, (p, v) in enumerate(zip(every, found, strict=True)):
+                    if v is None:
+                        if (v := parts.get(p)) is None:
+                            v = parts[p] = numbered(p)
+                        found[i] = v
+            return np.frombuffer(b"".join(found), "<u4")
+
         def words() -> Iterator[pa.RecordBatch]:
+            bucket = np.array([xxhash.xxh32_intdigest(w) % buckets for w in codes], np.int64)
+            yield rows("block", [None], [_packed(bucket)], [None])
             every = list(codes)
-            for i in range(0, len(every), 50_000):
-                some = every[i:i + 50_000]
-                n = len(some)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(["word"] * n), pa.array([block] * n, pa.int64()), pa.nulls(n, pa.int64()),
-                    pa.nulls(n, pa.binary()), pa.array(range(i, i + n), pa.int32()), pa.array(some, pa.string()),
-                ], schema=schema)
+            order = np.argsort(bucket, kind="stable")
+            for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+                if len(own):
+                    yield rows("word", [None], [_packed_words([every[i] for i in own.tolist()])], [int(bucket[own[0]])])
 
         for batch in batches:
-            keys, texts = batch.column(0), batch.column(1).to_pylist()
-            numbers, blocks = [], []
-            for x in texts:
-                if size and size + len(x or "") > BLOCK_CHARS:
+            keys, raws = [], []
+            for doc, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                x = x or ""
+                if size and size + len(x) > BLOCK_CHARS:
+                    yield rows("doc", keys, raws, [None] * len(keys))
                     yield from words()
-                    codes, size, block = {}, 0, block + 1
-                size += len(x or "")
-                numbers.append(np.array([codes.setdefault(w, len(codes)) for w in find(x or "")], "<u4").tobytes())
-                blocks.append(block)
-            n = len(texts)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(["doc"] * n), pa.array(blocks, pa.int64()), keys, pa.array(numbers, pa.binary()),
-                pa.nulls(n, pa.int32()), pa.nulls(n, pa.string()),
-            ], schema=schema)
-        yield from words()
+                    keys, raws, codes, parts, size, block = [], [], {}, {}, 0, block + 1
+                size += len(x)
+                keys.append(doc)
+                raws.append(_packed(document(x)))
+            yield rows("doc", keys, raws, [None] * len(keys))
+        if size or codes:
+            yield from words()
+
+    schema = "kind string, block long, bucket int, doc_id long, raw binary"
+    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(split, schema)
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(split, PARTS)
+
+SPLIT = pa.schema([("kind", pa.string()), ("block", pa.int64()), ("bucket", pa.int32()), ("doc_id", pa.int64()), ("raw", pa.binary())])
 
 
 def encode_words(words: DataFrame, ranks: dict[bytes, int], keep: list[str]) -> DataFrame:
-    """``words`` with the ids of each ``word``, and the columns to ``keep``."""
+    """``words`` with the ids of each ``word`` and the columns to ``keep``; a null word has null ids."""
 
     @F.pandas_udf("array<int>")
     def by_heap(word: pd.Series) -> pd.Series:
         return word.map(lambda w: merged(w.encode(), ranks))
 
-    short = F.octet_length("word") <= LONG_WORD
+    short = F.coalesce(F.octet_length("word") <= LONG_WORD, F.lit(True))
     folded = words.where(short).select(*keep, fold_merges(F.col("word"), rank_literal(ranks)).alias("ids"))
     return folded.unionAll(words.where(~short).select(*keep, by_heap("word").alias("ids")))
 
 
+def _encoded_buckets(words: DataFrame, ranks: dict[bytes, int], buckets: int) -> DataFrame:
+    """Per block and bucket the ids of its words, each distinct word of a bucket encoded once.
+
+    All within one task per bucket: distinct words go through the fold as rows, followed by
+    each block's list of them.
+    """
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number: dict[str, int] = {}
+        lists: list[tuple[int, int, bytes]] = []
+        schema = pa.schema([("word", pa.string()), ("long_ids", pa.list_(pa.int32())), ("block", pa.int64()), ("bucket", pa.int32()), ("numbers", pa.binary())])
+        for batch in batches:
+            for block, bucket, raw in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                own = np.array([number.setdefault(w, len(number)) for w in _unpacked_words(raw)])
+                lists.append((block, bucket, _packed(own)))
+        every = list(number)
+        for i in range(0, len(every), 20_000):
+            some = every[i:i + 20_000]
+            long = [merged(b, ranks) if len(b) > LONG_WORD else None for b in (w.encode() for w in some)]
+            short = [w if v is None else None for w, v in zip(some, long, strict=True)]
+            n = len(some)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(short, pa.string()), pa.array(long, pa.list_(pa.int32())), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], schema=schema)
+        for i in range(0, len(lists), 100):
+            some = lists[i:i + 100]
+            n = len(some)
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(n, pa.string()), pa.nulls(n, pa.list_(pa.int32()))] + [pa.array([x[j] for x in some], k) for j, k in enumerate((pa.int64(), pa.int32(), pa.binary()))],
+                schema=schema)
+
+    def answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        flat, sizes = [], []
+        table = None
+        for batch in batches:
+            lists = batch.column(1).is_valid()
+            words_in, lists_in = batch.filter(pc.invert(lists)), batch.filter(lists)
+            if words_in.num_rows:
+                ids = words_in.column(0)
+                flat.append(ids.flatten().to_numpy())
+                sizes.append(pc.list_value_length(ids).to_numpy())
+            if lists_in.num_rows:
+                if table is None:
+                    size = np.concatenate(sizes)
+                    table = np.concatenate(flat), np.cumsum(size) - size, size
+                values, start, size = table
+                out = []
+                for raw in lists_in.column(3).to_pylist():
+                    own = _unpacked(raw)
+                    n = size[own]
+                    pick = np.repeat(start[own] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+                    out.append((_packed(n), _packed(values[pick])))
+                yield pa.RecordBatch.from_arrays([
+                    lists_in.column(1), lists_in.column(2), pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.binary()),
+                ], names=["block", "bucket", "sizes", "ids"])
+
+    spread = words.select("block", "bucket", "raw").repartition(buckets, "bucket")  # a bucket a task: not merged
+    rows = spread.mapInArrow(distinct, "word string, long_ids array<int>, block long, bucket int, numbers binary")
+    folded = rows.select(F.coalesce("long_ids", fold_merges(F.col("word"), rank_literal(ranks))).alias("ids"), "block", "bucket", "numbers")
+    return folded.mapInArrow(answered, "block long, bucket int, sizes binary, ids binary")
+
+
 def encode(
     docs: DataFrame, ranks: dict[bytes, int], pattern: str, digests: bool = False,
     text: str = "text", key: str = "doc_id",
 ) -> DataFrame:
     """Each document's ids; or, with ``digests``, their number and the hashes of ids and decoded bytes."""
-    parts = stored(_split(docs, pattern, text, key), "words", partition_by="kind")
-    places = parts.where("kind = 'word'").groupBy("word").agg(F.collect_list(F.struct("block", "code")).alias("places"))
-    words = encode_words(places, ranks, ["places"]).select(F.explode("places").alias("place"), "ids")
-    words = words.select("place.block", "place.code", "ids")
-    whole = parts.where("kind = 'doc'").select("block", "doc_id", "codes")
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = stored(_split(docs, pattern, buckets, text, key), "words", partition_by="kind")
+    words = _encoded_buckets(parts.where("kind = 'word'"), ranks, buckets)
+    whole = parts.where("kind != 'word'").select("block", "doc_id", "raw", (F.col("kind") == "doc").alias("is_doc"))
     pieces = {rank: piece for piece, rank in ranks.items()}
 
-    def join(docs_in: pd.DataFrame, words_in: pd.DataFrame) -> pd.DataFrame:
-        ids: list = [None] * len(words_in)
-        for code, own in zip(words_in["code"].tolist(), words_in["ids"], strict=True):
-            ids[code] = own
+    def join(own: pd.DataFrame, words_in: pd.DataFrame) -> pd.DataFrame:
+        docs_in = own[own["is_doc"]]
+        bucket = np.concatenate([np.zeros(0, "<u4"), *map(_unpacked, own["raw"][~own["is_doc"]])])
+        ids: list = [None] * len(bucket)
+        by_bucket = np.argsort(bucket, kind="stable")
+        first = np.searchsorted(bucket[by_bucket], words_in["bucket"].to_numpy())
+        for at, raw_sizes, raw in zip(first.tolist(), words_in["sizes"], words_in["ids"], strict=True):
+            sizes = _unpacked(raw_sizes)
+            for code, value in zip(by_bucket[at:at + len(sizes)].tolist(), np.split(_unpacked(raw), np.cumsum(sizes)[:-1]), strict=True):
+                ids[code] = value
         if digests:
             number = [len(x) for x in ids]
             written = [",".join(map(str, x.tolist())) for x in ids]
             decoded = [b"".join([pieces[i] for i in x.tolist()]) for x in ids]
         out = []
-        for raw in docs_in["codes"]:
-            code = np.frombuffer(raw, "<u4").tolist()
+        for raw in docs_in["raw"]:
+            code = _unpacked(raw).tolist()
             if digests:
                 out.append((
                     sum([number[i] for i in code]),
@@ -244,7 +367,7 @@ def encode(
                     hashlib.sha256(b"".join([decoded[i] for i in code])).hexdigest(),
                 ))
             else:
-                out.append((np.concatenate([ids[i] for i in code]) if code else np.zeros(0, "int32"),))
+                out.append((np.concatenate([ids[i] for i in code]).astype("int32") if code else np.zeros(0, "int32"),))
         names = ["n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["ids"]
         result = pd.DataFrame(out, columns=names)
         result.insert(0, "doc_id", docs_in["doc_id"].astype("Int64").to_numpy())
