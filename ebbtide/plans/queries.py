@@ -185,6 +185,20 @@ def snapshot_cache(spark, sf):
         F.count("*").alias("n_rows"), F.sum("dropout").alias("dropouts"))
 
 
+@query
+def snapshot_cache_whole(spark, sf):
+    """The cache over the whole population, kept under sample 0."""
+    path = f"{run_folder(spark)}/cache"
+
+    def build(cutoffs):
+        return panel(spark, sf, cutoffs)
+
+    tables.cached_snapshots(spark, path, 0, build, CUTOFFS[1:3])
+    rows = tables.cached_snapshots(spark, path, 0, build, CUTOFFS[1:])
+    return rows.groupBy("cutoff").agg(
+        F.count("*").alias("n_rows"), F.sum("dropout").alias("dropouts"))
+
+
 @query
 def csv_round_trip(spark, sf):
     """The held-out split written as CSV and read back under its schema."""

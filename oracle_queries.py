@@ -233,6 +233,9 @@ FROM (SELECT dropout, count(*) AS n,
 Q["snapshot_cache"] = with_(panel("panel", CUTOFFS[1:], cap=400), select="""
 SELECT cutoff, count(*) AS n_rows, CAST(sum(dropout) AS BIGINT) AS dropouts FROM panel
 GROUP BY cutoff""")
+Q["snapshot_cache_whole"] = with_(panel("panel", CUTOFFS[1:]), select="""
+SELECT cutoff, count(*) AS n_rows, CAST(sum(dropout) AS BIGINT) AS dropouts FROM panel
+GROUP BY cutoff""")
 Q["csv_round_trip"] = with_(SNAP, select="SELECT * EXCLUDE (cutoff, acquisition_channel) FROM snap")
 
 # --- features

@@ -338,3 +338,15 @@ def test_snapshot_cache_builds_only_what_is_missing(spark, tmp_path):
     tables.cached_snapshots(spark, path, 9, build, ["2024-02-01"])
     assert asked[-1] == ["2024-02-01"]
     assert isinstance(Warehouse, type)
+
+
+def test_whole_snapshot_cache_leaves_nobody_out(spark, tmp_path):
+    import __spark_entry__
+
+    if not spark.conf.get("spark.checkpoint.dir", None):
+        spark.conf.set("spark.checkpoint.dir", tmp_path.as_uri())
+    sf, made = "/root/testdata/sf0.01", __spark_entry__.queries()
+    got = {str(r.cutoff): (r.n_rows, r.dropouts) for r in made["snapshot_cache_whole"](spark, sf).collect()}
+    whole = made["panel_cutoffs"](spark, sf).groupBy("cutoff").agg({"*": "count", "dropout": "sum"}).collect()
+    assert got == {c: n for c, n in {str(r["cutoff"]): (r["count(1)"], r["sum(dropout)"]) for r in whole}.items() if c in got}
+    assert len(got) == len(__spark_entry__.registered.CUTOFFS) - 1 and max(n for n, _ in got.values()) > 400
