@@ -409,3 +409,27 @@ def test_pipeline_runs(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     good = {r.doc_id for r in outliers.judged(docs).where("kept").collect()}
     assert kept <= good
+
+
+@pytest.mark.parametrize("more", [1, 2])
+def test_field_on_examples_of_other_seeds(monkeypatch, more):
+    weights = pii.trained()
+    seen = {t for t, _ in pii._examples()}
+    monkeypatch.setattr(pii, "SEED", pii.SEED + more)
+    hits = total = 0
+    for text, spans in pii._examples():
+        if text not in seen:
+            hits += len(set(pii.all_spans(text, weights)[1]) & set(spans))
+            total += len(spans)
+    assert total > 300 and hits >= 0.85 * total
+
+
+def test_pipeline_keeps_what_its_stages_keep(spark):
+    from test_shingles import brute_kept
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    good = [r.doc_id for r in outliers.judged(docs).where("kept").collect()]
+    after = lines.cleaned(docs.where(docs.doc_id.isin(good))).collect()
+    kept = brute_kept({r.doc_id: r.text or "" for r in after})
+    rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
+    assert {r.doc_id for r in rows} == kept and len(kept) < docs.count()
