@@ -5,7 +5,7 @@ import math
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from ebbtide import schemas
