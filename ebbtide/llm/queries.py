@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import bpe, chat, lines, neighbours, outliers, packing, pii, simhash, suffixes, token_store
+from ebbtide.llm import (
+    bpe,
+    chat,
+    fragments,
+    lines,
+    neighbours,
+    outliers,
+    packing,
+    pii,
+    prefix_trie,
+    rotated_codes,
+    simhash,
+    suffixes,
+    token_store,
+)
 from ebbtide.llm.common import table
 
 QUERIES = {}
@@ -88,3 +102,28 @@ def op9_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five nearest neighbours of every fiftieth vector."""
     return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query
+def op11_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and near-duplicate component of every vector among those of its label."""
+    return rotated_codes.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.98)
+
+
+ORACLE_SQL["op11_rotated_codes"] = rotated_codes.SQL
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every prefix of the rebuilt conversations, with what its subtree holds."""
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLE_SQL["op12_prefix_trie"] = prefix_trie.SQL
+
+
+@query
+def op13_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token alignment of two tokenizers for every document."""
+    return fragments.aligned(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
