@@ -322,9 +322,9 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
 
 #: One step of the CRC of a byte, bit by bit, with its fixed polynomial.
 _CRC = (
-    "xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), d -> ascii(d)::BIGINT)),"
-    " (c, b) -> list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),"
-    " (x, y) -> CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"
+    "xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)),"
+    " lambda c, b: list_reduce(list_prepend(xor(c, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),"
+    " lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"
 )
 SQL = f"""
 WITH g AS (

@@ -269,7 +269,7 @@ SQL = """
 WITH RECURSIVE v AS (
   SELECT row_number() OVER (ORDER BY vec_id) AS n, vec_id, CAST(embedding AS DOUBLE[]) AS e, label FROM embeddings
 ), ok AS (
-  SELECT * FROM v WHERE label IS NOT NULL AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, x -> x <> 0)) > 0
+  SELECT * FROM v WHERE label IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
 ), links AS (
   SELECT a.n AS i, b.n AS j FROM ok a JOIN ok b ON a.label = b.label AND a.n <> b.n AND len(a.e) = len(b.e)
   WHERE list_cosine_similarity(a.e, b.e) >= 0.98
