@@ -55,9 +55,14 @@ def _latest_state() -> Column:
 def _activity(wh: Warehouse, sessions: Column, payments: Column, tickets: Column) -> DataFrame:
     """Sessions, payments and tickets as one narrow stream of measures.
 
-    One union instead of four joined aggregates: the shuffle carries a single
+    Read from the one table that holds them all, if there is one.  Else one union instead of four joined aggregates: the shuffle carries a single
     set of fixed-width partial sums, so a hot subscriber costs one row per task.
     """
+    if wh.activity is not None:
+        kept = {"seen": sessions, "sessions": sessions, "failures": payments, "discounts": payments,
+                "tickets": tickets}
+        return wh.activity.filter(sessions | payments | tickets).select(
+            ID, "occurred_at", *[F.when(keep, F.col(name)).alias(name) for name, keep in kept.items()])
     zero = F.lit(0).cast("bigint")
     nothing = F.lit(None).cast("timestamp_ntz")
 
@@ -158,7 +163,7 @@ def snapshot(
         .groupBy(ID)
         .agg(
             F.max("seen").alias("last_seen"),
-            F.sum(F.when(occurred >= back(windows.observation), F.col("sessions")).otherwise(0))
+            F.sum(F.when(occurred >= back(windows.observation), F.col("sessions")))
             .alias("sessions"),
             F.sum("failures").alias("failures"),
             F.sum("discounts").alias("discounts"),
@@ -230,6 +235,10 @@ def panel(
     horizon = midnight(days[-1] + timedelta(days=windows.horizon))
     occurred = F.col("occurred_at")
 
+    def since(days_back: int) -> Column:
+        """From the first cutoff's window on; no earlier row can count."""
+        return (occurred >= midnight(days[0] - timedelta(days=days_back))) & (occurred < last)
+
     # Each subscriber fans out to the cutoffs after the signup day; no join needed.
     later = F.slice(
         F.array(*[F.lit(d) for d in days]),
@@ -271,7 +280,8 @@ def panel(
     )
     measures = ("sessions", "failures", "discounts", "tickets")
     usage = (
-        _restrict(_activity(wh, *[occurred < last] * 3), ids, max_subscribers)
+        _restrict(
+            _activity(wh, occurred < last, since(windows.billing), since(windows.tickets)), ids, max_subscribers)
         .groupBy(ID, segment)
         .agg(F.max("seen").alias("seen"), *[F.sum(m).alias(m) for m in measures])
     )

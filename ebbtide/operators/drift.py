@@ -1,7 +1,7 @@
 """Reference profiles and population-stability drift.
 
 A profile is one long table, one row per bin or category:
-``(feature, kind, bin_no, lo, hi, category, share, mean, n_rows)``.
+``(feature, kind, bin_no, lo, hi, category, share, mean, std, min, max, n_rows)``.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ebbtide import schemas
 from ebbtide.functions.columns import finite, interval_index, ratio
 from ebbtide.operators.ranks import exact_quantiles
+from ebbtide.operators.selection import column_quantiles
 from ebbtide.params import (
     DRIFT_BINS, DRIFT_MIN_SAMPLES, PSI_FLOOR, PSI_MODERATE, PSI_SIGNIFICANT,
 )
@@ -55,30 +56,32 @@ def numeric_stats(values: DataFrame) -> DataFrame:
     )
 
 
-def bin_edges(
-    values: DataFrame, bins: int = DRIFT_BINS, features: Sequence[str] = ()
-) -> DataFrame:
-    """Distinct quantile edges per feature; a constant feature gets one unit-wide bin.
+def _edges(q: Column) -> Column:
+    """Distinct quantiles as edges; a constant feature gets one unit-wide bin, none at all 0 to 1."""
+    distinct = F.array_distinct(F.array_sort(q))
+    centre = F.get(q, F.lit(0))
+    edges = F.when(F.size(distinct) < 2, F.array(centre - 0.5, centre + 0.5)).otherwise(distinct)
+    return F.when(q.isNull(), F.array(F.lit(0.0), F.lit(1.0))).otherwise(edges).alias("edges")
+
+
+def _steps(bins: int) -> list[float]:
+    return [i * (1.0 / bins) for i in range(bins)] + [1.0]
+
 
-    A feature of ``features`` without any value gets the single bin from 0 to 1.
+def bin_edges(values: DataFrame, bins: int = DRIFT_BINS) -> DataFrame:
+    """Quantile edges of ``(feature, value)`` rows, for features that are known from the rows alone.
 
     Quantiles are exact and found by distributed ranks: a continuous feature
     never has to fit one task, however many distinct values it has.
     """
-    steps = [i * (1.0 / bins) for i in range(bins)] + [1.0]
-    q = exact_quantiles(values, ["feature"], "value", steps)
-    distinct = F.array_distinct(F.array_sort("q"))
-    centre = F.get("q", F.lit(0))
-    edges = q.select(
-        "feature",
-        F.when(F.size(distinct) < 2, F.array(centre - 0.5, centre + 0.5))
-        .otherwise(distinct).alias("edges"),
-    )
-    if not features:
-        return edges
-    named = small_table(values.sparkSession, [{"feature": f} for f in features], pa.schema([("feature", pa.string())]))
-    return named.join(edges, "feature", "left").select(
-        "feature", F.coalesce("edges", F.array(F.lit(0.0), F.lit(1.0))).alias("edges"))
+    return exact_quantiles(values, ["feature"], "value", _steps(bins)).select("feature", _edges(F.col("q")))
+
+
+def column_edges(df: DataFrame, columns: Sequence[str], bins: int = DRIFT_BINS) -> DataFrame:
+    """Quantile edges of columns, with ``mean``, ``std``, ``min`` and ``max``; two scans."""
+    found = column_quantiles(df, columns, _steps(bins))
+    return found.select(
+        "feature", _edges(F.col("q")), *[F.round(F.coalesce(c, F.lit(0.0)), 4).alias(c) for c in ("mean", "std", "min", "max")])
 
 
 def _spine(edges: DataFrame) -> DataFrame:
@@ -104,7 +107,7 @@ def bin_counts(values: DataFrame, edges: DataFrame, bins: int = DRIFT_BINS) -> D
         range(1, bins), F.lit(0),
     )
     return (
-        values.join(F.broadcast(edges), "feature")
+        values.join(F.broadcast(edges.select("feature", "edges")), "feature")
         .groupBy("feature", index.alias("bin_no"))
         .agg(F.count("*").alias("n"), F.sum("value").alias("total"))
     )
@@ -161,11 +164,13 @@ def reference_profile(
 ) -> DataFrame:
     """The profile of a training frame, optionally with its score distribution.
 
-    A column that holds nothing stays in the profile: one bin, share 0.
+    Numeric rows carry the feature's mean, deviation and range.  A column that holds
+    nothing stays in the profile: one bin, share 0.
     """
-    values = unpivot_numeric(df)
-    edges = bin_edges(values, bins, [c for c in schemas.RAW_NUMERIC if c in df.columns])
+    columns = [c for c in schemas.RAW_NUMERIC if c in df.columns]
+    edges = column_edges(df, columns, bins)
     none = F.lit(None)
+    no_stats = [none.cast("double").alias(c) for c in ("std", "min", "max")]
 
     def binned(kind: str, e: DataFrame, counts: DataFrame) -> DataFrame:
         return _shares(_spine(e), counts).select(
@@ -174,17 +179,20 @@ def reference_profile(
             F.round("mean", 4).alias("mean"), F.col("n_values").alias("n_rows"),
         )
 
-    out = binned("numeric", edges, bin_counts(values, edges, bins)).unionByName(
+    # One row per numeric feature.
+    stats = F.broadcast(edges.select("feature", "std", "min", "max"))
+    numeric = binned("numeric", edges, bin_counts(unpivot_numeric(df), edges, bins)).join(stats, "feature")
+    out = numeric.unionByName(
         category_shares(df).select(
             "feature", F.lit("discrete").alias("kind"), none.cast("int").alias("bin_no"),
             none.cast("double").alias("lo"), none.cast("double").alias("hi"), "category",
-            "share", none.cast("double").alias("mean"), F.col("n_values").alias("n_rows"),
+            "share", none.cast("double").alias("mean"), F.col("n_values").alias("n_rows"), *no_stats,
         )
     )
     if score:
         out = out.unionByName(binned(
             "prediction", prediction_edges(df, bins),
-            score_bin_counts(scores_as_values(df, score), bins)))
+            score_bin_counts(scores_as_values(df, score), bins)).select("*", *no_stats))
     return out
 
 

@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 
 from ebbtide import schemas
 from ebbtide.functions.features import add_derived, plan_dummies
-from ebbtide.operators.drift import unpivot_numeric
-from ebbtide.operators.ranks import exact_quantiles
+from ebbtide.operators.selection import column_quantiles
 
 
 @dataclass(frozen=True)
@@ -46,36 +45,33 @@ class Preprocessor:
 
 
 def category_modes(df: DataFrame, columns: Sequence[str] = schemas.CATEGORICAL) -> dict[str, str]:
-    """Most frequent value per column; the smallest wins a tie."""
-    out = {}
-    for c in columns:
-        counts = df.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count("*").alias("n"))
-        row = counts.agg(F.min_by(c, F.struct(-F.col("n"), F.col(c))).alias("m")).first()
-        out[c] = row["m"]
-    return out
+    """Most frequent value per column; the smallest wins a tie.  One scan."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("category")) for c in columns])
+    counts = df.select(F.explode(pairs).alias("p")).select("p.*").filter(F.col("category").isNotNull()).groupBy(
+        "feature", "category").agg(F.count("*").alias("n"))
+    modes = counts.groupBy("feature").agg(F.min_by("category", F.struct(-F.col("n"), "category")).alias("mode"))
+    found = {r["feature"]: r["mode"] for r in modes.collect()}  # one row per column
+    return {c: found.get(c) for c in columns}
 
 
 def fit_preprocessor(train: DataFrame) -> Preprocessor:
-    """Exact medians, then means and deviations of the imputed columns."""
+    """Exact medians, then means and deviations of the imputed columns.
+
+    The imputed moments follow from those of the numbers there are: the values put in all
+    equal the median.
+    """
     derived = add_derived(train)
-    medians = {
-        r["feature"]: r["q"][0]
-        for r in exact_quantiles(
-            unpivot_numeric(derived, schemas.NUMERIC), ["feature"], "value", [0.5]
-        ).collect()
-    }
-    medians = {n: medians.get(n, 0.0) for n in schemas.NUMERIC}
-    filled = {n: F.coalesce(F.col(n).cast("double"), F.lit(medians[n])) for n in schemas.NUMERIC}
-    row = derived.agg(
-        *[F.avg(c).alias(f"m_{n}") for n, c in filled.items()],
-        *[F.stddev_pop(c).alias(f"s_{n}") for n, c in filled.items()],
-    ).first()
-    return Preprocessor(
-        medians,
-        {n: row[f"m_{n}"] for n in schemas.NUMERIC},
-        {n: row[f"s_{n}"] for n in schemas.NUMERIC},
-        category_modes(train),
-    )
+    total = derived.count()
+    medians, means, deviations = {}, {}, {}
+    for r in column_quantiles(derived, schemas.NUMERIC, [0.5]).collect():
+        name, n = r["feature"], r["n"]
+        medians[name] = r["q"][0] if n else 0.0
+        part = n / total if total else 0.0
+        mean, std = (r["mean"], r["std"]) if n else (0.0, 0.0)
+        off = mean - medians[name]
+        means[name] = medians[name] + part * off
+        deviations[name] = (part * std**2 + part * (1 - part) * off**2) ** 0.5
+    return Preprocessor(medians, means, deviations, category_modes(train))
 
 
 # Boosting parameters.

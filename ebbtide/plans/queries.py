@@ -17,12 +17,12 @@ from ebbtide.functions import linear
 from ebbtide.functions.columns import count_if
 from ebbtide.operators import (
     asof, calibration, classification, contract, decisions, drift, fairness, monitoring, prep,
-    scoring, shadow,
+    scoring, selection, shadow, tree_contributions, window_training,
 )
 from ebbtide.params import Windows
 from ebbtide.plans import demo, training
 from ebbtide.session import cut, shared_dir
-from ebbtide.sources import canonical, files, raw_export, requests, tables
+from ebbtide.sources import canonical, files, raw_export, requests, store, tables
 from ebbtide.streaming import rates as stream_rates
 from ebbtide.streaming import scorer
 
@@ -154,6 +154,25 @@ def expanding_backfill(spark, sf):
         F.round("roc_auc", 4).alias("roc_auc"), F.round("pr_auc", 4).alias("pr_auc"))
 
 
+@query
+def window_training_backfill(spark, sf):
+    """A model trained in every expanding window, tested on its last cutoff and gated."""
+    rows = window_training.backfill(cut(panel(spark, sf)), CUTOFFS, THRESHOLD)
+    return rows.select(
+        "window_id", "test_cutoff", "n_train", "n_validation", "n_test", "tp", "fp", "fn", "tn",
+        *[F.round(c, 4).alias(c) for c in ("roc_auc", "pr_auc", "previous_pr_auc")], "promoted")
+
+
+@query
+def window_training_weights(spark, sf):
+    """Intercept and weights per standard deviation of every window's model."""
+    models = window_training.train(cut(panel(spark, sf)), CUTOFFS)
+    names = ("intercept", *models.inputs)
+    return spark.createDataFrame(
+        [(w, n, round(x, 6)) for w, own in models.weights.items() for n, x in zip(names, own, strict=True)],
+        "window_id int, input string, weight double")
+
+
 @query
 def latest_scorable_cutoff(spark, sf):
     return asof.latest_scorable(canonical.subscription_events(spark, sf), 180)
@@ -199,6 +218,52 @@ def snapshot_cache_whole(spark, sf):
         F.count("*").alias("n_rows"), F.sum("dropout").alias("dropouts"))
 
 
+_STORES: dict[tuple, object] = {}
+
+
+def _kept_store(spark, sf, kind: str, make):
+    """What the session has stored of a folder's tables, made at the first call."""
+    key = (spark.sparkContext.applicationId, sf, kind)
+    if key not in _STORES:
+        _STORES[key] = make()
+    return _STORES[key]
+
+
+def stored_warehouse(spark, sf) -> canonical.Warehouse:
+    """The co-partitioned daily store of the tables, loaded once per session."""
+    return _kept_store(spark, sf, "daily", lambda: store.write(canonical.warehouse(spark, sf))).warehouse(spark)
+
+
+@query
+def stored_snapshot(spark, sf):
+    """The snapshot from the co-partitioned store: no fact is shuffled."""
+    return asof.snapshot(stored_warehouse(spark, sf), TEST, WINDOWS)
+
+
+@query
+def stored_panel(spark, sf):
+    """The panel from the co-partitioned store."""
+    return asof.panel(stored_warehouse(spark, sf), CUTOFFS, WINDOWS)
+
+
+@query
+def incremental_panel(spark, sf):
+    """A store loaded up to a day, grown twice by the days that followed, then a panel of it."""
+    wh = canonical.warehouse(spark, sf)
+    kept = store.write(wh, until="1997-06-01")
+    for until in ("1999-01-01", None):
+        kept = store.append(wh, kept, until)
+    return asof.panel(kept.warehouse(spark), CUTOFFS, WINDOWS)
+
+
+@query
+def stored_history(spark, sf):
+    """One subscriber's records from files sorted by subscriber."""
+    path = _kept_store(spark, sf, "history", lambda: store.write_history(
+        demo.history(canonical.warehouse(spark, sf)), f"{run_folder(spark)}/history"))
+    return store.read_history(spark, path, "7").limit(40)
+
+
 @query
 def csv_round_trip(spark, sf):
     """The held-out split written as CSV and read back under its schema."""
@@ -240,10 +305,7 @@ def derived_features(spark, sf):
 def imputation_values(spark, sf):
     """Median per numeric feature and most frequent plan, fitted on the panel."""
     rows = cut(feat.add_derived(panel(spark, sf)))
-    from ebbtide.operators.ranks import exact_quantiles
-
-    values = drift.unpivot_numeric(rows, schemas.NUMERIC)
-    medians = exact_quantiles(values, ["feature"], "value", [0.5]).select(
+    medians = selection.column_quantiles(rows, schemas.NUMERIC, [0.5]).select(
         "feature", F.round(F.col("q")[0], 6).alias("median"),
         F.lit(None).cast("string").alias("mode"))
     plans = rows.groupBy("plan_type").agg(F.count("*").alias("n"))
@@ -423,9 +485,27 @@ def calibration_compare(spark, sf):
     return calibration.compare_calibration(rows, "y_proba", "shrunk")
 
 
-def _calibrated(spark, sf, method) -> DataFrame:
-    rows = cut(_as_scored(asof.temporal_split(panel(spark, sf), CUTOFFS)).select(
+def _split_scores(spark, sf) -> DataFrame:
+    return cut(_as_scored(asof.temporal_split(panel(spark, sf), CUTOFFS)).select(
         "split", "y_true", "y_proba"))
+
+
+@query
+def isotonic_blocks(spark, sf):
+    """The fitted steps of the isotonic map, over all cutoffs."""
+    rows = calibration.isotonic_blocks(kept(scored_panel(spark, sf)))
+    return rows.select(*[F.round(c, 9).alias(c) for c in ("lo", "hi", "mean")], "n", "positives")
+
+
+@query
+def sigmoid_weights(spark, sf):
+    """Intercept and slope of the logistic curve over log-odds, fitted on all cutoffs."""
+    intercept, slope = calibration.sigmoid_weights(kept(scored_panel(spark, sf)))
+    return spark.createDataFrame([(round(intercept, 6), round(slope, 6))], "intercept double, slope double")
+
+
+def _calibrated(spark, sf, method) -> DataFrame:
+    rows = _split_scores(spark, sf)
     apply = calibration.fit_calibration(rows.filter(F.col("split") == "validation"), method)
     out = apply(rows.filter(F.col("split") == "test"))
     return calibration.compare_calibration(out, "y_proba", "calibrated").withColumn(
@@ -548,7 +628,7 @@ def profile_bins(spark, sf):
     rows = _profile(spark, sf)
     return rows.select(
         "feature", "kind", "bin_no", "category", "n_rows",
-        *[F.round(c, 6).alias(c) for c in ("lo", "hi", "share")], "mean")
+        *[F.round(c, 6).alias(c) for c in ("lo", "hi", "share")], "mean", "std", "min", "max")
 
 
 @query
@@ -1094,6 +1174,16 @@ def feature_importances(spark, sf):
     return prep.top_importances(model, train)
 
 
+@query
+def tree_explanations(spark, sf):
+    """What each feature adds to the boosted trees' log-odds, per row of the test cutoff."""
+    model = training.fit(cut(panel(spark, sf, CUTOFFS[:-1])))
+    rows = tree_contributions.explain(model, snapshot(spark, sf), f"{run_folder(spark)}/trees", "subscriber_id")
+    each = rows.select("subscriber_id", "base", "log_odds", F.explode("contributions").alias("feature", "contribution"))
+    return each.filter(F.col("contribution") != 0).select(
+        "subscriber_id", "feature", *[F.round(c, 6).alias(c) for c in ("contribution", "base", "log_odds")])
+
+
 # --- streaming ---------------------------------------------------------------
 
 def _stream_run(spark, sf) -> tuple[str, scorer.ScorerStats]:

@@ -27,16 +27,22 @@ SOURCES = {
 
 @dataclass(frozen=True)
 class Warehouse:
-    """The dimension and the four event tables."""
+    """The dimension and the four event tables.
+
+    ``activity`` may hold sessions, payments and tickets as one table of counts, where a source
+    has them on the same rows or sums them up: ``subscriber_id``, ``occurred_at``, ``seen`` (the
+    last session), ``sessions``, ``failures``, ``discounts``, ``tickets``.
+    """
 
     subscribers: DataFrame
     subscription_events: DataFrame
     sessions: DataFrame
     payments: DataFrame
     support_tickets: DataFrame
+    activity: DataFrame | None = None
 
     def tables(self) -> dict[str, DataFrame]:
-        return dict(vars(self))
+        return {name: df for name, df in vars(self).items() if name != "activity"}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -123,6 +129,19 @@ def support_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line is a session and a payment, and a ticket if it was returned: one join for all three."""
+    return _lines(spark, sf_dir).select(
+        F.col("o_custkey").cast("string").alias("subscriber_id"),
+        F.col("l_shipdate").alias("occurred_at"),
+        F.col("l_shipdate").alias("seen"),
+        F.lit(1).cast("bigint").alias("sessions"),
+        (F.col("l_returnflag") == "R").cast("int").cast("bigint").alias("failures"),
+        (F.col("l_discount") >= 0.05).cast("int").cast("bigint").alias("discounts"),
+        (F.col("l_returnflag") == "A").cast("int").cast("bigint").alias("tickets"),
+    )
+
+
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse(
         subscribers(spark, sf_dir),
@@ -130,4 +149,5 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
         sessions(spark, sf_dir),
         payments(spark, sf_dir),
         support_tickets(spark, sf_dir),
+        activity(spark, sf_dir),
     )

@@ -145,6 +145,7 @@ Q: dict[str, str] = {}
 
 # --- point in time
 Q["snapshot_asof"] = with_(SNAP, select=f"SELECT {COLUMNS} FROM snap")
+Q["stored_snapshot"] = Q["snapshot_asof"]
 Q["snapshot_month_windows"] = with_(snap("snap", TEST, 30, 30), select=f"SELECT {COLUMNS} FROM snap")
 Q["capped_snapshot"] = with_(snap("snap", TEST, cap=500), select=f"SELECT {COLUMNS} FROM snap")
 Q["panel_cutoffs"] = with_(PANEL, select=f"SELECT {COLUMNS} FROM panel")
@@ -212,6 +213,72 @@ SELECT CAST(i AS INTEGER) AS window_id, cutoff AS test_cutoff,
        CAST(upto - n - previous AS BIGINT) AS n_train,
        previous AS n_validation, n AS n_test, tp, fp, fn, tn, round(roc_auc, 4) AS roc_auc,
        round(pr_auc, 4) AS pr_auc FROM numbered WHERE i >= 3""")
+
+
+def newton(name: str, src: str, d: int, steps: int = 14, ridge: float = 0.0) -> list[str]:
+    """Logistic fits per ``g`` of ``src(g, y, weight, x0..)``, every step written out.
+
+    The linear system of a step is solved by Gauss-Jordan elimination, one CTE per column.
+    The last CTE is ``name(g, w0..)``.
+    """
+    sums = ", ".join(
+        [f"sum(weight * (y - p) * x{i}) - {d_(ridge if i else 0)} * any_value(w{i}) AS b{i}" for i in range(d)]
+        + [f"sum(weight * p * (1 - p) * x{i} * x{j}){f' + {d_(ridge)}' if i == j and i else ''} AS h{i}_{j}"
+           for i in range(d) for j in range(d)] + [f"any_value(w{i}) AS w{i}" for i in range(d)])
+    z = " + ".join(f"w{i} * x{i}" for i in range(d))
+    out = [f"{name}_w0 AS MATERIALIZED (SELECT g, {', '.join(f'CAST(0 AS DOUBLE) AS w{i}' for i in range(d))} FROM {src} GROUP BY g)"]
+    for t in range(steps):
+        out.append(f"{name}_e{t}_0 AS MATERIALIZED (SELECT g, {sums} FROM (SELECT s.*, 1 / (1 + exp(-({z}))) AS p, "
+                   f"{', '.join(f'w{i}' for i in range(d))} FROM {src} s JOIN {name}_w{t} USING (g)) GROUP BY g)")
+        for k in range(d):
+            less = [f"h{i}_{j} - h{i}_{k} * h{k}_{j} / h{k}_{k} AS h{i}_{j}" for i in range(d) for j in range(k + 1, d) if i != k]
+            less += [f"b{i} - h{i}_{k} * b{k} / h{k}_{k} AS b{i}" for i in range(d) if i != k]
+            out.append(f"{name}_e{t}_{k + 1} AS MATERIALIZED (SELECT * REPLACE ({', '.join(less)}) FROM {name}_e{t}_{k})"
+                       if less else f"{name}_e{t}_{k + 1} AS (SELECT * FROM {name}_e{t}_{k})")
+        last = name if t == steps - 1 else f"{name}_w{t + 1}"
+        out.append(f"{last} AS MATERIALIZED (SELECT g, {', '.join(f'w{i} + b{i} / h{i}_{i} AS w{i}' for i in range(d))} FROM {name}_e{t}_{d})")
+    return out
+
+
+def d_(x: float) -> str:
+    return f"CAST({x!r} AS DOUBLE)"
+
+
+WINDOW_INPUTS = ("tenure_days", "monthly_fee", "avg_session_count_last_30d", "last_activity_days_ago", "support_tickets_last_90d",
+                 "payment_failures_last_6m", "discounts_used_last_6m", "CAST(is_auto_renew_enabled AS INTEGER)")
+_W = range(len(WINDOW_INPUTS))
+WINDOWS_TRAINED = (PANEL, """
+calendar AS (SELECT cutoff, row_number() OVER (ORDER BY cutoff) AS i FROM (SELECT DISTINCT cutoff FROM panel)),
+trained AS MATERIALIZED (SELECT CAST(w.i AS INTEGER) AS g, p.* FROM calendar w JOIN calendar c ON c.i <= w.i - 2 JOIN panel p ON p.cutoff = c.cutoff
+                         WHERE w.i >= 3)""",
+    "scaling AS MATERIALIZED (SELECT g, " + ", ".join(
+        f"avg({c}) AS m{i}, coalesce(nullif(stddev_pop({c}), 0), 1) AS s{i}" for i, c in enumerate(WINDOW_INPUTS)) + " FROM trained GROUP BY g)",
+    "design AS MATERIALIZED (SELECT g, CAST(dropout AS DOUBLE) AS y, CAST(1 AS DOUBLE) AS weight, CAST(1 AS DOUBLE) AS x0, " + ", ".join(
+        f"coalesce(({c} - m{i}) / s{i}, 0) AS x{i + 1}" for i, c in enumerate(WINDOW_INPUTS)) + " FROM trained JOIN scaling USING (g))",
+    *newton("fitted", "design", len(WINDOW_INPUTS) + 1, ridge=1.0))
+Q["window_training_weights"] = with_(*WINDOWS_TRAINED, select=" UNION ALL ".join(
+    f"SELECT g AS window_id, '{n}' AS input, round(w{i}, 6) AS weight FROM fitted" for i, n in enumerate(
+        ("intercept", *[c.removeprefix("CAST(").removesuffix(" AS INTEGER)") for c in WINDOW_INPUTS]))))
+
+
+def window_scores(name: str, back: int) -> str:
+    """Test rows of each window scored by the model of the window ``back`` before it."""
+    z = "w0 + " + " + ".join(f"w{i + 1} * coalesce(({c} - m{i}) / s{i}, 0)" for i, c in enumerate(WINDOW_INPUTS))
+    return (f"{name} AS MATERIALIZED (SELECT CAST(c.i AS INTEGER) AS window_id, cutoff, dropout AS y_true, 1 / (1 + exp(-({z}))) AS y_proba "
+            f"FROM panel JOIN calendar c USING (cutoff) JOIN scaling s ON s.g = c.i - {back} JOIN fitted f ON f.g = s.g)")
+
+
+Q["window_training_backfill"] = with_(*WINDOWS_TRAINED, window_scores("own", 0), window_scores("earlier", 1), f"""
+per AS (SELECT window_id, any_value(cutoff) AS test_cutoff, count(*) AS n_test, {CELLS} FROM own GROUP BY window_id),
+parts AS (SELECT CAST(w.i AS INTEGER) AS window_id, count(*) FILTER (WHERE c.i <= w.i - 2) AS n_train,
+                 count(*) FILTER (WHERE c.i = w.i - 1) AS n_validation
+          FROM calendar w JOIN calendar c ON c.i <= w.i JOIN panel p ON p.cutoff = c.cutoff WHERE w.i >= 3 GROUP BY w.i),
+ranked AS (SELECT a.window_id, roc_auc, pr_auc FROM {auc("own", "window_id")} a JOIN {ap("own", "window_id")} b USING (window_id)),
+before AS (SELECT window_id, pr_auc AS previous_pr_auc FROM {ap("earlier", "window_id")})""", select="""
+SELECT window_id, test_cutoff, n_train, n_validation, n_test, tp, fp, fn, tn, round(roc_auc, 4) AS roc_auc, round(pr_auc, 4) AS pr_auc,
+       round(previous_pr_auc, 4) AS previous_pr_auc,
+       coalesce(round(pr_auc, 4) >= round(previous_pr_auc, 4) + 0.005 - 1e-9, true) AS promoted
+FROM per JOIN parts USING (window_id) JOIN ranked USING (window_id) LEFT JOIN before USING (window_id)""")
 Q["latest_scorable_cutoff"] = """
 SELECT CAST(max(o_orderdate)::DATE - INTERVAL 180 DAY AS DATE) AS cutoff FROM orders"""
 Q["replay_schedule"] = """
@@ -531,6 +598,64 @@ SELECT a.brier_score AS brier_before, b.brier_score AS brier_after,
        round(a.expected_calibration_error - b.expected_calibration_error, 5) AS ece_improvement,
        b.expected_calibration_error < a.expected_calibration_error AS improved FROM a, b""")
 
+
+
+def isotonic(name: str, src: str) -> list[str]:
+    """Blocks of the isotonic fit: corners of the convex minorant, where all chords from the left
+    are less steep than all chords to the right.  The last CTE is ``name(lo, hi, n, positives, mean)``."""
+    return [f"""
+{name}_p AS MATERIALIZED (
+  SELECT CAST(0 AS BIGINT) AS i, CAST(NULL AS DOUBLE) AS x, CAST(0 AS DOUBLE) AS n, CAST(0 AS DOUBLE) AS s
+  UNION ALL SELECT row_number() OVER (ORDER BY y_proba), y_proba, CAST(sum(n) OVER (ORDER BY y_proba) AS DOUBLE),
+                   CAST(sum(pos) OVER (ORDER BY y_proba) AS DOUBLE)
+  FROM (SELECT y_proba, count(*) AS n, sum(y_true) AS pos FROM {src} GROUP BY 1)),
+{name}_c AS MATERIALIZED (
+  SELECT i, max(down) AS down, min(up) AS up FROM (
+    SELECT b.i, (b.s - a.s) / (b.n - a.n) AS down, NULL AS up FROM {name}_p a JOIN {name}_p b ON a.i < b.i
+    UNION ALL SELECT a.i, NULL, (b.s - a.s) / (b.n - a.n) FROM {name}_p a JOIN {name}_p b ON a.i < b.i) GROUP BY i),
+{name}_v AS (SELECT i, n, s, x, lag(i) OVER w AS pi, lag(n) OVER w AS pn, lag(s) OVER w AS ps
+  FROM {name}_p JOIN {name}_c USING (i) WHERE down IS NULL OR up IS NULL OR down < up - 1e-12 WINDOW w AS (ORDER BY i)),
+{name} AS MATERIALIZED (SELECT f.x AS lo, v.x AS hi, CAST(v.n - pn AS BIGINT) AS n, CAST(v.s - ps AS BIGINT) AS positives,
+  (v.s - ps) / (v.n - pn) AS mean FROM {name}_v v JOIN {name}_p f ON f.i = v.pi + 1)"""]
+
+
+Q["isotonic_blocks"] = with_(PANEL, SCORED_PANEL, *isotonic("blocks", "scored"), select="""
+SELECT round(lo, 9) AS lo, round(hi, 9) AS hi, round(mean, 9) AS mean, n, positives FROM blocks""")
+
+
+def platt(name: str, src: str) -> list[str]:
+    inside = "greatest(least(y_proba, 1 - 1e-15), 1e-15)"
+    return [f"""
+{name}_n AS (SELECT CAST(sum(y_true) AS DOUBLE) AS pos, CAST(count(*) - sum(y_true) AS DOUBLE) AS neg FROM {src}),
+{name}_d AS MATERIALIZED (SELECT 0 AS g, CASE WHEN y_true = 1 THEN (pos + 1) / (pos + 2) ELSE 1 / (neg + 2) END AS y, CAST(1 AS DOUBLE) AS weight,
+  CAST(1 AS DOUBLE) AS x0, ln({inside} / (1 - {inside})) AS x1 FROM {src}, {name}_n)""", *newton(name, f"{name}_d", 2)]
+
+
+Q["sigmoid_weights"] = with_(PANEL, SCORED_PANEL, *platt("fitted", "scored"), select="""
+SELECT round(w0, 6) AS intercept, round(w1, 6) AS slope FROM fitted""")
+HELD_OUT = (PANEL, SCORED_PANEL, f"""
+held_out AS (SELECT y_true, y_proba FROM scored WHERE cutoff = '{CUTOFFS[-2]}'),
+tested AS (SELECT y_true, y_proba FROM scored WHERE cutoff = '{TEST}')""")
+BEFORE_AFTER = f"""
+a AS (SELECT {METRICS} FROM {ece_bins("tested", "")}),
+b AS (SELECT {METRICS} FROM {ece_bins("mapped", "")})"""
+IMPROVED = """
+SELECT '{method}' AS method, a.brier_score AS brier_before, b.brier_score AS brier_after,
+       a.expected_calibration_error AS ece_before, b.expected_calibration_error AS ece_after,
+       round(a.brier_score - b.brier_score, 5) AS brier_improvement,
+       round(a.expected_calibration_error - b.expected_calibration_error, 5) AS ece_improvement,
+       b.expected_calibration_error < a.expected_calibration_error AS improved FROM a, b"""
+Q["isotonic_calibration"] = with_(*HELD_OUT, *isotonic("blocks", "held_out"), """
+knots AS (SELECT x, y, lead(x) OVER (ORDER BY x) AS next_x, lead(y) OVER (ORDER BY x) AS next_y
+          FROM (SELECT lo AS x, mean AS y FROM blocks UNION SELECT hi, mean FROM blocks)),
+mapped AS (SELECT y_true, CASE WHEN k.x IS NULL THEN (SELECT min(mean) FROM blocks) WHEN next_x IS NULL THEN k.y
+                               ELSE k.y + (next_y - k.y) * (t.y_proba - k.x) / (next_x - k.x) END AS y_proba
+           FROM tested t ASOF LEFT JOIN knots k ON t.y_proba >= k.x)""", BEFORE_AFTER, select=IMPROVED.format(method="isotonic"))
+Q["sigmoid_calibration"] = with_(*HELD_OUT, *platt("fitted", "held_out"), """
+mapped AS (SELECT y_true, 1 / (1 + exp(-(w0 + w1 * ln(p / (1 - p))))) AS y_proba
+           FROM (SELECT y_true, greatest(least(y_proba, 1 - 1e-15), 1e-15) AS p FROM tested), fitted)""",
+    BEFORE_AFTER, select=IMPROVED.format(method="sigmoid"))
+
 # --- costs
 TP_COST = "CAST(188 AS DOUBLE)"
 COST = f"round(fn * CAST(240 AS DOUBLE) + fp * CAST(20 AS DOUBLE) + tp * {TP_COST}, 2)"
@@ -783,11 +908,16 @@ all_psi AS (SELECT feature, CASE WHEN feature = 'dropout_probability' THEN 'pred
             UNION ALL SELECT feature, 'discrete', psi, NULL, NULL, unseen_categories FROM cat_psi),
 codes AS (SELECT *, CASE WHEN psi >= 0.25 THEN 2 WHEN psi >= 0.1 THEN 1 ELSE 0 END AS code
           FROM all_psi)"""
-Q["profile_bins"] = with_(*REF, select="""
+REF_STATS = f"""
+ref_stats AS (SELECT feature, round(stddev_pop(value), 4) AS std, {money("min(value)", 4)} AS min,
+                     {money("max(value)", 4)} AS max
+              FROM ref_values WHERE feature <> 'dropout_probability' GROUP BY feature)"""
+Q["profile_bins"] = with_(*REF, REF_STATS, select="""
 SELECT feature, CASE WHEN feature = 'dropout_probability' THEN 'prediction' ELSE 'numeric' END AS kind,
        bin_no, CAST(NULL AS VARCHAR) AS category, n_rows, round(lo, 6) AS lo, round(hi, 6) AS hi,
-       round(share, 6) AS share, round(mean, 4) AS mean FROM ref_shares
-UNION ALL SELECT feature, 'discrete', NULL, category, n_rows, NULL, NULL, round(share, 6), NULL
+       round(share, 6) AS share, round(mean, 4) AS mean, std, min, max
+FROM ref_shares LEFT JOIN ref_stats USING (feature)
+UNION ALL SELECT feature, 'discrete', NULL, category, n_rows, NULL, NULL, round(share, 6), NULL, NULL, NULL, NULL
 FROM ref_cats""")
 Q["profile_stats"] = with_(TRAIN, unpivot("v", "train"), select=f"""
 SELECT feature, count(*) AS n, round(avg(value), 4) AS mean, round(stddev_pop(value), 4) AS std,
@@ -1302,3 +1432,8 @@ SELECT strftime(time_bucket(INTERVAL 5 MINUTE, ts), '%Y-%m-%d %H:%M:%S') AS wind
          <= date_trunc('millisecond', (SELECT max(ts) FROM events)) - INTERVAL 10 MINUTE AS closed
 FROM events
 GROUP BY time_bucket(INTERVAL 5 MINUTE, ts), event_type"""
+
+# --- the stored warehouse holds what the tables hold
+Q["stored_panel"] = Q["panel_cutoffs"]
+Q["incremental_panel"] = Q["panel_cutoffs"]
+Q["stored_history"] = Q["subscriber_history"]
