@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm import lines, outliers, packing, pii, shingles
+from ebbtide.llm import lines, outliers, packing, pii, simhash
 from ebbtide.llm.common import ship_code, stored, table
 
 
@@ -36,9 +36,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of texts alike in 4/5 of their five-word shingles."""
+    """One document of each group linked by fingerprints of 3-word shingles that differ in at most 2 bits."""
     ship_code(spark)
-    return shingles.without_near_duplicates(docs)
+    return simhash.without_near_duplicates(docs, words=3)
 
 
 def redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
