@@ -21,9 +21,10 @@ So no group is paired off, whatever its size. The pairs named are verified with
 ``levenshtein``. Lines are compared whole, once each: repeats shrink to their earliest place
 first. Everything is DataFrame code.
 
-Results: null text has no lines and stays null; a null key comes before all others; rows
-that share a key are versions of one document, and a line at the same place in two of them
-is one line; other columns stay as they are; an empty table gives no rows.
+Results: null text has no lines and stays null; a null key comes before all others; of rows
+that share a key each keeps and loses lines of its own: two equal lines at one place are one
+line, so repeated rows stay alike, and other lines there are compared like any; other columns
+stay as they are; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -37,13 +38,20 @@ from ebbtide.llm.common import dropped, stored
 LEAST_CHARS = 20
 #: Blocks of the first deletions, and of the second.
 COARSE, FINE = 2, 16
-#: A place is the key times this plus the line's number.
-PLACE = 1 << 31
+#: A place is the key times this plus the line's number; times ``TIES``, plus bits of the line's
+#: hash that tell lines of rows with one key apart, it names the line.
+PLACE, TIES = 1 << 31, 1 << 20
 NO_KEY = -(2**63)
 
-def _place(key: Column, number: Column) -> Column:
+def _place(key: Column, number: Column, line: Column) -> Column:
     """Places as one number that sorts by key, then line."""
-    return (F.coalesce(key, F.lit(NO_KEY)).cast("decimal(20,0)") * F.lit(PLACE) + number).cast("decimal(38,0)")
+    at = (F.coalesce(key, F.lit(NO_KEY)).cast("decimal(20,0)") * F.lit(PLACE) + number).cast("decimal(32,0)")
+    return (at * F.lit(TIES) + F.pmod(F.xxhash64(line), F.lit(TIES))).cast("decimal(38,0)")
+
+
+def _without_ties(place: Column) -> Column:
+    """The part of a place that key and number make."""
+    return place - F.pmod(place, F.lit(TIES).cast("decimal(38,0)"))
 
 
 def _id(line: Column) -> list[Column]:
@@ -83,7 +91,7 @@ def places(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
     lines = _numbered(docs, text, key).withColumn("n", F.length("line"))
     cases = [(length, F.lit(block)) for length in (F.col("n"), F.col("n") + 1) for block in range(COARSE)]
     return lines.select(
-        _place(F.col("key"), F.col("number")).alias("place"), "key", "number", *_id(F.col("line")), "n",
+        _place(F.col("key"), F.col("number"), F.col("line")).alias("place"), "key", "number", *_id(F.col("line")), "n",
         *[_without(F.col("line"), F.col("n"), block, COARSE, length).alias(f"v{i}") for i, (length, block) in enumerate(cases)],
     )
 
@@ -99,14 +107,15 @@ def near_lines(docs: DataFrame, distinct: DataFrame, text: str, key: str) -> Dat
     some = long.join(found, "a", "left_semi").select("a", "b", "place")
 
     # The text of the lines that go on, from the document of each one's earliest place.
-    number = F.pmod(F.col("place"), F.lit(PLACE).cast("decimal(38,0)")).cast("int")
-    doc = ((F.col("place") - number) / PLACE).cast("decimal(20,0)").cast("long")
+    at = (_without_ties(F.col("place")) / TIES).cast("decimal(38,0)")
+    number = F.pmod(at, F.lit(PLACE).cast("decimal(38,0)")).cast("int")
+    doc = ((at - number) / PLACE).cast("decimal(20,0)").cast("long")
     wanted = some.groupBy(doc.alias("wanted_key")).agg(F.collect_set(number).alias("numbers"))
     source = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)).alias("key"), F.col(text).alias("text"))
     joined = source.join(wanted, F.col("key") == F.col("wanted_key"))
     texts = joined.select("key", F.explode(F.get(F.transform(F.array(F.split("text", "\n")), lambda every: F.transform(
         "numbers", lambda i: F.struct(i.alias("number"), F.get(every, i).alias("line")))), F.lit(0))).alias("l"))
-    texts = texts.select(_place(F.col("key"), F.col("l.number")).alias("place"), "l.line", *_id(F.col("l.line")))
+    texts = texts.select(_place(F.col("key"), F.col("l.number"), F.col("l.line")).alias("place"), "l.line", *_id(F.col("l.line")))
     lines = stored(
         texts.join(some, ["a", "b", "place"], "left_semi").dropDuplicates(["a", "b"])
         .withColumn("n", F.length("line")), "lines",
@@ -132,7 +141,8 @@ def near_lines(docs: DataFrame, distinct: DataFrame, text: str, key: str) -> Dat
     groups = hashed.groupBy("hash").agg(*map(least, ("same", "cut", "own")), F.count("*").alias("m")).where("m > 1").drop("m")
     other = F.when(F.col("kind") == "same", F.col("least_same")).when(
         F.col("kind") == "cut", F.col("least_own")).otherwise(F.col("least_cut"))
-    pairs = hashed.join(groups, "hash").select("place", other.alias("earlier")).where("earlier < place").groupBy("place").agg(
+    pairs = hashed.join(groups, "hash").select("place", other.alias("earlier")).where(
+        _without_ties(F.col("earlier")) < _without_ties(F.col("place"))).groupBy("place").agg(
         F.min("earlier").alias("earlier"))
     found = pairs.join(lines.select("place", F.col("line").alias("x")), "place").join(
         lines.select(F.col("place").alias("earlier"), F.col("line").alias("y")), "earlier")
@@ -140,7 +150,7 @@ def near_lines(docs: DataFrame, distinct: DataFrame, text: str, key: str) -> Dat
 
 
 def removed_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``key``, ``number`` of every line that goes."""
+    """``key``, ``number`` and hash ``a`` of every line that goes."""
     every = stored(places(docs, text, key), "places")
     distinct = stored(every.groupBy("a", "b").agg(
         F.min("place").alias("place"), F.min("n").alias("n"), *[F.min(f"v{i}").alias(f"v{i}") for i in range(2 * COARSE)]
@@ -148,17 +158,20 @@ def removed_lines(docs: DataFrame, text: str = "text", key: str = "doc_id") -> D
     near = near_lines(docs, distinct, text, key).withColumn("near", F.lit(True))
     verdict = distinct.select("a", "b", "place").join(near, "place", "left").select(
         "a", "b", F.when(F.col("near").isNull(), F.col("place")).alias("stays"))
-    return every.join(verdict, ["a", "b"]).where(F.col("stays").isNull() | (F.col("place") != F.col("stays"))).select("key", "number")
+    return every.join(verdict, ["a", "b"]).where(F.col("stays").isNull() | (F.col("place") != F.col("stays"))).select("key", "number", "a")
 
 
 def cleaned(docs: DataFrame, text: str = "text", key: str = "doc_id", counts: bool = False) -> DataFrame:
     """``docs`` without removed lines in ``text``; with ``counts`` also ``n_lines`` and ``n_removed``."""
     gone = removed_lines(docs, text, key).groupBy(F.coalesce("key", F.lit(NO_KEY)).alias("__key")).agg(
-        F.collect_set("number").alias("__gone"))
+        F.collect_set(F.struct("number", "a")).alias("__gone"))
     own = docs.withColumn("__own", F.coalesce(F.col(key).cast("long"), F.lit(NO_KEY)))
     joined = own.join(gone, F.col("__own") == F.col("__key"), "left").withColumn("__lines", F.split(F.col(text), "\n"))
     every = F.sequence(F.lit(0), F.size("__lines") - 1)
-    joined = joined.withColumn("__stay", F.when(F.col("__gone").isNotNull() & F.col("__lines").isNotNull(), F.array_except(every, "__gone")))
+    # Rows may share a key: a place is only lost by the row that has the removed line there.
+    here = F.filter("__gone", lambda g: F.xxhash64(F.get(F.col("__lines"), g["number"])) == g["a"])
+    joined = joined.withColumn("__stay", F.when(
+        F.col("__gone").isNotNull() & F.col("__lines").isNotNull(), F.array_except(every, F.transform(here, lambda g: g["number"]))))
     numbers = {
         "n_lines": F.coalesce(F.size("__lines"), F.lit(0)).cast("long"),
         "n_removed": F.coalesce(F.size("__lines") - F.size("__stay"), F.lit(0)).cast("long"),
@@ -170,10 +183,11 @@ def cleaned(docs: DataFrame, text: str = "text", key: str = "doc_id", counts: bo
 
 
 SQL = f"""
-WITH l AS (
-  SELECT doc_id, number, line, rank() OVER (ORDER BY doc_id NULLS FIRST, number) AS place
-  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS number
-        FROM documents)
+WITH rows AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents
+), parts AS (
+  SELECT r, doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS number FROM rows
+), l AS (
+  SELECT r, number, line, rank() OVER (ORDER BY doc_id NULLS FIRST, number) AS place FROM parts
   WHERE length(translate(line, ' ' || chr(9) || chr(13) || chr(11) || chr(12), '')) > 0
 ), d AS (SELECT line, length(line) AS n, min(place) AS place FROM l GROUP BY line
 ), near AS (
@@ -181,17 +195,15 @@ WITH l AS (
     ON y.n BETWEEN x.n - 1 AND x.n + 1 AND y.place < x.place AND x.n >= {LEAST_CHARS} AND y.n >= {LEAST_CHARS}
    AND levenshtein(x.line, y.line) <= 1
 ), gone AS (
-  SELECT l.doc_id, l.number FROM l JOIN d USING (line) LEFT JOIN near ON near.line = l.line
+  SELECT l.r, l.number FROM l JOIN d USING (line) LEFT JOIN near ON near.line = l.line
   WHERE near.line IS NOT NULL OR l.place <> d.place
 ), every AS (
-  SELECT doc_id, text, coalesce(len(string_split(text, chr(10))), 0) AS n_lines FROM documents
-), parts AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS number FROM documents
+  SELECT r, doc_id, text, coalesce(len(string_split(text, chr(10))), 0) AS n_lines FROM rows
 ), kept AS (
-  SELECT p.doc_id, string_agg(p.line, chr(10) ORDER BY p.number) AS text, count(*) AS n
-  FROM parts p ANTI JOIN gone g ON p.doc_id = g.doc_id AND p.number = g.number GROUP BY p.doc_id
+  SELECT p.r, string_agg(p.line, chr(10) ORDER BY p.number) AS text, count(*) AS n
+  FROM parts p ANTI JOIN gone g ON p.r = g.r AND p.number = g.number GROUP BY p.r
 )
 SELECT e.doc_id, e.n_lines, e.n_lines - coalesce(k.n, 0) AS n_removed,
        CASE WHEN e.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text
-FROM every e LEFT JOIN kept k USING (doc_id)
+FROM every e LEFT JOIN kept k USING (r)
 """
