@@ -12,12 +12,14 @@ Every step is an aggregate of sums per group over all rows; quantiles come from
 fixed grid of distances, so they are the same in whatever order rows arrive. The statistics
 are written once and are a few numbers per document. A group, however large, is only ever
 summed. Groups with fewer than ``LEAST_ROWS`` documents use the estimate of their language,
-and if that has too few as well, only the plain rules apply. ``FLOOR`` is added to the
+and if that has too few as well, the estimate over all rows; a table with fewer rows is
+judged by the plain rules alone. ``FLOOR`` is added to the
 variances: differences below it are no reason to reject, also where most rows are equal.
 
 Results: null text has no words and fails the plain rule; null languages and sources are
-groups of their own; rows that repeat a key are judged alike, one row each; other columns
-are ignored by :func:`judged` and kept by :func:`kept_documents`; an empty table gives no rows.
+groups of their own; rows that repeat a key are judged each by itself, one row each; other
+columns are ignored by :func:`judged` and kept by :func:`kept_documents`; an empty table gives
+no rows.
 """
 
 from __future__ import annotations
@@ -113,17 +115,22 @@ def counts_of(text: str) -> dict[str, float]:
     }
 
 
+def _version(text: str) -> Column:
+    """What tells rows of one key apart: a verdict follows from text, language and source."""
+    return F.xxhash64(F.col(text).cast("string"), F.col("lang").cast("string"), F.lit("|"), F.col("source").cast("string"))
+
+
 def statistics(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Counts, plain verdict and statistic vector ``x`` of every document."""
-    fields = [("doc_id", pa.int64()), ("lang", pa.string()), ("source", pa.string())]
+    fields = [("doc_id", pa.int64()), ("lang", pa.string()), ("source", pa.string()), ("version", pa.int64())]
     fields += [(k, pa.int64()) for k in COUNTS] + [("x", pa.list_(pa.float64()))]
     schema = pa.schema(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [counts_of(x or "") for x in batch.column(3).to_pylist()]
+            found = [counts_of(x or "") for x in batch.column(4).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2)]
+                [batch.column(0), batch.column(1), batch.column(2), batch.column(3)]
                 + [pa.array([f[k] for f in found], pa.int64()) for k in COUNTS]
                 + [pa.array([[f[k] for k in STATISTICS] for f in found], pa.list_(pa.float64()))],
                 schema=schema,
@@ -131,10 +138,10 @@ def statistics(docs: DataFrame, text: str = "text", key: str = "doc_id") -> Data
 
     rows = docs.select(
         F.col(key).cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"),
-        F.col("source").cast("string").alias("source"), F.col(text).cast("string").alias("text"),
+        F.col("source").cast("string").alias("source"), _version(text).alias("version"), F.col(text).cast("string").alias("text"),
     )
     kinds = ", ".join(f"{k} long" for k in COUNTS)
-    out = rows.mapInArrow(run, f"doc_id long, lang string, source string, {kinds}, x array<double>")
+    out = rows.mapInArrow(run, f"doc_id long, lang string, source string, version long, {kinds}, x array<double>")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return out.withColumn("base_failed", failed)
 
@@ -285,6 +292,7 @@ def judged(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
     vectors = rows.select("lang", "source", "x")
     fine = robust_estimates(vectors, ["lang", "source"])
     coarse = robust_estimates(vectors.select("lang", "x"), ["lang"])
+    whole = robust_estimates(vectors.select(F.lit(1).alias("all_rows"), "x"), ["all_rows"])
     with_fine = rows.join(
         fine.select(F.col("lang").alias("l1"), F.col("source").alias("s1"), "centre", "inverse", "scale"),
         F.col("lang").eqNullSafe(F.col("l1")) & F.col("source").eqNullSafe(F.col("s1")), "left",
@@ -292,19 +300,22 @@ def judged(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
     with_both = with_fine.join(
         coarse.select(F.col("lang").alias("l2"), *[F.col(c).alias(f"{c}2") for c in ("centre", "inverse", "scale")]),
         F.col("lang").eqNullSafe(F.col("l2")), "left",
-    )
+    ).withColumn("all_rows", F.lit(1)).join(
+        # One row.
+        F.broadcast(whole.select("all_rows", *[F.col(c).alias(f"{c}3") for c in ("centre", "inverse", "scale")])), "all_rows", "left")
     chosen = with_both.select(
-        "doc_id", *COUNTS, "base_failed", "x",
-        *[F.coalesce(c, f"{c}2").alias(c) for c in ("centre", "inverse", "scale")],
+        "doc_id", "version", *COUNTS, "base_failed", "x",
+        *[F.coalesce(c, f"{c}2", f"{c}3").alias(c) for c in ("centre", "inverse", "scale")],
     )
     distance = _distance() / F.col("scale")
     limit = chi_square(LEVEL, len(STATISTICS))
     return chosen.select(
-        "doc_id", *COUNTS, "base_failed", distance.alias("distance")
+        "doc_id", "version", *COUNTS, "base_failed", distance.alias("distance")
     ).withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("distance") <= limit, F.lit(True)))
 
 
 def kept_documents(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``docs`` without the rows that :func:`judged` rejects; a null key's rows are one group."""
-    bad = judged(docs, text, key).where("not kept").select(F.col("doc_id").alias("__key")).distinct()
-    return docs.join(bad, F.col(key).eqNullSafe(F.col("__key")), "left_anti")
+    """``docs`` without the rows that :func:`judged` rejects."""
+    bad = judged(docs, text, key).where("not kept").select(F.col("doc_id").alias("__key"), F.col("version").alias("__version")).distinct()
+    same = F.col(key).eqNullSafe(F.col("__key")) & (F.col("__own") == F.col("__version"))
+    return docs.withColumn("__own", _version(text)).join(bad, same, "left_anti").drop("__own")
