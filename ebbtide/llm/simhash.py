@@ -111,16 +111,20 @@ def simhash(text: str, words: int) -> int:
     return int(np.packbits(ones * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 3, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``doc_id`` and ``fp`` (the fingerprint as a signed long) per row."""
+def fingerprints(docs: DataFrame, words: int = 3, text: str = "text", key: str = "doc_id", tagged: bool = False) -> DataFrame:
+    """``doc_id`` and ``fp`` (the fingerprint as a signed long) per row; with ``tagged`` a ``tag`` of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = np.array([simhash(x or "", words) for x in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made.view(np.int64))], names=["doc_id", "fp"])
+            rest = [batch.column(2)] if tagged else []
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(made.view(np.int64)), *rest], names=["doc_id", "fp", "tag"][:2 + tagged])
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    if tagged:
+        rows = rows.withColumn("tag", F.xxhash64("text"))
+    return rows.mapInArrow(run, "doc_id long, fp long" + ", tag long" * tagged)
 
 
 # Links ---------------------------------------------------------------------------------
@@ -157,6 +161,13 @@ def links(distinct: DataFrame) -> DataFrame:
     return near.unionAll(shared)
 
 
+def components_of(made: DataFrame) -> DataFrame:
+    """``fp`` and ``component`` of every distinct fingerprint."""
+    distinct = made.select("fp").distinct()
+    labels = components(links(distinct))
+    return distinct.join(labels, distinct["fp"] == labels["node"], "left").select("fp", F.coalesce("component", "fp").alias("component"))
+
+
 def near_duplicates(docs: DataFrame, words: int = 3, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``doc_id``, ``fingerprint`` and ``component_id`` (the smallest key reachable) per row."""
     made = stored(fingerprints(docs, words, text, key), "fingerprints")
@@ -173,7 +184,24 @@ def near_duplicates(docs: DataFrame, words: int = 3, text: str = "text", key: st
 
 
 def without_near_duplicates(docs: DataFrame, words: int = 3, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``docs`` with the smallest key of each component alone; rows without a key stay."""
-    found = near_duplicates(docs, words, text, key)
-    other = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(other, key, "left_anti")
+    """One row of ``docs`` per component: that with the smallest key, a row without a key last.
+
+    Rows that repeat a key go by their own texts. Of rows equal in key and text one stays.
+    """
+    made = stored(fingerprints(docs, words, text, key, tagged=True), "fingerprints")
+    by_fp = components_of(made)
+    least = made.join(by_fp, "fp").groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag")).alias("first"), F.count("*").alias("n"))
+    kept = stored(least.select(F.col("first.doc_id").alias("__key"), F.col("first.tag").alias("__tag")), "kept")
+    own = docs.withColumn("__own", F.xxhash64(F.col(text).cast("string")))
+    same = F.col(key).cast("long").eqNullSafe(F.col("__key")) & (F.col("__own") == F.col("__tag"))
+    # Rows that are equal in key and text are told apart by nothing but their number.
+    twice = made.groupBy("doc_id", "tag").agg(F.count("*").alias("n")).where("n > 1").select(
+        F.col("doc_id").alias("__key"), F.col("tag").alias("__tag"))
+    twice = stored(twice, "repeated")
+    out = own.join(kept, same, "left_semi")
+    if twice.isEmpty():
+        return out.drop("__own")
+    once = out.join(twice, same, "left_anti")
+    repeated = out.join(twice, same, "left_semi").dropDuplicates([key, "__own"])
+    return once.unionAll(repeated).drop("__own")
