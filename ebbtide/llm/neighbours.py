@@ -5,9 +5,10 @@ each node is split into ``BRANCH`` clusters until a leaf stands for about ``LEAF
 of the table. Every row is then filed under its leaf. A query visits leaves best bin first:
 a priority queue holds the branches not taken, and the nearest is taken next.
 
-How many leaves a query visits is calibrated: for ``CALIBRATION`` queries the true
-neighbours among all rows are computed in blocks, and the visits are widened until the part
-``TARGET`` of them lies in the leaves visited.
+How many leaves a query visits is calibrated: for ``CALIBRATION`` queries, rows outside the
+fitted sample, the true neighbours among all rows are computed in blocks, and the visits are
+widened until the recall is ``TARGET`` or more with a confidence of 95 %: its mean over the
+queries less ``CONFIDENCE`` standard errors.
 
 The nearest of these leaves are searched first; the others then return only what reaches the
 query's last place so far. Leaves are joined with the queries that visit them, in blocks of ``BLOCK_ROWS`` rows and
@@ -35,7 +36,7 @@ from ebbtide.llm.common import stored
 
 FIT_ROWS, LEAF_ROWS, BRANCH, LEAST_LEAF = 16_384, 256, 8, 8
 BLOCK_ROWS, BLOCK_QUERIES = 8_192, 2_048
-CALIBRATION, TARGET = 256, 0.95
+CALIBRATION, TARGET, CONFIDENCE = 256, 0.93, 1.645
 #: Scores this near to the last place are computed anew before ranking.
 MARGIN = 1e-9
 #: One in so many of the leaves is visited first.
@@ -173,7 +174,7 @@ def _best(found: DataFrame, k: int) -> DataFrame:
 
 
 def calibrated_visits(rows: DataFrame, tree: Tree, sample: pd.DataFrame, k: int) -> int:
-    """Leaves to visit so that the part ``TARGET`` of the sample's true neighbours lies in them."""
+    """Leaves to visit so that the sample's recall is ``TARGET`` or more, at its lower bound."""
     ids, vectors = sample["vec_id"].to_numpy(), _matrix(sample["vector"])
     units = _units(vectors)
 
@@ -190,8 +191,24 @@ def calibrated_visits(rows: DataFrame, tree: Tree, sample: pd.DataFrame, k: int)
 
     found = _best(rows.mapInPandas(blocks, "query_id long, vec_id long, score double, leaf long"), k)
     place = {int(q): {leaf: i for i, leaf in enumerate(tree.visits(u, tree.leaves))} for q, u in zip(ids, units, strict=True)}
-    ranks = sorted(place[r["query_id"]][r["leaf"]] for r in found.select("query_id", "leaf").collect())  # k per sampled query
-    return 1 + ranks[max(0, int(np.ceil(TARGET * len(ranks))) - 1)] if ranks else 1
+    asked: dict[int, list[int]] = {}
+    for r in found.select("query_id", "leaf").collect():  # k per sampled query
+        asked.setdefault(r["query_id"], []).append(place[r["query_id"]][r["leaf"]])
+    return enough_visits(list(asked.values()))
+
+
+def enough_visits(ranks: list[list[int]]) -> int:
+    """The fewest leaves whose recall is ``TARGET`` at its lower bound; the ranks are those of each query's true leaves."""
+    every = sorted({r for own in ranks for r in own})
+    low, high = 0, len(every) - 1
+    while low < high:
+        middle = (low + high) // 2
+        recall = np.array([np.mean(np.array(own) <= every[middle]) for own in ranks])
+        if recall.mean() - CONFIDENCE * recall.std() / np.sqrt(len(recall)) >= TARGET:
+            high = middle
+        else:
+            low = middle + 1
+    return 1 + every[low] if every else 1
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
@@ -200,13 +217,16 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     rows = _valid(vectors)
     spark = vectors.sparkSession
     by_hash = rows.orderBy(F.xxhash64("vec_id"), F.xxhash64("vector"))
-    sample = by_hash.limit(FIT_ROWS).toArrow().to_pandas()  # a bounded sample
+    sample = by_hash.limit(FIT_ROWS + CALIBRATION).toArrow().to_pandas()  # a bounded sample
     if not len(sample):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     total = rows.count()
+    # The last by hash are kept out of the fit: their own leaf is not drawn towards them.
+    outside = min(CALIBRATION, len(sample) // 3)
+    asked_first, sample = sample.tail(outside) if outside else sample, sample.head(len(sample) - outside)
     units = _units(_matrix(sample["vector"]))
     tree = fit(units, max(LEAST_LEAF, LEAF_ROWS * len(sample) // max(total, 1)))
-    visits = calibrated_visits(rows, tree, sample.drop_duplicates("vec_id").head(CALIBRATION), k)
+    visits = calibrated_visits(rows, tree, asked_first.drop_duplicates("vec_id"), k)
 
     def file_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -48,6 +48,31 @@ def test_recall_against_brute_force(spark, monkeypatch, clusters):
     assert [r.vec_id for r in ties] == [2000, 2001, 2002, 2003, 2004]
 
 
+def test_recall_far_beyond_the_fitted_sample(spark, monkeypatch):
+    """A hundredth of the rows in the fit, clustered vectors, calibration outside the fit."""
+    monkeypatch.setattr(neighbours, "FIT_ROWS", 200)
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(150, 16))
+    m = (centres[np.arange(20_000) % 150] + rng.normal(size=(20_000, 16)) * 0.5).astype(np.float32)
+    got = neighbours.search(frame(spark, list(enumerate(m.tolist()))), F.col("vec_id") % 100 == 0).toPandas()
+    u = m.astype(float) / np.linalg.norm(m.astype(float), axis=1, keepdims=True)
+    hits = total = 0
+    for q, own in got.groupby("query_id"):
+        near = u @ u[q]
+        near[q] = -2
+        hits += len(set(np.argsort(-near)[:5].tolist()) & set(own["vec_id"]))
+        total += 5
+    assert total == 1000 and hits >= 0.9 * total
+
+
+def test_visits_follow_the_lower_bound():
+    assert neighbours.enough_visits([[0, 0, 0, 0, 0]] * 50) == 1
+    assert neighbours.enough_visits([[0, 1, 2, 3, 9]] * 50) == 10
+    assert neighbours.enough_visits([[0] * 5] * 252 + [[7] * 5] * 4) == 1
+    assert neighbours.enough_visits([[0] * 5] * 200 + [[7] * 5] * 56) == 8
+    assert neighbours.enough_visits([]) == 1
+
+
 def test_odd_vectors(spark):
     rows = [(0, [1, 0]), (1, [1, 1]), (2, None), (3, [0, 0]), (4, [float("nan"), 1]), (5, [None, 1]), (6, [1e30, 1e30]), (None, [1, 0]),
             (7, [float("inf"), 1]), (8, [1, 2, 3]), (1, [1, 1]), (10, []), (50, [-1, 0])]
