@@ -86,8 +86,9 @@ def _message(role: Column, text: Column) -> Column:
 
 def rendered(messages: DataFrame) -> DataFrame:
     """Maximal conversations with their ``chat`` text."""
-    kept = maximal(messages).withColumnRenamed("conv_id", "kept_id")
-    turns = _turns(messages)
+    kept = stored(maximal(messages).withColumnRenamed("conv_id", "kept_id"), "kept")
+    # Turns that are not kept go before any conversation is put together.
+    turns = _turns(messages).join(kept.select("kept_id"), F.col("conv_id").eqNullSafe(F.col("kept_id")), "left_semi")
     whole = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn_key", "role", "text"))).alias("t"))
     return whole.join(kept, whole["conv_id"].eqNullSafe(kept["kept_id"])).select(
         "conv_id", "n_turns", "n_copies",
