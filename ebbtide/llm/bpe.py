@@ -33,10 +33,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import CUTS, ODD_SPACE, read_text, stored
+from ebbtide.llm.common import CUTS, LONG_PART, ODD_SPACE, read_text, stored_buckets
 
 #: Characters of text per block.
-BLOCK_CHARS = 24 << 20
+BLOCK_CHARS = 12 << 20
+#: Parts whose words one Python worker remembers from block to block.
+MEMO = 200_000
 #: Longest word, in bytes, that is folded: beyond it the fold takes many times the heap's time.
 LONG_WORD = 12
 #: Parts of the literal rank map: a piece is looked up in the part that its hash names,
@@ -204,6 +206,7 @@ def _split(docs: DataFrame, pattern: str, buckets: int, text: str, key: str) ->
         block = TaskContext.get().partitionId() << 32
         codes: dict[str, int] = {}
         parts: dict[str, bytes] = {}
+        words_of: dict[str, list[str]] = {}
         size = 0
 
         def rows(kind: str, docs: list, raws: list[bytes], bucket: list) -> pa.RecordBatch:
@@ -213,7 +216,14 @@ def _split(docs: DataFrame, pattern: str, buckets: int, text: str, key: str) ->
                  pa.array(docs, pa.int64()), pa.array(raws, pa.binary())], schema=SPLIT)
 
         def numbered(part: str) -> bytes:
-            return np.array([codes.setdefault(w, len(codes)) for w in find(part)], "<u4").tobytes()
+            words = words_of.get(part)
+            if words is None:
+                words = find(part)
+                if len(part) <= LONG_PART:
+                    if len(words_of) >= MEMO:
+                        words_of.clear()
+                    words_of[part] = [part] if words == [part] else words
+            return np.array([codes.setdefault(w, len(codes)) for w in words], "<u4").tobytes()
 
         def document(x: str) -> np.ndarray:
             if ODD_SPACE.search(x):
@@ -338,7 +348,8 @@ def encode(
 ) -> DataFrame:
     """Each document's ids; or, with ``digests``, their number and the hashes of ids and decoded bytes."""
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = stored(_split(docs, pattern, buckets, text, key), "words", partition_by="kind")
+    # Filed by block, so the documents need no second shuffle to meet their ids.
+    parts = stored_buckets(_split(docs, pattern, buckets, text, key), "words", "kind", "block", buckets)
     words = _encoded_buckets(parts.where("kind = 'word'"), ranks, buckets)
     whole = parts.where("kind != 'word'").select("block", "doc_id", "raw", (F.col("kind") == "doc").alias("is_doc"))
     pieces = {rank: piece for piece, rank in ranks.items()}
