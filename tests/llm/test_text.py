@@ -290,7 +290,7 @@ def test_planted_outliers_go_and_clean_documents_stay(spark):
     got = {x.doc_id: x for x in outliers.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
     assert len(got) == len(rows)
     assert all(got[i].kept for i in range(420)) and not any(got[1000 + i].kept for i in range(40))
-    assert got[2000].kept and got[2000].distance is None and not got[2002].kept
+    assert got[2000].kept and got[2000].distance is not None and not got[2002].kept  # a rare language: judged by all rows
 
 
 def test_quality_of_odd_tables(odd_docs, no_docs):
@@ -389,6 +389,48 @@ def test_near_duplicates_of_odd_tables(odd_docs, no_docs):
     assert simhash.near_duplicates(no_docs).count() == 0
 
 
+def test_no_text_is_lost_with_its_key(spark):
+    r = random.Random(11)
+    text = lambda n: " ".join("".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    same, other, single = text(80), text(80), text(80)
+    rows = [(1, same), (5, same), (5, other), (None, same), (None, single), (None, single), (7, text(90)), (7, text(90)), (8, same)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = Counter(map(tuple, simhash.without_near_duplicates(docs).collect()))
+    assert kept == Counter({(1, same): 1, (5, other): 1, (None, single): 1, rows[6]: 1, rows[7]: 1})
+
+
+def test_good_rows_stay_though_a_row_of_their_key_goes(spark):
+    words = "the quick brown fox jumps over a lazy dog and then it rests for some time".split()
+    r = random.Random(3)
+    good = [" ".join(r.sample(words, 14)) for _ in range(4)]
+    rows = [(None, good[0]), (None, "bad"), (7, good[1]), (7, "x " * 40), (8, good[2]), (9, good[3])]
+    docs = spark.createDataFrame([(d, t, "en", "s") for d, t in rows], "doc_id long, text string, lang string, source string")
+    kept = {(x.doc_id, x.text) for x in outliers.kept_documents(docs).collect()}
+    assert kept == {(None, good[0]), (7, good[1]), (8, good[2]), (9, good[3])}
+
+
+def test_rare_languages_are_judged_by_all_rows(spark):
+    r = random.Random(5)
+    words = "the quick brown fox jumps over a lazy dog and then it rests for some time".split()
+    rows = [(i, " ".join(r.choice(words) for _ in range(60)), "en" if i % 2 else "de", "s") for i in range(200)]
+    rows += [(1000, "#$%&| <<<>>> #### " * 20 + " ".join(f"{i}" for i in range(60)), "rare", "s"), (1001, " ".join(r.choice(words) for _ in range(60)), None, "s")]
+    got = {x.doc_id: x for x in outliers.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not got[1000].kept and got[1000].distance is not None and not got[1000].base_failed
+    assert got[1001].kept and got[1001].distance is not None
+
+
+def test_lines_of_rows_with_one_key(spark):
+    long = ["a line that is long enough to count as near", "another line, long enough to be compared here", "something else entirely that no one repeats"]
+    rows = [
+        (1, long[0] + "\nfirst own"), (5, long[0] + "\nA only"), (5, "B's unique first line\n" + long[0]), (5, long[1] + "!\nshared"),
+        (6, long[1] + "\n" + long[2]), (None, "no key\nshared"), (5, "B's unique first line\n" + long[0]),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((x.doc_id, x.text) for x in lines.cleaned(docs).collect())
+    assert got == Counter({
+        (1, long[0] + "\nfirst own"): 1, (5, "A only"): 1, (5, "B's unique first line"): 2, (5, long[1] + "!"): 1, (6, long[2]): 1, (None, "no key\nshared"): 1})
+
+
 # The pipeline --------------------------------------------------------------------------
 
 def test_pipeline_stages_on_odd_documents(spark, odd_docs, no_docs):
@@ -424,9 +466,20 @@ def test_field_on_examples_of_other_seeds(monkeypatch, more):
     assert total > 300 and hits >= 0.85 * total
 
 
-def test_pipeline_keeps_what_its_stages_keep(spark):
-    from test_shingles import brute_kept
+def brute_kept(texts):
+    """Smallest key of each group linked by fingerprints at most two bits apart."""
+    fps = {d: brute_fingerprint(t) for d, t in texts.items()}
+    group = {v: {v} for v in set(fps.values())}
+    for a in list(group):
+        for b in list(group):
+            if (a ^ b).bit_count() <= 2 and group[a] is not group[b]:
+                group[a] |= group[b]
+                for x in group[a]:
+                    group[x] = group[a]
+    return {min(d for d, v in fps.items() if v in g) for g in map(frozenset, group.values())}
 
+
+def test_pipeline_keeps_what_its_stages_keep(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     good = [r.doc_id for r in outliers.judged(docs).where("kept").collect()]
     after = lines.cleaned(docs.where(docs.doc_id.isin(good))).collect()
