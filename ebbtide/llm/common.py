@@ -94,14 +94,18 @@ CUTS = {
 }
 #: Python's white space minus the Unicode property White_Space: texts with these are encoded whole.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
-#: Parts of words remembered by one Python worker; a full memory is emptied. Results never change.
+#: Parts of words remembered by one Python worker; a full memory loses its older half. Results never change.
 MEMO = 500_000
 #: Longer parts are encoded each time.
 LONG_PART = 64
 #: Characters of text handled at once.
 SLICE = 1_000_000
-#: Parts that are a single word for the tokenizer, so that its model can take them as they are.
-LETTERS = re.compile(" ?[A-Za-z]+")
+#: Parts that can be encoded side by side in one text, by family: "words" drops the white space
+#: between single words, and each ends in a token that ends a word; "spaced" makes a line break
+#: between two such parts a token of its own.
+SIDE_BY_SIDE = {"words": (re.compile("[A-Za-z]+"), " "), "spaced": (re.compile(r" ?\S+"), "\n")}
+#: Parts in such a text.
+JOINED = 10_000
 
 _encoders: dict = {}
 
@@ -123,26 +127,42 @@ class ChunkEncoder:
         self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.cut = CUTS[chunks].findall
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         probe = self.tokenizer.encode("Word", add_special_tokens=False).ids
         self.lower = probe == self.tokenizer.encode("word", add_special_tokens=False).ids
-        self.direct = all(
-            self._whole([w])[0] == self._word(w) for w in ("the", "Abc", "zqxj") + (" the", " Qrs") * (chunks == "spaced")
-        )
+        self.simple, self.glue = SIDE_BY_SIDE[chunks]
+        # Tokens after which a part has ended ("words"), or that stand between parts ("spaced").
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        between = self.tokenizer.encode(self.glue, add_special_tokens=False).ids
+        self.ends[between or [i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+        self.between = bool(between)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
         return [array(self.code, e.ids).tobytes() for e in found]
 
-    def _word(self, part: str) -> bytes:
-        """Ids of letters, perhaps after a space, which byte-level models write as Ġ."""
-        word = part.lower() if self.lower else part.replace(" ", "Ġ")
-        return array(self.code, [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
-
-    def _parts(self, parts: list[str]) -> dict[str, bytes]:
-        plain = [p for p in parts if self.direct and LETTERS.fullmatch(p)]
-        other = list(set(parts).difference(plain)) if plain else parts
+    def text_ids(self, text: str) -> list[int]:
+        """The ids of one text."""
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _joined(self, parts: list[str]) -> list[bytes]:
+        """The ids of simple parts, encoded as one text and taken apart again."""
+        ids = np.array(self.text_ids(self.glue.join(parts)), self.dtype)
+        at = np.flatnonzero(self.ends[ids])
+        starts, stops = (np.r_[0, at + 1], np.r_[at, len(ids)]) if self.between else (np.r_[0, at[:-1] + 1], at + 1)
+        if len(starts) != len(parts):
+            return self._whole(parts)
+        raw, size = ids.tobytes(), self.dtype.itemsize
+        return [raw[a:b] for a, b in zip((starts * size).tolist(), (stops * size).tolist(), strict=True)]
+
+    def encode_parts(self, parts: list[str]) -> dict[str, bytes]:
+        """The ids of distinct parts, as bytes of ``dtype``."""
+        simple = [p for p in parts if self.simple.fullmatch(p)]
+        other = list(set(parts).difference(simple)) if simple else parts
         out = dict(zip(other, self._whole(other), strict=True))
-        out.update((p, self._word(p)) for p in plain)
+        for i in range(0, len(simple), JOINED):
+            some = simple[i:i + JOINED]
+            out.update(zip(some, self._joined(some), strict=True))
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -159,8 +179,8 @@ class ChunkEncoder:
         return out
 
     def _slice(self, texts: list[str]) -> list[bytes]:
-        if len(self.memo) > MEMO:
-            self.memo.clear()
+        if len(self.memo) > MEMO // 2:
+            self.older, self.memo = self.memo, {}
         known = self.memo.get
         odd = {i: self._whole([x])[0] for i, x in enumerate(texts) if ODD_SPACE.search(x)}
         split = [
@@ -171,7 +191,8 @@ class ChunkEncoder:
         for parts, ids in zip(split, found, strict=True):
             if None in ids:
                 missing.update([p for p, v in zip(parts, ids, strict=True) if v is None])
-        new = self._parts(list(missing))
+        new = {p: self.older[p] for p in missing if p in self.older}
+        new |= self.encode_parts([p for p in missing if p not in new])
         self.memo.update((k, v) for k, v in new.items() if len(k) <= LONG_PART)
         out = []
         for i, (parts, ids) in enumerate(zip(split, found, strict=True)):
