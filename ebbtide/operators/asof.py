@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from datetime import date, timedelta
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbtide import schemas
@@ -18,7 +18,7 @@ from ebbtide.functions.columns import (
     as_date, clip, count_if, elapsed_days, interval_index, midnight,
 )
 from ebbtide.params import CUTOFF_STEP_DAYS, MIN_HISTORY_SUBSCRIBERS, Windows
-from ebbtide.session import small_table
+from ebbtide.session import cut, small_table
 from ebbtide.sources.canonical import Warehouse
 
 ID = "subscriber_id"
@@ -27,24 +27,48 @@ SNAPSHOT_COLUMNS = (
     "last_activity_days_ago", "support_tickets_last_90d", "payment_failures_last_6m",
     "discounts_used_last_6m", "is_auto_renew_enabled", schemas.TARGET,
 )
-# A capped population up to this many ids (64 characters each at most) is
+# A capped population of up to this many ids (64 characters each at most), as counted, is
 # shipped to all executors; beyond it the semi joins shuffle.
 BROADCAST_IDS = 200_000
 
 _STATE = ("plan_type", "monthly_fee", "is_auto_renew_enabled")
 
 
-def capped_population(subscribers: DataFrame, cutoff: date | str, limit: int | None) -> DataFrame:
-    """Subscribers that signed up before the cutoff day, the first ``limit`` by id."""
-    known = subscribers.filter(F.col("signup_date") < F.lit(as_date(cutoff)))
-    return known.orderBy(ID).limit(limit) if limit else known
+def _later(days: Sequence[date]) -> Column:
+    """The cutoffs after the signup day."""
+    return F.slice(
+        F.array(*[F.lit(d) for d in days]),
+        interval_index(F.col("signup_date"), [F.lit(d) for d in days]) + 1, len(days))
+
+
+def capped_populations(subscribers: DataFrame, days: Sequence[date], limit: int) -> DataFrame:
+    """Per cutoff ``at`` the first ``limit`` subscribers by id that signed up before it; one scan.
+
+    The first ``limit`` of a cutoff are among the first ``limit`` of each span between
+    neighbouring cutoffs up to it.  So spans are cut down first, map-side, and only ``limit``
+    rows of each fan out to the cutoffs after them.
+    """
+    step = interval_index(F.col("signup_date"), [F.lit(d) for d in days])
+    known = subscribers.filter(F.col("signup_date") < F.lit(days[-1])).withColumn("_step", step)
+
+    def first(rows: DataFrame, key: str) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy(key).orderBy(ID))
+        return rows.withColumn("_place", place).filter(F.col("_place") <= limit).drop("_place")
 
+    fanned = first(known, "_step").drop("_step").withColumn("at", F.explode(_later(days)))
+    return first(fanned, "at")
 
-def _restrict(table: DataFrame, ids: DataFrame | None, limit: int | None) -> DataFrame:
+
+def _capped(subscribers: DataFrame, days: Sequence[date], limit: int) -> tuple[DataFrame, DataFrame]:
+    """The capped populations, stored, and their ids, broadcast if they are few."""
+    base = cut(capped_populations(subscribers, days, limit))
+    ids = base.select(ID).distinct()
+    return base, F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def _restrict(table: DataFrame, ids: DataFrame | None) -> DataFrame:
     """Keep rows of the capped population; no filter at all when uncapped."""
-    if ids is None:
-        return table
-    return table.join(F.broadcast(ids) if limit <= BROADCAST_IDS else ids, ID, "left_semi")
+    return table if ids is None else table.join(ids, ID, "left_semi")
 
 
 def _latest_state() -> Column:
@@ -131,13 +155,16 @@ def snapshot(
         return midnight(day - timedelta(days=days))
 
     end = midnight(day + timedelta(days=windows.horizon))
-    base = capped_population(wh.subscribers, day, max_subscribers)
-    ids = base.select(ID) if max_subscribers else None
+    ids = None
+    base = wh.subscribers.filter(F.col("signup_date") < F.lit(day))
+    if max_subscribers:
+        base, ids = _capped(wh.subscribers, [day], max_subscribers)
+        base = base.drop("at")
 
     occurred = F.col("occurred_at")
     cancelled = F.col("event_type") == "cancellation"
     lifecycle = (
-        _restrict(wh.subscription_events.filter(occurred < end), ids, max_subscribers)
+        _restrict(wh.subscription_events.filter(occurred < end), ids)
         .groupBy(ID)
         .agg(
             F.max(F.when(occurred < start, F.struct(
@@ -158,7 +185,7 @@ def snapshot(
                 (occurred >= back(windows.billing)) & (occurred < start),
                 (occurred >= back(windows.tickets)) & (occurred < start),
             ),
-            ids, max_subscribers,
+            ids,
         )
         .groupBy(ID)
         .agg(
@@ -240,27 +267,14 @@ def panel(
         return (occurred >= midnight(days[0] - timedelta(days=days_back))) & (occurred < last)
 
     # Each subscriber fans out to the cutoffs after the signup day; no join needed.
-    later = F.slice(
-        F.array(*[F.lit(d) for d in days]),
-        interval_index(F.col("signup_date"), [F.lit(d) for d in days]) + 1, len(days))
     base = wh.subscribers.filter(F.col("signup_date") < F.lit(days[-1])).withColumn(
-        "at", F.explode(later))
+        "at", F.explode(_later(days)))
     ids = None
     if max_subscribers:
-        # The first n ids per cutoff: ids present at the first cutoff stay, so
-        # each cutoff is its own small top-n, never a window over all ids.
-        capped = [
-            capped_population(wh.subscribers, d, max_subscribers).withColumn("at", F.lit(d))
-            for d in days
-        ]
-        base = capped[0]
-        for part in capped[1:]:
-            base = base.unionByName(part)
-        ids = base.select(ID).distinct()
-        max_subscribers *= len(days)
+        base, ids = _capped(wh.subscribers, days, max_subscribers)
 
     by_segment = (
-        _restrict(wh.subscription_events.filter(occurred < horizon), ids, max_subscribers)
+        _restrict(wh.subscription_events.filter(occurred < horizon), ids)
         .groupBy(ID, segment)
         .agg(
             _latest_state().alias("state"),
@@ -281,7 +295,7 @@ def panel(
     measures = ("sessions", "failures", "discounts", "tickets")
     usage = (
         _restrict(
-            _activity(wh, occurred < last, since(windows.billing), since(windows.tickets)), ids, max_subscribers)
+            _activity(wh, occurred < last, since(windows.billing), since(windows.tickets)), ids)
         .groupBy(ID, segment)
         .agg(F.max("seen").alias("seen"), *[F.sum(m).alias(m) for m in measures])
     )

@@ -15,9 +15,11 @@ from pyspark.sql import functions as F
 from ebbtide import schemas
 from ebbtide.functions.columns import count_if, reasons
 from ebbtide.functions.features import require
+from ebbtide.session import cut
 
 ERROR, WARNING = "error", "warning"
 _COLUMNS = ("table_name", "check", "severity", "n_rows", "n_ids")
+_DDL = "table_name string, check string, severity string, n_rows bigint, n_ids bigint"
 
 
 def required_columns(name: str) -> tuple[str, ...]:
@@ -71,8 +73,32 @@ def _value_rules(name: str) -> list[tuple[str, str, Column]]:
     return rules
 
 
-def validate_table(name: str, df: DataFrame) -> DataFrame:
-    """Checks that need this table alone.
+def _broken(name: str) -> list[Column]:
+    """Counts of the rows that break each value rule."""
+    return [count_if(bad).alias(f"r{i}") for i, (_, _, bad) in enumerate(_value_rules(name))]
+
+
+def _value_rows(name: str) -> list[Column]:
+    """One check per value rule, and whether the table is empty, of a row of counts."""
+    none = F.lit(None).cast("bigint").alias("n_ids")
+    return [
+        F.struct(F.lit(check).alias("check"), F.lit(severity).alias("severity"),
+                 F.coalesce(f"r{i}", F.lit(0)).alias("n_rows"), none)
+        for i, (check, severity, _) in enumerate(_value_rules(name))
+    ] + [F.struct(
+        F.lit("empty table: its features are constant").alias("check"),
+        F.lit(WARNING).alias("severity"),
+        (F.coalesce("total", F.lit(0)) == 0).cast("bigint").alias("n_rows"), none,
+    )]
+
+
+def _named(name: str, counts: DataFrame, checks: list[Column]) -> DataFrame:
+    return counts.select(F.explode(F.array(*checks)).alias("c")).select(
+        F.lit(name).alias("table_name"), "c.*")
+
+
+def validate_table(name: str, df: DataFrame, values: bool = True) -> DataFrame:
+    """Checks that need this table alone; without ``values`` only columns and keys.
 
     Missing columns are reported before any value is looked at.  Values take one
     scan and one aggregate; duplicate keys one shuffle of partial counts.
@@ -82,57 +108,52 @@ def validate_table(name: str, df: DataFrame) -> DataFrame:
     if missing:
         return _row(spark, name, f"missing required columns: {', '.join(missing)}", ERROR,
                     len(missing))
-    rules = _value_rules(name)
-    counts = df.agg(
-        F.count("*").alias("total"),
-        *[count_if(bad).alias(f"r{i}") for i, (_, _, bad) in enumerate(rules)],
-    )
-    found = [
-        F.struct(F.lit(check).alias("check"), F.lit(severity).alias("severity"),
-                 F.col(f"r{i}").alias("n_rows"))
-        for i, (check, severity, _) in enumerate(rules)
-    ] + [F.struct(
-        F.lit("empty table: its features are constant").alias("check"),
-        F.lit(WARNING).alias("severity"),
-        (F.col("total") == 0).cast("bigint").alias("n_rows"),
-    )]
-    out = counts.select(F.explode(F.array(*found)).alias("c")).select(
-        F.lit(name).alias("table_name"), "c.*", F.lit(None).cast("bigint").alias("n_ids"))
+    counts = df.agg(F.count("*").alias("total"), *_broken(name)) if values else None
+    out = _named(name, counts, _value_rows(name)) if values else None
     key = schemas.KEYS[name]
     if key in df.columns:
         repeated = df.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
-        out = out.unionByName(repeated.agg(
+        keys = repeated.agg(
             F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.count("*").alias("n_ids"),
         ).select(F.lit(name).alias("table_name"), F.lit(f"duplicate {key}").alias("check"),
-                 F.lit(ERROR).alias("severity"), "n_rows", "n_ids"))
-    return out.select(*_COLUMNS)
+                 F.lit(ERROR).alias("severity"), "n_rows", "n_ids")
+        out = keys if out is None else out.unionByName(keys)
+    return spark.createDataFrame([], _DDL) if out is None else out.select(*_COLUMNS)
 
 
-def _per_day(events: DataFrame) -> DataFrame:
+def _per_day(events: DataFrame, more: list[Column]) -> DataFrame:
     """Rows per subscriber and day: what the cross-table checks need of a table.
 
     A subscriber holding most rows shrinks to one row per day before the join.
     """
     return events.groupBy("subscriber_id", F.col("occurred_at").cast("date").alias("day")).agg(
-        F.count("*").alias("n")
+        F.count("*").alias("n"), *more
     )
 
 
-def cross_checks(name: str, events: DataFrame, subscribers: DataFrame) -> DataFrame:
-    """Orphan rows (error) and activity before signup (warning), in one join."""
+def cross_checks(
+    name: str, events: DataFrame, subscribers: DataFrame, values: bool = False,
+) -> DataFrame:
+    """Orphan rows (error) and activity before signup (warning), in one join.
+
+    With ``values`` the value rules are counted on the way, so a table is read once for both.
+    """
     known = subscribers.groupBy("subscriber_id").agg(F.min("signup_date").alias("signup_date"))
-    days = _per_day(events).join(
+    rules = [f"r{i}" for i in range(len(_value_rules(name)))] if values else []
+    days = _per_day(events, _broken(name) if values else []).join(
         known.withColumn("known", F.lit(True)), "subscriber_id", "left"
     )
     per_id = days.groupBy("subscriber_id").agg(
         F.sum(F.when(F.col("known").isNull(), F.col("n")).otherwise(0)).alias("orphans"),
         F.sum(F.when(F.col("day") < F.col("signup_date"), F.col("n")).otherwise(0))
         .alias("early"),
+        F.sum("n").alias("total"), *[F.sum(r).alias(r) for r in rules],
     )
     totals = per_id.agg(
         *[f.alias(a) for c in ("orphans", "early") for f, a in (
             (F.coalesce(F.sum(c), F.lit(0)), f"{c}_rows"),
-            (count_if(F.col(c) > 0), f"{c}_ids"))]
+            (count_if(F.col(c) > 0), f"{c}_ids"))],
+        F.sum("total").alias("total"), *[F.sum(r).alias(r) for r in rules],
     )
 
     def row(check: str, severity: str, c: str) -> Column:
@@ -140,22 +161,27 @@ def cross_checks(name: str, events: DataFrame, subscribers: DataFrame) -> DataFr
             F.lit(check).alias("check"), F.lit(severity).alias("severity"),
             F.col(f"{c}_rows").alias("n_rows"), F.col(f"{c}_ids").alias("n_ids"))
 
-    return totals.select(F.explode(F.array(
-        row("rows not in the subscribers table", ERROR, "orphans"),
-        row("activity before the subscriber's signup_date", WARNING, "early"),
-    )).alias("c")).select(F.lit(name).alias("table_name"), "c.*")
+    checks = [row("rows not in the subscribers table", ERROR, "orphans"),
+              row("activity before the subscriber's signup_date", WARNING, "early")]
+    return _named(name, totals, checks + (_value_rows(name) if values else []))
 
 
 def validate_load(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Every check of every table given."""
-    parts = [validate_table(name, df) for name, df in tables.items()]
+    """Every check of every table given: values and cross-checks of a table in one scan.
+
+    The dimension, which every other table meets, is stored first.
+    """
     people = tables.get("subscribers")
-    if people is not None and not missing_columns("subscribers", people):
-        parts += [
-            cross_checks(name, df, people).select(*_COLUMNS)
-            for name, df in tables.items()
-            if name != "subscribers" and not missing_columns(name, df)
-        ]
+    if people is None or missing_columns("subscribers", people):
+        return _union([validate_table(name, df) for name, df in tables.items()])
+    people = cut(people)
+    parts = [validate_table("subscribers", people)]
+    for name, df in tables.items():
+        if name != "subscribers":
+            whole = not missing_columns(name, df)
+            parts.append(validate_table(name, df, values=False))
+            if whole:
+                parts.append(cross_checks(name, df, people, values=True).select(*_COLUMNS))
     return _union(parts)
 
 
