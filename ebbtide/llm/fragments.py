@@ -28,8 +28,10 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import read_text, stored
+from ebbtide.llm.common import ChunkEncoder, byte_letters, read_text, stored
 
 #: Longer texts are cut into chunks of about this many characters.
 CHUNK_CHARS = 1 << 16
@@ -59,13 +61,6 @@ CUT_B = re.compile("(?<=[^ ])(?= )")
 
 # Tokens --------------------------------------------------------------------------------
 
-def byte_letters() -> dict[str, int]:
-    """The letter of each byte in byte-level vocabularies: itself where it prints, else from 256 on."""
-    plain = [b for b in range(256) if 33 <= b < 127 or (161 <= b and b != 173)]
-    other = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
-
-
 @dataclass
 class Tokens:
     """Ids and the byte offsets where they end."""
@@ -135,10 +130,9 @@ class Aligner:
     def __init__(self, spec_a: str, model_b: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_str(spec_a)
-        self.a.encode_special_tokens = True
+        self.chunks = ChunkEncoder(spec_a, "spaced")
+        self.a = self.chunks.tokenizer
         self.b = sentencepiece.SentencePieceProcessor(model_proto=model_b)
         letters = byte_letters()
         self.bytes_a = [b""] * self.a.get_vocab_size()
@@ -159,6 +153,10 @@ class Aligner:
         self.width = len(pieces)
         if self.width * len(self.bytes_a) >= 1 << 32:
             raise ValueError("link codes need 32 bits")
+        #: Ids as text with what follows them in a group: the next, or the group's other side or end.
+        self.names_a, self.names_b = (
+            np.array([[f"{i}," for i in range(n)], [f"{i}{end}" for i in range(n)]], object)
+            for n, end in ((len(self.bytes_a), "|"), (len(pieces), ";")))
         self.memo: dict[str, tuple | None] = {}
         self.older: dict[str, tuple | None] = {}
 
@@ -168,24 +166,49 @@ class Aligner:
         own = [x[1:] if x[0] == " " else "x" + x for x in texts]
         return [ids if x[0] == " " else ids[1:] for x, ids in zip(texts, self.b.encode(own, out_type=int, num_threads=1), strict=True)]
 
-    def _record(self, part: str, a: list[int], b: list[int]) -> tuple | None:
-        """Groups as text, link codes, and counts; nothing if the tokens do not spell the part."""
-        raw = part.encode()
-        if b"".join([self.bytes_a[i] for i in a]) != raw or b"".join([self.bytes_b[i] for i in b]) != raw:
-            return None
-        groups, links, at_a, at_b, ga, gb, rest = [], [], 0, 0, [], [], iter(b)
-        for i in a:
-            at_a += len(self.bytes_a[i])
-            ga.append(i)
-            while at_b < at_a:
-                j = next(rest)
-                at_b += len(self.bytes_b[j])
-                gb.append(j)
-            if at_a == at_b:
-                groups.append(",".join(map(str, ga)) + "|" + ",".join(map(str, gb)))
-                links += [x * self.width + y for x in ga for y in gb]
-                ga, gb = [], []
-        return ";".join(groups), np.array(links, "<u4").tobytes(), len(a), len(b), len(groups)
+    def _spelled(self, raw: bytes, a: list[int], b: list[int]) -> bool:
+        return b"".join([self.bytes_a[i] for i in a]) == raw == b"".join([self.bytes_b[i] for i in b])
+
+    def _records(self, parts: list[str], a: list[list[int]], b: list[list[int]]) -> list[tuple | None]:
+        """Groups as text, link codes, and counts of each part; nothing if its tokens do not spell it.
+
+        Parts stand side by side: a part's end is a common end, so all are cut at once.
+        """
+        raw = [p.encode() for p in parts]
+        ids_a, ids_b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (a, b))
+        whole = b"".join(raw)
+        spell = lambda names, ids: b"".join([names[i] for i in ids.tolist()])
+        n_a, n_b = np.array([len(x) for x in a]), np.array([len(x) for x in b])
+        ends, ends_a, ends_b = np.cumsum([len(r) for r in raw]), np.cumsum(self.length_a[ids_a]), np.cumsum(self.length_b[ids_b])
+        if not (n_a.all() and n_b.all() and np.array_equal(ends_a[np.cumsum(n_a) - 1], ends) and np.array_equal(ends_b[np.cumsum(n_b) - 1], ends)
+                and spell(self.bytes_a, ids_a) == whole == spell(self.bytes_b, ids_b)):
+            good = [i for i, (r, x, y) in enumerate(zip(raw, a, b, strict=True)) if self._spelled(r, x, y)]
+            out: list[tuple | None] = [None] * len(parts)
+            if good:
+                for i, made in zip(good, self._records(*[[x[i] for i in good] for x in (parts, a, b)]), strict=True):
+                    out[i] = made
+            return out
+        common = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
+        many_a, many_b = np.bincount(group_a), np.bincount(group_b)
+        from_a, from_b = np.cumsum(many_a) - many_a, np.cumsum(many_b) - many_b
+        # Each group's tokens of A, then those of B, with what follows each.
+        at_a, at_b = np.arange(len(ids_a)), np.arange(len(ids_b))
+        flat = np.empty(len(ids_a) + len(ids_b), object)
+        flat[at_a + from_b[group_a]] = self.names_a[(at_a == (from_a + many_a - 1)[group_a]).astype(int), ids_a]
+        flat[at_b + (from_a + many_a)[group_b]] = self.names_b[(at_b == (from_b + many_b - 1)[group_b]).astype(int), ids_b]
+        # Links: every token of A with all of B in its group.
+        times = many_b[group_a]
+        upto = np.cumsum(times)
+        other = np.repeat(from_b[group_a] - (upto - times), times) + np.arange(int(upto[-1]))
+        codes = (np.repeat(ids_a, times) * self.width + ids_b[other]).astype("<u4").tobytes()
+        until = lambda counts: np.r_[0, np.cumsum(counts)].tolist()
+        words, tokens = flat.tolist(), until(n_a + n_b)
+        links = np.r_[0, 4 * upto[np.cumsum(n_a) - 1]].tolist()
+        groups = np.diff(np.r_[0, np.searchsorted(common, ends) + 1]).tolist()
+        return [
+            ("".join(words[t:u]), codes[x:y], i, j, g) for t, u, x, y, i, j, g in zip(
+                tokens, tokens[1:], links, links[1:], n_a.tolist(), n_b.tolist(), groups, strict=False)]
 
     def records(self, parts: set[str]) -> dict[str, tuple | None]:
         """What is known of each part; new ones are aligned."""
@@ -199,25 +222,25 @@ class Aligner:
                 missing.append(p)
         for at in range(0, len(missing), 50_000):
             some = missing[at:at + 50_000]
-            ids = [e.ids for e in self.a.encode_batch(some, add_special_tokens=False)]
-            for p, a, b in zip(some, ids, self.ids_b(some), strict=True):
-                out[p] = self._record(p, a, b)
+            ids = self.chunks.encode_parts(some)
+            made = self._records(some, [array(self.chunks.code, ids[p]).tolist() for p in some], self.ids_b(some))
+            for p, record in zip(some, made, strict=True):
+                out[p] = record
                 if len(p) <= LONG_PART:
-                    self.memo[p] = out[p]
+                    self.memo[p] = record
             if len(self.memo) > MEMO // 2:  # the older half goes
                 self.older, self.memo = self.memo, {}
         return out
 
     def whole(self, text: str) -> tuple | None:
         """The record of a whole text, where some part by itself is not spelled."""
-        a = self.a.encode(" " + text, add_special_tokens=False).ids
-        return self._record(" " + text, a, self.b.encode(text, out_type=int, num_threads=1))
+        return self._records([" " + text], [self.chunks.text_ids(" " + text)], [self.b.encode(text, out_type=int, num_threads=1)])[0]
 
     def tokens(self, text: str, start: int, of_a: bool) -> tuple[Tokens, bool]:
         """Tokens of a range of a text that starts at a byte offset; whether they spell it."""
         if not text:
             return NONE, True
-        ids = self.a.encode(text, add_special_tokens=False).ids if of_a else self.ids_b([text])[0]
+        ids = self.chunks.text_ids(text) if of_a else self.ids_b([text])[0]
         names, length = (self.bytes_a, self.length_a) if of_a else (self.bytes_b, self.length_b)
         spelled = b"".join([names[i] for i in ids]) == text.encode()
         ids = np.array(ids, np.int64)
@@ -294,7 +317,7 @@ def _block_rows(rows: list[tuple], number: int, make: Aligner) -> list[dict]:
             every.append(pairs)
             row |= {
                 "n_a": sum(n_a), "n_b": sum(n_b), "n_groups": sum(n_groups), "n_links": int(times.sum()),
-                "groups_sha256": hashlib.sha256(";".join(texts).encode()).hexdigest(),
+                "groups_sha256": hashlib.sha256("".join(texts)[:-1].encode()).hexdigest(),
                 "pairs": pairs.tobytes(), "times": times.astype("<u4").tobytes(),
             }
         out.append(row)
