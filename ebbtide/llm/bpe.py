@@ -105,8 +105,14 @@ def _let(value: Column, body) -> Column:
 
 
 def fold_merges(word: Column, table: Column) -> Column:
-    """Ids of a word as an array, by folding merges over the array of its bytes."""
+    """Ids of a word as an array, by folding merges over the array of its bytes.
 
+    The rank map is bound once: each further mention of it would be one more copy in every task.
+    """
+    return _let(table, lambda bound: _folded(word, bound))
+
+
+def _folded(word: Column, table: Column) -> Column:
     def rank(piece: Column) -> Column:
         part = F.pmod(F.xxhash64(piece), F.lit(MAP_PARTS)).cast("int")
         return F.try_element_at(F.get(table, part), piece)
