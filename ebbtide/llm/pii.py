@@ -393,7 +393,7 @@ def _written(spans: list[Span]) -> str:
 
 
 def found(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Numbers of spans per kind, the base spans' hash, and all spans, one row per document."""
+    """Numbers of base spans per kind, their hash, and all spans, one row per document."""
     weights = trained()
     schema = pa.schema(
         [("doc_id", pa.int64())] + [(f"n_{k}", pa.int64()) for k in KINDS] + [("base_sha256", pa.string()), ("spans", pa.string())]
@@ -404,7 +404,7 @@ def found(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
             rows = [all_spans(x or "", weights) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0),
-                *[pa.array([sum(s.kind == k for s in every) for _, every in rows], pa.int64()) for k in KINDS],
+                *[pa.array([sum(s.kind == k for s in base) for base, _ in rows], pa.int64()) for k in KINDS],
                 pa.array([hashlib.sha256(_written(base).encode()).hexdigest() for base, _ in rows]),
                 pa.array([_written(every) for _, every in rows]),
             ], schema=schema)

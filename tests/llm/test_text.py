@@ -250,6 +250,19 @@ def test_personal_data_of_odd_tables(odd_docs, no_docs):
     assert pii.found(no_docs).count() == 0
 
 
+def test_personal_data_counts_base_spans(spark):
+    """Spans that the field adds are listed, not counted."""
+    texts = [
+        "call (859) 954-7109 or +1 859 954 7109", "jane[at]host[dot]org and a@b.com, 1.2.3.4",
+        "4539 5787 6362 1486 12345678901 and 1[.]2[.]3[.]4", "", None,
+    ]
+    got = pii.found(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    for row in got:
+        counted = Counter(s.kind for s in brute_spans(texts[row.doc_id] or ""))
+        assert [row[f"n_{k}"] for k in pii.KINDS] == [counted[k] for k in pii.KINDS]
+    assert sum(len(r.spans.split(",")) for r in got if r.spans) > sum(r[f"n_{k}"] for r in got for k in pii.KINDS)
+
+
 # Quality -------------------------------------------------------------------------------
 
 def brute_counts(text):
