@@ -1189,8 +1189,7 @@ def tree_explanations(spark, sf):
 def _stream_run(spark, sf) -> tuple[str, scorer.ScorerStats]:
     """Write the topic rows, then drain them through the streaming scorer."""
     folder = run_folder(spark)
-    requests.messages(spark, sf, snapshot(spark, sf)).repartition("offset").write.parquet(
-        f"{folder}/topic")
+    requests.write_topic(requests.messages(spark, sf, snapshot(spark, sf)), f"{folder}/topic")
     job = scorer.StreamScorer(
         lambda: linear.CHAMPION, scorer.file_sink(f"{folder}/out"), f"{folder}/checkpoint",
         THRESHOLD)

@@ -18,6 +18,15 @@ def requests(spark, sf_dir: str, snapshot: DataFrame) -> DataFrame:
     return events.join(snapshot.drop("event_type"), "subscriber_id")
 
 
+#: Size of a topic file's row groups: what one task reads at least.
+ROW_GROUP = 1 << 20
+
+
+def write_topic(rows: DataFrame, path: str) -> None:
+    """Topic rows as files of small row groups, so that several tasks share the files of a batch."""
+    rows.repartition("offset").write.option("parquet.block.size", ROW_GROUP).parquet(path)
+
+
 def messages(spark, sf_dir: str, snapshot: DataFrame) -> DataFrame:
     """Topic rows: good requests, and the ways a message can be bad.
 

@@ -4,6 +4,7 @@ import json
 import math
 from datetime import datetime, timedelta
 
+import pyarrow.parquet as pq
 import pytest
 from helpers import rows
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from ebbtide import schemas
 from ebbtide.functions import linear
 from ebbtide.operators import monitoring
+from ebbtide.sources import requests
 from ebbtide.streaming import messages, rates, scorer
 
 GOOD = {
@@ -276,3 +278,15 @@ def test_closed_windows_equal_the_batch_rates(spark, tmp_path):
     want = rows(monitoring.rates(events, "ts", ["kind"]).filter(
         F.col("window_start") <= F.lit(str(closed)).cast("timestamp_ntz")))
     assert got == want and len(got) == 42
+
+
+def test_files_of_a_batch_are_read_by_several_tasks(spark, tmp_path):
+    """One file of many messages is not one task."""
+    sent = spark.range(80_000, numPartitions=1).select(
+        F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"),
+        F.lit("k").alias("key"), F.sha2(F.col("id").cast("string"), 512).cast("binary").alias("value"))
+    requests.write_topic(sent, f"{tmp_path}/topic")
+    groups = [pq.ParquetFile(f).num_row_groups for f in tmp_path.glob("topic/*.parquet")]
+    assert min(groups) > 1
+    back = spark.read.parquet(f"{tmp_path}/topic")
+    assert back.count() == 80_000 and sent.exceptAll(back).count() == 0
