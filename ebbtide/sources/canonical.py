@@ -96,7 +96,8 @@ def subscription_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     lines = read(spark, sf_dir, "lineitem")
-    return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+    # The orders of a task are hashed: its lines, many times as many, are not sorted.
+    return lines.join(orders.hint("shuffle_hash"), lines.l_orderkey == orders.o_orderkey)
 
 
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:

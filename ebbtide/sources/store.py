@@ -52,18 +52,30 @@ def measures(wh: Warehouse) -> DataFrame:
     )
 
 
-def daily_activity(wh: Warehouse, since: date | None = None, until: date | None = None) -> DataFrame:
+def _by_day(rows: DataFrame, tasks: int | None) -> DataFrame:
+    """Rows with their ``day``, dealt by subscriber and day to so many tasks: each keeps its own in memory."""
+    rows = rows.withColumn("day", F.col("occurred_at").cast("date"))
+    return rows if tasks is None else rows.repartition(tasks, ID, "day")
+
+
+def daily_activity(
+    wh: Warehouse, since: date | None = None, until: date | None = None, tasks: int | None = None,
+) -> DataFrame:
     """Counts per subscriber and day; ``seen`` is the day's last session."""
-    return _between(measures(wh), since, until).groupBy(ID, F.date_trunc("day", "occurred_at").cast("timestamp_ntz").alias("occurred_at")).agg(
-        F.max("seen").alias("seen"), *[F.sum(c).alias(c) for c in ("sessions", "failures", "discounts", "tickets")])
+    counts = ("sessions", "failures", "discounts", "tickets")
+    return _by_day(_between(measures(wh), since, until), tasks).groupBy(ID, "day").agg(
+        F.max("seen").alias("seen"), *[F.sum(c).alias(c) for c in counts],
+    ).select(ID, F.col("day").cast("timestamp_ntz").alias("occurred_at"), "seen", *counts)
 
 
-def daily_lifecycle(wh: Warehouse, since: date | None = None, until: date | None = None) -> DataFrame:
+def daily_lifecycle(
+    wh: Warehouse, since: date | None = None, until: date | None = None, tasks: int | None = None,
+) -> DataFrame:
     """The day's last lifecycle row of every subscriber, and its first cancellation if that is another."""
     columns = schemas.TABLES["subscription_events"].names
     row = F.struct("occurred_at", "event_id", *[c for c in columns if c not in ("occurred_at", "event_id", ID)])
     cancelled = F.col("event_type") == "cancellation"
-    days = _between(wh.subscription_events, since, until).groupBy(ID, F.col("occurred_at").cast("date").alias("day")).agg(
+    days = _by_day(_between(wh.subscription_events, since, until), tasks).groupBy(ID, "day").agg(
         F.max(row).alias("last"), F.min(F.when(cancelled, row)).alias("gone"))
     both = F.array_distinct(F.filter(F.array("last", "gone"), lambda r: r.isNotNull()))
     return days.select(ID, F.explode(both).alias("r")).select(*[ID if c == ID else F.col(f"r.{c}").alias(c) for c in columns])
@@ -105,8 +117,8 @@ def _load(wh: Warehouse, store: Store, since: date | None, mode: str) -> None:
     if store.edge is not None:
         people = people.filter(F.col("signup_date") < F.lit(store.edge))
     _write(people, store, "subscribers", mode)
-    _write(daily_lifecycle(wh, since, store.edge), store, "lifecycle", mode)
-    _write(daily_activity(wh, since, store.edge), store, "activity", mode)
+    _write(daily_lifecycle(wh, since, store.edge, store.buckets), store, "lifecycle", mode)
+    _write(daily_activity(wh, since, store.edge, store.buckets), store, "activity", mode)
 
 
 def write(wh: Warehouse, until: date | str | None = None, buckets: int | None = None, path: str | None = None) -> Store:
