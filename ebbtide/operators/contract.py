@@ -18,6 +18,8 @@ from ebbtide.functions.features import require
 from ebbtide.session import cut
 
 ERROR, WARNING = "error", "warning"
+#: Subscribers whose days one task counts, on average.
+SUBSCRIBERS_A_TASK = 5_000
 _COLUMNS = ("table_name", "check", "severity", "n_rows", "n_ids")
 _DDL = "table_name string, check string, severity string, n_rows bigint, n_ids bigint"
 
@@ -121,18 +123,23 @@ def validate_table(name: str, df: DataFrame, values: bool = True) -> DataFrame:
     return spark.createDataFrame([], _DDL) if out is None else out.select(*_COLUMNS)
 
 
-def _per_day(events: DataFrame, more: list[Column]) -> DataFrame:
+def _per_day(events: DataFrame, more: list[Column], tasks: int | None) -> DataFrame:
     """Rows per subscriber and day: what the cross-table checks need of a table.
 
-    A subscriber holding most rows shrinks to one row per day before the join.
+    A subscriber holding most rows shrinks to one row per day before the join.  With ``tasks``
+    the days are dealt to so many, since each keeps its own in memory.
     """
-    return events.groupBy("subscriber_id", F.col("occurred_at").cast("date").alias("day")).agg(
+    events = events.withColumn("day", F.col("occurred_at").cast("date"))
+    if tasks:
+        events = events.repartition(tasks, "subscriber_id", "day")
+    return events.groupBy("subscriber_id", "day").agg(
         F.count("*").alias("n"), *more
     )
 
 
 def cross_checks(
     name: str, events: DataFrame, subscribers: DataFrame, values: bool = False,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Orphan rows (error) and activity before signup (warning), in one join.
 
@@ -140,8 +147,8 @@ def cross_checks(
     """
     known = subscribers.groupBy("subscriber_id").agg(F.min("signup_date").alias("signup_date"))
     rules = [f"r{i}" for i in range(len(_value_rules(name)))] if values else []
-    days = _per_day(events, _broken(name) if values else []).join(
-        known.withColumn("known", F.lit(True)), "subscriber_id", "left"
+    days = _per_day(events, _broken(name) if values else [], tasks).join(
+        known.withColumn("known", F.lit(True)).hint("shuffle_hash"), "subscriber_id", "left"
     )
     per_id = days.groupBy("subscriber_id").agg(
         F.sum(F.when(F.col("known").isNull(), F.col("n")).otherwise(0)).alias("orphans"),
@@ -169,19 +176,22 @@ def cross_checks(
 def validate_load(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Every check of every table given: values and cross-checks of a table in one scan.
 
-    The dimension, which every other table meets, is stored first.
+    The dimension, which every other table meets, is stored first.  Its size sets into how many
+    tasks the days of the other tables are dealt, so that a task's share does not grow.
     """
     people = tables.get("subscribers")
     if people is None or missing_columns("subscribers", people):
         return _union([validate_table(name, df) for name, df in tables.items()])
     people = cut(people)
+    least = int(people.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(least, -(-people.count() // SUBSCRIBERS_A_TASK))
     parts = [validate_table("subscribers", people)]
     for name, df in tables.items():
         if name != "subscribers":
             whole = not missing_columns(name, df)
             parts.append(validate_table(name, df, values=False))
             if whole:
-                parts.append(cross_checks(name, df, people, values=True).select(*_COLUMNS))
+                parts.append(cross_checks(name, df, people, values=True, tasks=tasks).select(*_COLUMNS))
     return _union(parts)
 
 
@@ -204,7 +214,9 @@ def summarise(checks: DataFrame) -> DataFrame:
 
 
 def drop_orphans(events: DataFrame, subscribers: DataFrame) -> DataFrame:
-    return events.join(subscribers.select("subscriber_id").distinct(), "subscriber_id", "left_semi")
+    """Without rows of unknown subscribers; ids are hashed, so that events are not sorted."""
+    ids = subscribers.select("subscriber_id").distinct()
+    return events.join(ids.hint("shuffle_hash"), "subscriber_id", "left_semi")
 
 
 def orphan_report(tables: Mapping[str, DataFrame], subscribers: DataFrame) -> DataFrame:
