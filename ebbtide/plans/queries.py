@@ -882,7 +882,7 @@ def raw_logs(spark, sf) -> DataFrame:
     """Lines in the raw export's shape; returned ones have negative time."""
     orders = canonical.read(spark, sf, "orders").select("o_orderkey", "o_custkey")
     lines = canonical.read(spark, sf, "lineitem")
-    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
+    return lines.join(orders.hint("shuffle_hash"), lines.l_orderkey == orders.o_orderkey).select(
         F.col("o_custkey").cast("string").alias("msno"),
         F.date_format("l_shipdate", "yyyyMMdd").alias("date"),
         F.when(F.col("l_returnflag") == "R", -F.col("l_quantity"))

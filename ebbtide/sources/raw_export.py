@@ -76,7 +76,7 @@ def flag_first(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     match = F.col(key) == F.col("_key")
     for c in order:
         match = match & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    flagged = rows.join(first, match, "left")
+    flagged = rows.join(first.hint("shuffle_hash"), match, "left")
     return flagged.select(*rows.columns, F.coalesce("_first", F.lit(False)).alias("is_first"))
 
 
@@ -148,8 +148,11 @@ def build(
     members: DataFrame, transactions: DataFrame, logs: DataFrame,
     sessions_since: date | str | None = None, drop_orphans: bool = True,
 ) -> Warehouse:
-    """All five tables, lazily: nothing runs until they are validated or written."""
-    people = members_to_subscribers(members)
+    """All five tables; events run when they are validated or written.
+
+    The members, which every other table meets, are mapped once and stored.
+    """
+    people = cut(members_to_subscribers(members))
     numbered = transactions_with_ids(transactions)
     tables = [
         transactions_to_events(numbered), logs_to_sessions(logs, sessions_since),
