@@ -615,9 +615,9 @@ def _profile(spark, sf) -> DataFrame:
     return cut(drift.reference_profile(rows, "p"))
 
 
-def _live(spark, sf) -> DataFrame:
+def _live(spark, sf, rows: DataFrame | None = None) -> DataFrame:
     """The test cutoff, with a higher premium fee so that something moves."""
-    rows = snapshot(spark, sf)
+    rows = snapshot(spark, sf) if rows is None else rows
     return linear.CHAMPION.score(rows.withColumn(
         "monthly_fee", F.when(F.col("plan_type") == "premium", F.col("monthly_fee") * 1.5)
         .otherwise(F.col("monthly_fee"))), "p")
@@ -1062,9 +1062,10 @@ def decision_gauges(spark, sf):
 def report_gauges(spark, sf):
     """Decision quality and drift of the test cutoff as gauges, stamped with its day."""
     at = F.lit(f"{TEST} 00:00:00").cast("timestamp_ntz")
+    rows = cut(snapshot(spark, sf))
     quality = training.decision_quality(
-        kept(scored(spark, sf), "plan_type"), THRESHOLD, "plan_type")
-    moved = drift.drift_features(cut(_live(spark, sf)), _profile(spark, sf), "p")
+        kept(_as_scored(rows), "plan_type"), THRESHOLD, "plan_type")
+    moved = drift.drift_features(_live(spark, sf, rows), _profile(spark, sf), "p")
     out = monitoring.decision_samples(quality, at).unionByName(monitoring.psi_samples(moved, at))
     return out.withColumn("value", F.round("value", 6))
 
@@ -1082,13 +1083,14 @@ def report_alerts(spark, sf):
 @query
 def run_report(spark, sf):
     """Gate, drift and fairness of one run, with the reasons to look at it."""
-    test = cut(scored(spark, sf))
+    rows = cut(snapshot(spark, sf))
+    test = _as_scored(rows)
     rankings = classification.ranking_metrics(
         classification.curve(_both_models(test), ["model"]), ["model"])
     gate = classification.promotion_gate(rankings)
     fair = fairness.audit(test, ["plan_type"], THRESHOLD)
     trained = training.training_summary(gate, fair)
-    moved = drift.assess(cut(_live(spark, sf)), _profile(spark, sf), "p").select(
+    moved = drift.assess(_live(spark, sf, rows), _profile(spark, sf), "p").select(
         "available", "overall_verdict", "drifted_features")
     return monitoring.run_report(trained, moved).select(
         "promoted", "promotion_reason", "fairness_passes", "overall_verdict",
@@ -1143,8 +1145,9 @@ def run_history(spark, sf):
 def overview(spark, sf):
     """Warehouse, model and drift on one row."""
     counts = tables.table_counts(canonical.warehouse(spark, sf).tables())
-    quality = classification.evaluate(kept(scored(spark, sf)), THRESHOLD)
-    moved = drift.assess(cut(_live(spark, sf)), _profile(spark, sf), "p")
+    rows = cut(snapshot(spark, sf))
+    quality = classification.evaluate(kept(_as_scored(rows)), THRESHOLD)
+    moved = drift.assess(_live(spark, sf, rows), _profile(spark, sf), "p")
     return training.overview(counts, quality, moved)
 
 
