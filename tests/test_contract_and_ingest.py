@@ -350,3 +350,35 @@ def test_whole_snapshot_cache_leaves_nobody_out(spark, tmp_path):
     whole = made["panel_cutoffs"](spark, sf).groupBy("cutoff").agg({"*": "count", "dropout": "sum"}).collect()
     assert got == {c: n for c, n in {str(r["cutoff"]): (r["count(1)"], r["sum(dropout)"]) for r in whole}.items() if c in got}
     assert len(got) == len(__spark_entry__.registered.CUTOFFS) - 1 and max(n for n, _ in got.values()) > 400
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_days_are_dealt_to_tasks_by_subscribers(spark, monkeypatch):
+    """The days of a table are in memory, so their tasks grow with the subscribers."""
+    people = spark.range(60).select(
+        F.col("id").cast("string").alias("subscriber_id"), F.lit("2020-01-05").cast("date").alias("signup_date"),
+        F.lit("a").alias("acquisition_channel"))
+    sessions = spark.range(600).select(
+        F.col("id").alias("session_id"), (F.col("id") % 70).cast("string").alias("subscriber_id"),
+        (F.lit("2020-01-01").cast("timestamp_ntz") + F.expr("make_dt_interval(cast(id % 9 as int))")).alias("occurred_at"),
+        F.lit(1.0).alias("duration_minutes"))
+    plain = contract.validate_load({"subscribers": people, "sessions": sessions}).collect()
+    monkeypatch.setattr(contract, "SUBSCRIBERS_A_TASK", 3)
+    dealt = contract.validate_load({"subscribers": people, "sessions": sessions})
+    assert "hashpartitioning(subscriber_id" in _plan(dealt) and ", 20), REPARTITION_BY_NUM" in _plan(dealt)
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, plain))
+
+
+def test_members_are_mapped_once_and_no_rows_are_sorted_for_joins(spark):
+    members = spark.createDataFrame([("a", 3, "20200101"), ("b", 4, "20200102")], ["msno", "registered_via", "registration_init_time"])
+    paid = spark.createDataFrame(
+        [("a", 30, 10.0, 10.0, 1, "20200103", 0), ("x", 30, 10.0, 10.0, 1, "20200104", 0)],
+        ["msno", "payment_plan_days", "plan_list_price", "actual_amount_paid", "is_auto_renew", "transaction_date", "is_cancel"])
+    logs = spark.createDataFrame([("a", "20200103", 60.0), ("x", "20200103", 60.0)], ["msno", "date", "total_secs"])
+    wh = raw_export.build(members, paid, logs)
+    assert "Scan ExistingRDD" in _plan(wh.subscribers)
+    for table in (wh.subscription_events, wh.sessions, wh.payments):
+        assert "SortMergeJoin" not in _plan(table) and [r.subscriber_id for r in table.collect()] == ["a"]

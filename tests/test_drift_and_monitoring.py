@@ -343,3 +343,29 @@ def test_run_history_is_newest_first(spark):
     assert [r.version for r in found] == [3, 2]
     assert found[1].aliases == ["champion", "stable"] and found[1].metrics == {"test_f1": 0.5}
     assert found[0].aliases == []
+
+
+def test_reports_make_the_snapshot_once(spark, monkeypatch):
+    """Scores and drift of a report come from one stored snapshot."""
+    from ebbtide.plans import queries
+
+    calls = []
+    base = spark.range(400).select(
+        F.col("id").cast("string").alias("subscriber_id"), F.lit("2000-01-01").alias("cutoff"),
+        (F.col("id") + 10).cast("int").alias("tenure_days"),
+        F.get(F.array(F.lit("basic"), F.lit("premium")), (F.col("id") % 2).cast("int")).alias("plan_type"),
+        (F.col("id") * 1.0).alias("monthly_fee"), (F.col("id") % 7).cast("double").alias("avg_session_count_last_30d"),
+        *[(F.col("id") % n).cast("int").alias(c) for n, c in (
+            (9, "last_activity_days_ago"), (3, "support_tickets_last_90d"), (4, "payment_failures_last_6m"), (5, "discounts_used_last_6m"))],
+        (F.col("id") % 2 == 0).alias("is_auto_renew_enabled"), (F.col("id") % 3 == 0).cast("int").alias("dropout"))
+
+    def snapshot(*a, **k):
+        calls.append(a)
+        return base
+
+    monkeypatch.setattr(queries, "snapshot", snapshot)
+    monkeypatch.setattr(queries, "panel", lambda *a, **k: base)
+    for name in ("run_report", "report_gauges"):
+        calls.clear()
+        assert queries.QUERIES[name](spark, "none").count() > 0
+        assert len(calls) == 1

@@ -295,3 +295,16 @@ def test_tree_contributions(spark, tmp_path):
             want, base = want + part, base + start
         assert r.base == pytest.approx(base, abs=1e-9)
         assert [r.contributions[n] for n in names] == pytest.approx(want.tolist(), abs=1e-9)
+
+
+def test_days_are_counted_in_as_many_tasks_as_buckets(spark):
+    """Rows are dealt once before they are counted: no second shuffle, and a busy subscriber spreads over days."""
+    rows = spark.range(400).select(
+        (F.col("id") - F.col("id") % 400).cast("string").alias("subscriber_id"), (F.lit("2020-01-01").cast("timestamp_ntz") + F.expr("make_dt_interval(cast(id % 40 as int))")).alias("occurred_at"),
+        F.lit(None).cast("timestamp_ntz").alias("seen"), *[F.lit(1).cast("bigint").alias(c) for c in ("sessions", "failures", "discounts", "tickets")])
+    wh = Warehouse(None, None, None, None, None, rows)
+    dealt = store.daily_activity(wh, tasks=16)
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and ", 16), REPARTITION_BY_NUM" in plan
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, store.daily_activity(wh).collect()))
+    assert dealt.count() == 40 and dealt.agg(F.sum("sessions")).first()[0] == 400
