@@ -192,15 +192,15 @@ def _cell(d: Column) -> Column:
     return F.floor(F.log2(d + 1e-6) * CELLS).cast("int")
 
 
-def _cell_at(cells: DataFrame, by: list[str], part: float) -> DataFrame:
-    """Per group the first cell with at least ``part`` of the rows up to it."""
+def _cell_at(cells: DataFrame, by: list[str], part: float, *keep: Column) -> DataFrame:
+    """Per group the first cell with at least ``part`` of the rows up to it, and aggregates to ``keep``."""
     from pyspark.sql import Window
 
     w = Window.partitionBy(*by).orderBy("cell")
     total = F.sum("n").over(Window.partitionBy(*by))
     return (
         cells.withColumn("up_to", F.sum("n").over(w)).withColumn("total", total)
-        .where(F.col("up_to") >= part * F.col("total")).groupBy(*by).agg(F.min("cell").alias("limit_cell"))
+        .where(F.col("up_to") >= part * F.col("total")).groupBy(*by).agg(F.min("cell").alias("limit_cell"), *keep)
     )
 
 
@@ -212,20 +212,22 @@ def _joined(rows: DataFrame, groups: DataFrame, by: list[str]) -> DataFrame:
 
 
 def robust_estimates(vectors: DataFrame, by: list[str]) -> DataFrame:
-    """Minimum-covariance-determinant centre and inverse covariance for groups of LEAST_ROWS or more.
+    """Minimum-covariance-determinant centre, inverse covariance and scale for groups of LEAST_ROWS or more.
 
-    ``vectors`` has ``by`` and ``x`` and is read at each step.
+    ``vectors`` has ``by`` and ``x`` and is read twice at each step. What a step finds per group is
+    stored, so its size is known when it meets the rows: they are not shuffled to meet a small table,
+    and the driver's plans do not grow with the steps.
     """
-    large = vectors.groupBy(*by).agg(F.count("*").alias("rows")).where(F.col("rows") >= LEAST_ROWS)
     p = len(STATISTICS)
     # The start: medians and deviations from them, statistic by statistic, on a fixed grid.
     one = vectors.select(*by, F.posexplode("x").alias("i", "v"))
-    grid = one.groupBy(*by, "i", F.round(F.col("v") * 1000).cast("int").alias("cell")).agg(F.count("*").alias("n"))
+    grid = stored(one.groupBy(*by, "i", F.round(F.col("v") * 1000).cast("int").alias("cell")).agg(F.count("*").alias("n")), "grid")
+    large = grid.where("i = 0").groupBy(*by).agg(F.sum("n").alias("rows")).where(F.col("rows") >= LEAST_ROWS)
     middle = _cell_at(grid, [*by, "i"], 0.5).withColumnRenamed("limit_cell", "middle")
     spread = _joined(grid, middle, [*by, "i"]).groupBy(*by, "i", F.abs(F.col("cell") - F.col("middle")).alias("cell")).agg(
-        F.sum("n").alias("n"))
-    wide = _cell_at(spread, [*by, "i"], 0.5)
-    start = _joined(middle, wide, [*by, "i"]).groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(
+        F.sum("n").alias("n"), F.first("middle").alias("middle"))
+    # One ``middle`` a group and statistic, so it is its own smallest.
+    start = _cell_at(spread, [*by, "i"], 0.5, F.min("middle").alias("middle")).groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(
         "i", (F.col("middle") / 1000).alias("m"), (F.col("limit_cell") / 1000 * 1.4826).alias("s")))).alias("e"))
     floor = F.array(*map(F.lit, FLOOR))
     variance = F.transform("e", lambda e: e["s"] * e["s"] + F.get(floor, e["i"]))
@@ -236,12 +238,18 @@ def robust_estimates(vectors: DataFrame, by: list[str]) -> DataFrame:
         F.lit(math.inf).alias("logdet"),
     )
     now = stored(now, "estimates")
+    dropped(grid)
+
+    def with_cell(part: float) -> DataFrame:
+        """``now`` with the distance that ``part`` of each group's rows lie within."""
+        cells = _joined(vectors, now, by).select(*by, _cell(_distance()).alias("cell")).groupBy(*by, "cell").agg(F.count("*").alias("n"))
+        return stored(_joined(_cell_at(cells, by, part), now, by), "limits")
+
     for _ in range(STEPS):
-        near = _joined(vectors, now, by).select(*by, "x", _cell(_distance()).alias("cell"))
-        limit = _cell_at(near.groupBy(*by, "cell").agg(F.count("*").alias("n")), by, SUPPORT)
-        inside = _joined(near, limit, by).withColumn("inside", F.col("cell") <= F.col("limit_cell"))
+        limits = with_cell(SUPPORT)
+        inside = _joined(vectors, limits.drop("logdet"), by).select(*by, "x", (_cell(_distance()) <= F.col("limit_cell")).alias("inside"))
         new = _estimates(_moments(inside, by), by)
-        both = _joined(new, now.select(*by, F.col("centre").alias("c0"), F.col("inverse").alias("i0"), F.col("logdet").alias("l0")), by)
+        both = _joined(new, limits.select(*by, F.col("centre").alias("c0"), F.col("inverse").alias("i0"), F.col("logdet").alias("l0")), by)
         better = F.col("logdet") < F.col("l0") - 1e-9
         after = stored(both.select(
             *by, F.when(better, F.col("centre")).otherwise(F.col("c0")).alias("centre"),
@@ -249,17 +257,17 @@ def robust_estimates(vectors: DataFrame, by: list[str]) -> DataFrame:
             F.least("logdet", "l0").alias("logdet"), better.alias("moved"),
         ), "estimates")
         moved = after.where("moved").limit(1).count()
-        dropped(now)
+        dropped(now, limits)
         now = after.drop("moved")
         now._stored_at = after._stored_at
         if not moved:
             break
     # Scale: the median row lies where the chi-square distribution has its median.
-    near = _joined(vectors, now, by).select(*by, _cell(_distance()).alias("cell"))
-    half = _cell_at(near.groupBy(*by, "cell").agg(F.count("*").alias("n")), by, 0.5)
     median = F.greatest(F.pow(F.lit(2.0), (F.col("limit_cell") + 1) / CELLS), F.lit(1e-6))
     scale = F.greatest(median / chi_square(0.5, p), F.lit(1.0))
-    return _joined(now, half, by).select(*by, "centre", "inverse", scale.alias("scale"))
+    found = with_cell(0.5)
+    dropped(now)
+    return found.select(*by, "centre", "inverse", scale.alias("scale"))
 
 
 def chi_square(upper: float, degrees: int) -> float:
@@ -289,10 +297,14 @@ def chi_square(upper: float, degrees: int) -> float:
 def judged(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """Counts, ``base_failed``, the scaled ``distance`` (null: no estimate) and ``kept`` per row."""
     rows = stored(statistics(docs, text, key), "statistics")
-    vectors = rows.select("lang", "source", "x")
-    fine = robust_estimates(vectors, ["lang", "source"])
-    coarse = robust_estimates(vectors.select("lang", "x"), ["lang"])
-    whole = robust_estimates(vectors.select(F.lit(1).alias("all_rows"), "x"), ["all_rows"])
+    # Each row counts in three groups: its language and source, its language, all rows.
+    none = F.lit(None).cast("string")
+    levels = F.array(*[
+        F.struct(F.lit(i).alias("level"), lang.alias("lang"), source.alias("source"))
+        for i, (lang, source) in enumerate(((F.col("lang"), F.col("source")), (F.col("lang"), none), (none, none)))
+    ])
+    groups = robust_estimates(rows.select(F.explode(levels).alias("g"), "x").select("g.*", "x"), ["level", "lang", "source"])
+    fine, coarse, whole = (groups.where(F.col("level") == i) for i in range(3))
     with_fine = rows.join(
         fine.select(F.col("lang").alias("l1"), F.col("source").alias("s1"), "centre", "inverse", "scale"),
         F.col("lang").eqNullSafe(F.col("l1")) & F.col("source").eqNullSafe(F.col("s1")), "left",
@@ -300,9 +312,9 @@ def judged(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
     with_both = with_fine.join(
         coarse.select(F.col("lang").alias("l2"), *[F.col(c).alias(f"{c}2") for c in ("centre", "inverse", "scale")]),
         F.col("lang").eqNullSafe(F.col("l2")), "left",
-    ).withColumn("all_rows", F.lit(1)).join(
+    ).withColumn("all_rows", F.lit(2)).join(
         # One row.
-        F.broadcast(whole.select("all_rows", *[F.col(c).alias(f"{c}3") for c in ("centre", "inverse", "scale")])), "all_rows", "left")
+        F.broadcast(whole.select(F.col("level").alias("all_rows"), *[F.col(c).alias(f"{c}3") for c in ("centre", "inverse", "scale")])), "all_rows", "left")
     chosen = with_both.select(
         "doc_id", "version", *COUNTS, "base_failed", "x",
         *[F.coalesce(c, f"{c}2", f"{c}3").alias(c) for c in ("centre", "inverse", "scale")],

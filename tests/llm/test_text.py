@@ -314,6 +314,11 @@ def test_quality_of_odd_tables(odd_docs, no_docs):
     assert outliers.judged(no_docs).count() == 0
 
 
+def test_rows_meet_stored_estimates(odd_docs):
+    plan = outliers.judged(odd_docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") <= 3 and "Window" not in plan and "Aggregate" not in plan
+
+
 # Near-duplicates -----------------------------------------------------------------------
 
 def test_golay_indices_meet_within_two_errors():
