@@ -22,6 +22,7 @@ import base64
 import hashlib
 import heapq
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +38,8 @@ from ebbtide.llm.common import CUTS, LONG_PART, ODD_SPACE, read_text, stored_buc
 
 #: Characters of text per block.
 BLOCK_CHARS = 12 << 20
+#: Characters of text whose words are found together.
+SLICE_CHARS = 3 << 20
 #: Parts whose words one Python worker remembers from block to block.
 MEMO = 200_000
 #: Longest word, in bytes, that is folded: beyond it the fold takes many times the heap's time.
@@ -45,6 +48,7 @@ LONG_WORD = 12
 #: since Spark searches a map from end to end.
 MAP_PARTS = 16_384
 NO_RANK = 2**31 - 1
+ANY_SPACE = re.compile(r"\s")
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -198,6 +202,60 @@ def _unpacked_words(raw: bytes) -> list[str]:
     return [data[a:b].decode() for a, b in zip([4 * (n + 1), *ends], ends)]
 
 
+def _ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Positions ``start[i]`` to ``start[i] + size[i]`` of every i, one after another."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+
+
+def word_numbers(texts: pa.Array, find, codes: dict[str, int]) -> list[np.ndarray | None]:
+    """Each text as numbers of its words in ``codes``, which takes new words; None: not such a text.
+
+    For texts whose only white space is single spaces and line breaks, each between other characters.
+    No match of the pattern crosses the place before such a space, nor either side of such a break, so
+    distinct parts between them are split once, all of them in one text, with line breaks between.
+    """
+    lines = pc.split_pattern(pc.fill_null(texts, ""), "\n")
+    words = pc.split_pattern(lines.flatten(), " ")
+    found = words.flatten().dictionary_encode()
+    distinct, code = found.dictionary.to_pylist(), found.indices.to_numpy()
+    line_ends, ends = words.offsets.to_numpy(), lines.offsets.to_numpy()
+    first = line_ends[:-1]  # every line has a word, if an empty one
+    doc_ends = line_ends[ends]
+    spaced = ANY_SPACE.search("".join(distinct)) is not None  # rare
+    odd = np.array([not w or (spaced and ANY_SPACE.search(w) is not None) for w in distinct], bool)
+    plain = ~np.logical_or.reduceat(odd[code], doc_ends[:-1]) if len(texts) else np.zeros(0, bool)
+    # A word is led by a space, or else begins a line.
+    led = np.ones(len(code), bool)
+    led[first] = False
+    breaks = np.zeros(len(code), bool)
+    breaks[first] = True
+    breaks[doc_ends[:-1]] = False
+    mine = np.repeat(plain, np.diff(doc_ends))
+    key = (code.astype(np.int64) * 2 + led)[mine]
+    there = np.zeros(2 * len(distinct), bool)
+    there[key] = True
+    keys = np.flatnonzero(there)
+    if not len(keys):
+        return [None] * len(texts)
+    split = find("\n".join([(" " if k & 1 else "") + distinct[k >> 1] for k in keys.tolist()]))
+    flat = np.array([-1 if w == "\n" else codes.setdefault(w, len(codes)) for w in split] + [-1], np.int64)
+    stops = np.flatnonzero(flat < 0)
+    size = np.diff(stops, prepend=-1) - 1
+    start = stops - size
+    if breaks[mine].any():  # the last part: a line break
+        flat[-1] = codes.setdefault("\n", len(codes))
+        size, start = np.append(size, 1), np.append(start, len(flat) - 1)
+    at = np.arange(len(key)) + np.cumsum(breaks[mine])
+    parts = np.full(len(key) + int(breaks[mine].sum()), len(size) - 1)
+    parts[at] = (np.cumsum(there) - 1)[key]
+    numbers = flat[_ragged(start[parts], size[parts])].astype("<u4")
+    # Where each text's parts and numbers end; the break before its next line is its own.
+    last = np.cumsum(np.diff(doc_ends)[plain]) - 1
+    cuts = np.cumsum(size[parts])[at[last]][:-1]
+    own = iter(np.split(numbers, cuts))
+    return [next(own) if p else None for p in plain.tolist()]
+
+
 def _split(docs: DataFrame, pattern: str, buckets: int, text: str, key: str) -> DataFrame:
     """Blocks of text as three kinds of rows.
 
@@ -254,17 +312,22 @@ def _split(docs: DataFrame, pattern: str, buckets: int, text: str, key: str) ->
                     yield rows("word", [None], [_packed_words([every[i] for i in own.tolist()])], [int(bucket[own[0]])])
 
         for batch in batches:
-            keys, raws = [], []
-            for doc, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                x = x or ""
-                if size and size + len(x) > BLOCK_CHARS:
-                    yield rows("doc", keys, raws, [None] * len(keys))
+            texts = pc.fill_null(batch.column(1), "")
+            lengths, every = pc.utf8_length(texts).to_pylist(), batch.column(0).to_pylist()
+            at = 0
+            while at < len(every):
+                if size and size + lengths[at] > BLOCK_CHARS:
                     yield from words()
-                    keys, raws, codes, parts, size, block = [], [], {}, {}, 0, block + 1
-                size += len(x)
-                keys.append(doc)
-                raws.append(_packed(document(x)))
-            yield rows("doc", keys, raws, [None] * len(keys))
+                    codes, parts, size, block = {}, {}, 0, block + 1
+                end, before = at, size
+                while end < len(every) and (end == at or size + lengths[end] <= min(BLOCK_CHARS, before + SLICE_CHARS)):
+                    size += lengths[end]
+                    end += 1
+                some = texts.slice(at, end - at)
+                numbers = word_numbers(some, find, codes)
+                raws = [_packed(document(some[i].as_py()) if x is None else x) for i, x in enumerate(numbers)]
+                yield rows("doc", every[at:end], raws, [None] * len(raws))
+                at = end
         if size or codes:
             yield from words()
 
@@ -335,9 +398,7 @@ def _encoded_buckets(words: DataFrame, ranks: dict[bytes, int], buckets: int) ->
                 out = []
                 for raw in lists_in.column(3).to_pylist():
                     own = _unpacked(raw)
-                    n = size[own]
-                    pick = np.repeat(start[own] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
-                    out.append((_packed(n), _packed(values[pick])))
+                    out.append((_packed(size[own]), _packed(values[_ragged(start[own], size[own])])))
                 yield pa.RecordBatch.from_arrays([
                     lists_in.column(1), lists_in.column(2), pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.binary()),
                 ], names=["block", "bucket", "sizes", "ids"])
@@ -358,33 +419,38 @@ def encode(
     parts = stored_buckets(_split(docs, pattern, buckets, text, key), "words", "kind", "block", buckets)
     words = _encoded_buckets(parts.where("kind = 'word'"), ranks, buckets)
     whole = parts.where("kind != 'word'").select("block", "doc_id", "raw", (F.col("kind") == "doc").alias("is_doc"))
-    pieces = {rank: piece for piece, rank in ranks.items()}
+    pieces: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
+    for piece, rank in ranks.items():
+        pieces[rank] = piece
+
+    def joined(sizes: np.ndarray, values: pa.Array, mark: bytes) -> pa.Array:
+        """Runs of ``values``, ``sizes`` long, with ``mark`` between."""
+        ends = pa.array(np.r_[0, np.cumsum(sizes)], pa.int64())
+        return pc.binary_join(pa.LargeListArray.from_arrays(ends, values), pa.scalar(mark, values.type))
 
     def join(own: pd.DataFrame, words_in: pd.DataFrame) -> pd.DataFrame:
         docs_in = own[own["is_doc"]]
         bucket = np.concatenate([np.zeros(0, "<u4"), *map(_unpacked, own["raw"][~own["is_doc"]])])
-        ids: list = [None] * len(bucket)
-        by_bucket = np.argsort(bucket, kind="stable")
-        first = np.searchsorted(bucket[by_bucket], words_in["bucket"].to_numpy())
-        for at, raw_sizes, raw in zip(first.tolist(), words_in["sizes"], words_in["ids"], strict=True):
-            sizes = _unpacked(raw_sizes)
-            for code, value in zip(by_bucket[at:at + len(sizes)].tolist(), np.split(_unpacked(raw), np.cumsum(sizes)[:-1]), strict=True):
-                ids[code] = value
+        # Words come bucket by bucket; ``place`` is a word's place among them.
+        place = np.empty(len(bucket), np.int64)
+        place[np.argsort(bucket, kind="stable")] = np.arange(len(bucket))
+        words_in = words_in.sort_values("bucket")
+        size = np.concatenate([np.zeros(0, np.int64), *map(_unpacked, words_in["sizes"])]).astype(np.int64)
+        ids = np.concatenate([np.zeros(0, "<u4"), *map(_unpacked, words_in["ids"])]).astype(np.int64)
+        start = np.cumsum(size) - size
         if digests:
-            number = [len(x) for x in ids]
-            written = [",".join(map(str, x.tolist())) for x in ids]
-            decoded = [b"".join([pieces[i] for i in x.tolist()]) for x in ids]
+            written = joined(size, pc.cast(pc.cast(pa.array(ids), pa.string()), pa.large_binary()), b",")
+            decoded = joined(size, pa.array(pieces, pa.large_binary()).take(pa.array(ids)), b"")
         out = []
         for raw in docs_in["raw"]:
-            code = _unpacked(raw).tolist()
+            code = place[_unpacked(raw)]
             if digests:
-                out.append((
-                    sum([number[i] for i in code]),
-                    hashlib.sha256(",".join([written[i] for i in code]).encode()).hexdigest(),
-                    hashlib.sha256(b"".join([decoded[i] for i in code])).hexdigest(),
-                ))
+                pick, whole = pa.array(code), np.array([len(code)])
+                out.append((int(size[code].sum()), *[
+                    hashlib.sha256(joined(whole, x.take(pick), mark)[0].as_buffer()).hexdigest() for x, mark in ((written, b","), (decoded, b""))
+                ]))
             else:
-                out.append((np.concatenate([ids[i] for i in code]).astype("int32") if code else np.zeros(0, "int32"),))
+                out.append((ids[_ragged(start[code], size[code])].astype("int32"),))
         names = ["n_tokens", "ids_sha256", "decoded_sha256"] if digests else ["ids"]
         result = pd.DataFrame(out, columns=names)
         result.insert(0, "doc_id", docs_in["doc_id"].astype("Int64").to_numpy())

@@ -2,12 +2,15 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+import regex
 import tiktoken
 from tokenizers import Tokenizer
 
@@ -106,6 +109,22 @@ def test_bpe_of_nothing(no_docs):
     assert bpe.encode(no_docs, ranks(), public_tokenizers.PATTERN).count() == 0
 
 
+def test_words_of_plain_texts_are_found_together():
+    find, r = regex.compile(public_tokenizers.PATTERN).findall, random.Random(8)
+    some = ["a", "B", "don't", "42", "!", "x.", "é", "日本", "'s", " ", " ", "\n", "\n", "\t", "\u3000", "\x1c", "\xa0"]
+    for _ in range(300):
+        texts = [None if r.random() < 0.1 else "".join(r.choice(some) for _ in range(r.randint(0, 9))) for _ in range(r.randint(0, 6))]
+        codes = {}
+        got = bpe.word_numbers(pa.array(texts, pa.string()), find, codes)
+        words = list(codes)
+        for text, numbers in zip(texts, got, strict=True):
+            if re.search(r"[^\S \n]|\s\s|^\s|\s\Z|^\Z", text or ""):
+                assert numbers is None, text
+            else:
+                assert [words[i] for i in numbers.tolist()] == find(text), text
+    assert bpe.word_numbers(pa.array(["b a\nb"]), find, {}) is not None
+
+
 def one_by_one(lengths, capacity):
     """Best-fit decreasing, a piece at a time over a plain list."""
     room = []
