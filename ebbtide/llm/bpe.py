@@ -38,8 +38,8 @@ from ebbtide.llm.common import CUTS, LONG_PART, ODD_SPACE, read_text, stored_buc
 
 #: Characters of text per block.
 BLOCK_CHARS = 12 << 20
-#: Characters of text whose words are found together.
-SLICE_CHARS = 3 << 20
+#: Words whose numbers are looked up together.
+SOME_WORDS = 1 << 17
 #: Parts whose words one Python worker remembers from block to block.
 MEMO = 200_000
 #: Longest word, in bytes, that is folded: beyond it the fold takes many times the heap's time.
@@ -231,9 +231,9 @@ def word_numbers(texts: pa.Array, find, codes: dict[str, int]) -> list[np.ndarra
     breaks[first] = True
     breaks[doc_ends[:-1]] = False
     mine = np.repeat(plain, np.diff(doc_ends))
-    key = (code.astype(np.int64) * 2 + led)[mine]
+    key = code * 2 + led
     there = np.zeros(2 * len(distinct), bool)
-    there[key] = True
+    there[key[mine]] = True
     keys = np.flatnonzero(there)
     if not len(keys):
         return [None] * len(texts)
@@ -241,19 +241,24 @@ def word_numbers(texts: pa.Array, find, codes: dict[str, int]) -> list[np.ndarra
     flat = np.array([-1 if w == "\n" else codes.setdefault(w, len(codes)) for w in split] + [-1], np.int64)
     stops = np.flatnonzero(flat < 0)
     size = np.diff(stops, prepend=-1) - 1
-    start = stops - size
+    start, rank = stops - size, np.cumsum(there) - 1
     if breaks[mine].any():  # the last part: a line break
         flat[-1] = codes.setdefault("\n", len(codes))
         size, start = np.append(size, 1), np.append(start, len(flat) - 1)
-    at = np.arange(len(key)) + np.cumsum(breaks[mine])
-    parts = np.full(len(key) + int(breaks[mine].sum()), len(size) - 1)
-    parts[at] = (np.cumsum(there) - 1)[key]
-    numbers = flat[_ragged(start[parts], size[parts])].astype("<u4")
-    # Where each text's parts and numbers end; the break before its next line is its own.
-    last = np.cumsum(np.diff(doc_ends)[plain]) - 1
-    cuts = np.cumsum(size[parts])[at[last]][:-1]
-    own = iter(np.split(numbers, cuts))
-    return [next(own) if p else None for p in plain.tolist()]
+    flat, out = flat.astype("<u4"), []
+    begin = np.flatnonzero(np.diff(doc_ends[:-1] // SOME_WORDS, prepend=-1)).tolist()
+    for a, b in zip(begin, [*begin[1:], len(texts)], strict=True):
+        own = slice(doc_ends[a], doc_ends[b])
+        broken = breaks[own][mine[own]]
+        at = np.arange(len(broken)) + np.cumsum(broken)
+        parts = np.full(len(broken) + int(broken.sum()), len(size) - 1)
+        parts[at] = rank[key[own][mine[own]]]
+        # A text ends with its last word: the break before the next line is that text's own.
+        last = np.cumsum(np.diff(doc_ends[a:b + 1])[plain[a:b]]) - 1
+        numbers = np.split(flat[_ragged(start[parts], size[parts])], np.cumsum(size[parts])[at[last]][:-1])
+        each = iter(numbers)
+        out += [next(each) if p else None for p in plain[a:b].tolist()]
+    return out
 
 
 def _split(docs: DataFrame, pattern: str, buckets: int, text: str, key: str) -> DataFrame:
@@ -319,8 +324,8 @@ def _split(docs: DataFrame, pattern: str, buckets: int, text: str, key: str) ->
                 if size and size + lengths[at] > BLOCK_CHARS:
                     yield from words()
                     codes, parts, size, block = {}, {}, 0, block + 1
-                end, before = at, size
-                while end < len(every) and (end == at or size + lengths[end] <= min(BLOCK_CHARS, before + SLICE_CHARS)):
+                end = at
+                while end < len(every) and (not size or size + lengths[end] <= BLOCK_CHARS):
                     size += lengths[end]
                     end += 1
                 some = texts.slice(at, end - at)

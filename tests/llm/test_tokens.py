@@ -109,7 +109,9 @@ def test_bpe_of_nothing(no_docs):
     assert bpe.encode(no_docs, ranks(), public_tokenizers.PATTERN).count() == 0
 
 
-def test_words_of_plain_texts_are_found_together():
+@pytest.mark.parametrize("some_words", [1 << 17, 3])
+def test_words_of_plain_texts_are_found_together(monkeypatch, some_words):
+    monkeypatch.setattr(bpe, "SOME_WORDS", some_words)
     find, r = regex.compile(public_tokenizers.PATTERN).findall, random.Random(8)
     some = ["a", "B", "don't", "42", "!", "x.", "é", "日本", "'s", " ", " ", "\n", "\n", "\t", "\u3000", "\x1c", "\xa0"]
     for _ in range(300):
