@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import CUTS, LONG_PART, ODD_SPACE, read_text, stored_buckets
+from ebbtide.llm.common import CUTS, LONG_PART, ODD_SPACE, give_back, giving_back, read_text, stored_buckets
 
 #: Characters of text per block.
 BLOCK_CHARS = 12 << 20
@@ -324,6 +324,7 @@ def _split(docs: DataFrame, pattern: str, buckets: int, text: str, key: str) ->
                 if size and size + lengths[at] > BLOCK_CHARS:
                     yield from words()
                     codes, parts, size, block = {}, {}, 0, block + 1
+                    give_back()
                 end = at
                 while end < len(every) and (not size or size + lengths[end] <= BLOCK_CHARS):
                     size += lengths[end]
@@ -331,13 +332,17 @@ def _split(docs: DataFrame, pattern: str, buckets: int, text: str, key: str) ->
                 some = texts.slice(at, end - at)
                 numbers = word_numbers(some, find, codes)
                 raws = [_packed(document(some[i].as_py()) if x is None else x) for i, x in enumerate(numbers)]
-                yield rows("doc", every[at:end], raws, [None] * len(raws))
+                made = rows("doc", every[at:end], raws, [None] * len(raws))
+                del some, numbers, raws
+                yield made
+                del made
                 at = end
         if size or codes:
             yield from words()
 
     schema = "kind string, block long, bucket int, doc_id long, raw binary"
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(split, schema)
+    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(
+        lambda batches: giving_back(split(batches)), schema)
 
 
 SPLIT = pa.schema([("kind", pa.string()), ("block", pa.int64()), ("bucket", pa.int32()), ("doc_id", pa.int64()), ("raw", pa.binary())])
@@ -409,9 +414,10 @@ def _encoded_buckets(words: DataFrame, ranks: dict[bytes, int], buckets: int) ->
                 ], names=["block", "bucket", "sizes", "ids"])
 
     spread = words.select("block", "bucket", "raw").repartition(buckets, "bucket")  # a bucket a task: not merged
-    rows = spread.mapInArrow(distinct, "word string, long_ids array<int>, block long, bucket int, numbers binary")
+    rows = spread.mapInArrow(
+        lambda batches: giving_back(distinct(batches)), "word string, long_ids array<int>, block long, bucket int, numbers binary")
     folded = rows.select(F.coalesce("long_ids", fold_merges(F.col("word"), rank_literal(ranks))).alias("ids"), "block", "bucket", "numbers")
-    return folded.mapInArrow(answered, "block long, bucket int, sizes binary, ids binary")
+    return folded.mapInArrow(lambda batches: giving_back(answered(batches)), "block long, bucket int, sizes binary, ids binary")
 
 
 def encode(
@@ -433,7 +439,7 @@ def encode(
         ends = pa.array(np.r_[0, np.cumsum(sizes)], pa.int64())
         return pc.binary_join(pa.LargeListArray.from_arrays(ends, values), pa.scalar(mark, values.type))
 
-    def join(own: pd.DataFrame, words_in: pd.DataFrame) -> pd.DataFrame:
+    def whole_block(own: pd.DataFrame, words_in: pd.DataFrame) -> pd.DataFrame:
         docs_in = own[own["is_doc"]]
         bucket = np.concatenate([np.zeros(0, "<u4"), *map(_unpacked, own["raw"][~own["is_doc"]])])
         # Words come bucket by bucket; ``place`` is a word's place among them.
@@ -461,6 +467,11 @@ def encode(
         result.insert(0, "doc_id", docs_in["doc_id"].astype("Int64").to_numpy())
         return result
 
+    def join(own: pd.DataFrame, words_in: pd.DataFrame) -> pd.DataFrame:
+        result = whole_block(own, words_in)
+        give_back()
+        return result
+
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "doc_id long, ids array<int>"
     return whole.groupBy("block").cogroup(words.groupBy("block")).applyInPandas(join, schema)
 

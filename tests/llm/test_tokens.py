@@ -1,10 +1,12 @@
 """Token shards with their index, BPE by folding, and packing."""
 
 import hashlib
+import multiprocessing
 import random
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -127,6 +129,39 @@ def test_words_of_plain_texts_are_found_together(monkeypatch, some_words):
     assert bpe.word_numbers(pa.array(["b a\nb"]), find, {}) is not None
 
 
+def test_a_split_leaves_no_memory_with_its_worker(spark, monkeypatch):
+    """Idle workers stay on their executor: what 24 MB of text took is given back to the system at the end."""
+    docs, seen, r = spark.createDataFrame([(1, "a")], "doc_id long, text string"), [], random.Random(6)
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, schema: seen.append(f) or self)
+    monkeypatch.setattr(bpe, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    bpe._split(docs, public_tokenizers.PATTERN, 4, "text", "doc_id")
+
+    def held_mb():
+        with open("/proc/self/status") as f:
+            return int(re.search(r"RssAnon:\s+(\d+)", f.read())[1]) / 1024
+
+    def made():
+        words = ["".join(r.choices("abeinorst", k=r.randint(2, 12))) for _ in range(200_000)]
+        for at in range(2):
+            texts = [" ".join(r.choices(words, k=500)) for _ in range(3000)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(3000)), pa.array(texts, pa.string())], names=["doc_id", "text"])
+
+    def measured(queue):
+        batches = list(made())
+        before, kinds = held_mb(), Counter()
+        for batch in seen[0](iter(batches)):
+            kinds.update(batch.column(0).to_pylist())
+        queue.put((kinds["doc"], held_mb() - before))
+
+    fork = multiprocessing.get_context("fork")
+    queue = fork.Queue()
+    child = fork.Process(target=measured, args=(queue,))
+    child.start()
+    n_docs, more = queue.get(timeout=120)
+    child.join()
+    assert n_docs == 6000 and more < 40, more
+
+
 def one_by_one(lengths, capacity):
     """Best-fit decreasing, a piece at a time over a plain list."""
     room = []
