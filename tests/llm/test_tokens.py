@@ -159,7 +159,7 @@ def test_a_split_leaves_no_memory_with_its_worker(spark, monkeypatch):
     child.start()
     n_docs, more = queue.get(timeout=120)
     child.join()
-    assert n_docs == 6000 and more < 40, more
+    assert n_docs == 6000 and more < 20, more
 
 
 def one_by_one(lengths, capacity):
