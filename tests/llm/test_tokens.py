@@ -1,6 +1,7 @@
 """Token shards with their index, BPE by folding, and packing."""
 
 import hashlib
+import json
 import multiprocessing
 import random
 import re
@@ -17,7 +18,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from ebbtide.llm import bpe, packing, token_store
-from ebbtide.llm.common import encoder, read_text
+from ebbtide.llm.common import ChunkEncoder, by_letters, encoder, read_text
 
 FILES = {"words": "word_bpe_49k.json", "spaced": "byte_bpe_50k.json"}
 
@@ -39,6 +40,49 @@ def test_parts_give_the_ids_of_whole_texts(chunks):
     assert got == whole(FILES[chunks], texts)
 
 
+def words_encoder():
+    return ChunkEncoder(read_text(public_tokenizers.path(FILES["words"])), "words")
+
+
+def test_word_parts_of_latin_texts_give_the_ids_of_whole_texts():
+    r, own = random.Random(4), words_encoder()
+    bits = [*"aeJjßéÈöÿÅ×÷İıǅȳɏɐµª1", "\u0301", "\u030c", "\u0307", "\u212a", "\u212b", "\x1d", "\xa0", "\u3000", "\0"]
+    bits += [*"  \n\t\r\x0b\x0c", "'s", "'", ",", ".", "!!", "###", "<|endoftext|>", "w", "word"]
+    texts = ["".join(r.choice(bits) for _ in range(r.randint(0, 12))) for _ in range(20_000)] + ["\n", "", " ,", "é,", "É"]
+    assert [np.frombuffer(x, own.dtype).tolist() for x in own.encode(texts)] == whole(FILES["words"], texts)
+    for few in ([], [""], [" ", ""], ["\xa0"], ["\u3000", "\xa0 \xa0"]):
+        assert [np.frombuffer(x, own.dtype).tolist() for x in own.encode(few)] == whole(FILES["words"], few)
+
+
+def test_a_word_is_looked_up_once_and_latin_words_need_no_normalizer():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, key):
+            self.asked += 1
+            return super().get(key)
+
+    own, singly = words_encoder(), []
+    own.memo, own._whole = Counted(), lambda parts: singly.extend(parts) or ChunkEncoder._whole(own, parts)
+    texts = ["Größe, année niño " * 50] * 20
+    assert [np.frombuffer(x, own.dtype).tolist() for x in own.encode(texts)] == whole(FILES["words"], texts)
+    assert own.memo.asked == 4 and singly == [","]
+
+
+def test_only_the_known_tokenizer_skips_its_normalizer():
+    spec = json.loads(read_text(public_tokenizers.path(FILES["words"])))
+    assert by_letters(json.dumps(spec))
+    assert by_letters(read_text(public_tokenizers.path(FILES["spaced"]))) is None
+    split, level = spec["pre_tokenizer"]["pretokenizers"]
+    for change in (
+        {"normalizer": None}, {"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": split},
+        {"pre_tokenizer": {"type": "Sequence", "pretokenizers": [{**split, "pattern": {"Regex": "."}}, level]}},
+        {"model": {**spec["model"], "end_of_word_suffix": None}},
+        {"added_tokens": [{**t, "special": False} for t in spec["added_tokens"]]},
+    ):
+        assert by_letters(json.dumps({**spec, **change})) is None, change
+
+
 def test_store_gives_back_every_document(spark, odd_docs):
     path = public_tokenizers.path("word_bpe_49k.json")
     store = token_store.write(odd_docs, path, end_id=1)
